@@ -3,9 +3,12 @@
 Physical plan at scale (see README "Plans"): the delivery table is shuffled
 once on (match_id, salt); the per-match name table and the match table are
 shuffled once each on the same key, and the four role joins plus the match
-join all reuse that partitioning (``requireAllClusterKeysForCoPartition`` off)
-with hash joins that build the small per-match side, so the big side is never
-sorted or re-shuffled per role.  Hot matches are split over several salts.
+join all reuse that partitioning (``requireAllClusterKeysForCoPartition`` off),
+so the big side is never re-shuffled per role.  AQE turns a join into a hash
+join that builds the per-match side only when every partition of that side is
+under ``maxShuffledHashJoinLocalMapThreshold`` (a hash build cannot spill);
+otherwise it stays a spilling sort-merge join.  Hot matches are split over
+several salts.
 """
 
 from __future__ import annotations
@@ -67,19 +70,25 @@ def _role_side(names: DataFrame, role: str, extra: list[str]) -> DataFrame:
 
 
 def resolve_roles(deliveries: DataFrame, names: DataFrame, salted: bool = False) -> DataFrame:
-    """Four role-playing left joins on (role name, match_id) (P13), the null
-    flags (P14) and coalesce of resolved over raw names (P15).
-
-    With ``salted`` both inputs already carry ``_salt`` and share one
-    partitioning on (match_id, _salt); the joins then add no exchange.
+    """Four role-playing left joins on (role name, match_id) (P12, P13), the
+    null flags (P14) and coalesce of resolved over raw names (P15).
+
+    The same name table is joined four times under aliases and renamed only
+    after each join, so no projection separates its shuffle from the join: one
+    exchange is reused by all four joins, and AQE can still see its partition
+    sizes when choosing a hash join.  With ``salted`` both inputs carry
+    ``_salt`` and share one partitioning on (match_id, _salt), so the joins add
+    no exchange at all.
     """
-    extra = [SALT] if salted else []
     d = deliveries
+    keys = ["match_id"] + ([SALT] if salted else [])
     for role in ROLES:
-        side = _role_side(names, role, extra)
-        if salted:
-            side = side.hint("shuffle_hash")
-        d = d.join(side, [role, "match_id", *extra], "left")
+        left, right = d.alias("l"), names.alias("r")
+        cond = [F.col(f"l.{role}") == F.col("r.person_unique_name")]
+        cond += [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
+        j = left.join(right, cond, "left")
+        d = j.select(*[F.col(f"l.`{c}`") for c in d.columns],
+                     F.col("r.person_name").alias(f"{role}_name"), F.col("r.person_id").alias(f"{role}_id"))
     flags = {f"{MISSING_PREFIX}{r}_name": mf.missing_flag(f"{r}_name") for r in ROLES}
     d = d.withColumns(flags)
     return d.withColumns({r: F.coalesce(f"{r}_name", r) for r in ROLES})
@@ -175,7 +184,7 @@ def build_fact_table(deliveries: DataFrame, match_info: DataFrame, names: DataFr
         flagged = drop_prefixed(flagged)
 
     m = match_with_player(match_info, names, resolve_player_of_match)
-    ms = salt_small_side(m, hot, ["match_id"]).repartition(n, "match_id", SALT).hint("shuffle_hash")
+    ms = salt_small_side(m, hot, ["match_id"]).repartition(n, "match_id", SALT)
     fact = flagged.join(ms, ["match_id", SALT], "inner")
     delivery_cols = [c for c in flagged.columns if c != SALT]
     match_cols = [c for c in match_info.columns if c != "match_id"]

@@ -2,9 +2,10 @@
 
 ``Window.orderBy`` without ``partitionBy`` moves every row into one task.  Here
 rows are range-partitioned on the order key and sorted inside each partition;
-the sorted frame is checkpointed to the shared checkpoint folder so the
-per-partition counts and the id assignment read the very same partitions (and
-a lost executor re-reads the checkpoint instead of re-sampling range bounds).
+each row's partition number and position are written with it to a parquet
+table under the shared checkpoint folder, so the per-partition counts and the
+id assignment read the very same values (and a lost executor re-reads the
+table instead of re-sampling range bounds).
 Per-partition counts (one row per partition) become exclusive prefix sums that
 are broadcast back; id = offset(partition) + position inside the partition.
 """
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchlake.session import ensure_checkpoint_dir
+from matchlake.session import scratch_dir
 
 # Dimensions up to this many rows get their surrogate keys from one ordered
 # window (one task); above it the distributed index is used.
@@ -36,20 +37,25 @@ def with_row_index(df: DataFrame, order_cols: list, name: str = "delivery_id", o
     order; order by a total key (or by all columns) for reproducible ids.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _order(order_cols)
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
-
     pid = F.spark_partition_id()
-    counts = ranged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
-    # n rows (one per partition): a single ordered window over them is cheap.
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-
+    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # Partition number and position inside it are fixed by writing them down:
+    # counts and ids below read the same stored values, and a lost executor
+    # re-reads the table instead of re-sampling range bounds.
     tagged = ranged.select("*", pid.alias("_pid"),
                            (F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)).alias("_pos"))
-    out = tagged.join(F.broadcast(offsets), "_pid")
+    path = scratch_dir(spark, "row-index")
+    tagged.write.parquet(path)
+    stored = spark.read.parquet(path)
+
+    counts = stored.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    # n rows (one per range partition): one ordered window over them is cheap,
+    # and the broadcast below is bounded by n.
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    out = stored.join(F.broadcast(offsets), "_pid")
     idx = (F.col("_off") + F.col("_pos") + F.lit(offset)).cast("bigint").alias(name)
     return out.select(idx, *[F.col(f"`{c}`") for c in df.columns])
 

@@ -53,7 +53,7 @@ def deliveries(lineitem: DataFrame) -> DataFrame:
         F.col("l_orderkey").cast("string").alias("match_id"),
         F.when(F.col("l_returnflag") == "R", "2nd innings").otherwise("1st innings").alias("innings"),
         batting.alias("batting_team"),
-        mf.first_other(F.array(*[F.lit(t) for t in TEAMS]), batting).alias("bowling_team"),
+        F.when(F.col("l_linestatus") == "F", F.lit(TEAMS[1])).otherwise(F.lit(TEAMS[0])).alias("bowling_team"),
         mf.yes_flag(F.when(F.col("l_discount") >= 0.1, F.lit("YES"))).alias("declared"),
         ((F.col("l_quantity") - F.lit(1.0)) + F.col("l_linenumber") / F.lit(10.0)).alias("delivery"),
         _person("l_partkey").alias("batter"),
@@ -71,7 +71,7 @@ DELIVERIES_SQL = f"""
 SELECT CAST(l_orderkey AS VARCHAR) AS match_id,
        CASE WHEN l_returnflag = 'R' THEN '2nd innings' ELSE '1st innings' END AS innings,
        'Team ' || l_linestatus AS batting_team,
-       list_filter(['Team F', 'Team O'], lambda t: t IS DISTINCT FROM ('Team ' || l_linestatus))[1] AS bowling_team,
+       CASE WHEN l_linestatus = 'F' THEN 'Team O' ELSE 'Team F' END AS bowling_team,
        CAST(CASE WHEN lower(CASE WHEN l_discount >= 0.1 THEN 'YES' END) = 'yes' THEN 1 ELSE 0 END AS TINYINT) AS declared,
        (l_quantity - 1.0) + l_linenumber / CAST(10.0 AS DOUBLE) AS delivery,
        {_sql_person('l_partkey')} AS batter,
@@ -144,17 +144,15 @@ FROM orders"""
 # ------------------------------------------------------------------ registry
 
 def registry(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """Everyone seen in a match: batter, bowler and non-striker keys of each
+    line (one scan, three entries per line) plus the order's customer."""
     mid = F.col("l_orderkey").cast("string").alias("match_id")
-
-    def seen(key):
-        k = F.col(key) if isinstance(key, str) else key
-        return lineitem.select(mid, _person(k).alias("person_name"),
-                               F.concat(F.lit("P"), k.cast("string")).alias("person_id"))
-
+    keys = [F.col("l_partkey"), F.col("l_suppkey"), F.col("l_partkey") + F.col("l_linenumber")]
+    seen = lineitem.select(mid, F.explode(F.array(*keys)).alias("k")).select(
+        "match_id", _person("k").alias("person_name"), F.concat(F.lit("P"), F.col("k").cast("string")).alias("person_id"))
     pom = orders.select(F.col("o_orderkey").cast("string").alias("match_id"), _person("o_custkey").alias("person_name"),
                         F.concat(F.lit("P"), F.col("o_custkey").cast("string")).alias("person_id"))
-    return (seen("l_partkey").unionByName(seen("l_suppkey"))
-            .unionByName(seen(F.col("l_partkey") + F.col("l_linenumber"))).unionByName(pom).distinct())
+    return seen.unionByName(pom).distinct()
 
 
 REGISTRY_SQL = f"""
