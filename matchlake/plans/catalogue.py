@@ -256,3 +256,223 @@ def q_limit_ordered(spark, sf):
 def q_star_except(spark, sf):
     m = Standins(spark, sf).match_info()
     return star.select_except(m.withColumn("date", F.col("match_start_date")), "team1", "team2", "match_start_date")
+
+
+# ============================================================ documents
+
+def stored_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Match documents built from the driver tables, written once per session
+    and scale folder (one JSON text per match, like a folder of files)."""
+    from matchlake.plans.match_documents import build
+    from matchlake.session import scratch_dir
+    key = ("documents", spark.sparkContext.applicationId, sf)
+    if key not in _STORED:
+        path = scratch_dir(spark, "documents")
+        build(Standins(spark, sf)).write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
+
+def parsed_documents(spark, sf) -> DataFrame:
+    from matchlake.operators.extract import parse_documents
+    return parse_documents(stored_documents(spark, sf))
+
+
+@register("document_deliveries", O.with_standins(body="SELECT * FROM sd_deliveries WHERE match_id IS NOT NULL"))
+def q_document_deliveries(spark, sf):
+    """Match documents built from the driver tables, unnested back."""
+    from matchlake.operators.extract import extract_deliveries
+    return extract_deliveries(parsed_documents(spark, sf), with_positions=False)
+
+
+@register("document_match_info", O.with_standins(body="SELECT * FROM sd_match_info"))
+def q_document_match_info(spark, sf):
+    """Match info from the documents."""
+    from matchlake.operators.extract import extract_match_info
+    return extract_match_info(parsed_documents(spark, sf))
+
+
+@register("document_registry", O.with_standins(body="SELECT * FROM sd_registry"))
+def q_document_registry(spark, sf):
+    """Name -> id map of each document unnested."""
+    from matchlake.operators.extract import extract_registry
+    return extract_registry(parsed_documents(spark, sf))
+
+
+@register("document_quarantine", """SELECT 'deliveries' AS table_name, 'innings missing or mistyped' AS reason,
+       count(*) AS documents
+FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""")
+def q_document_quarantine(spark, sf):
+    """Documents rejected per table and reason (E13): orders without lines
+    make matches without innings, which only the deliveries table rejects."""
+    from matchlake.operators.extract import quarantine
+    return quarantine(parsed_documents(spark, sf)).groupBy("table_name", "reason").agg(
+        F.count(F.lit(1)).alias("documents"))
+
+
+@register("json_field_project", """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
+       CAST(json_extract(props, '$.k') AS VARCHAR)::DOUBLE AS k_double FROM events""")
+def q_json_field_project(spark, sf):
+    """Declared-schema parse of a JSON text column and nested projection."""
+    ev = Standins(spark, sf).t("events")
+    doc = F.from_json("props", "k bigint, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
+    return ev.select("event_id", doc["k"].alias("k"), mf.to_double(doc["k"].cast("string")).alias("k_double"))
+
+
+@register("quarantine_split", """SELECT src, valid, count(*) AS documents FROM (
+  SELECT 'events' AS src, json_valid(props) AND starts_with(ltrim(props), '{') AS valid FROM events
+  UNION ALL
+  SELECT 'benchmark', json_valid(text) AND starts_with(ltrim(text), '{') FROM benchmark
+  UNION ALL
+  SELECT 'pages', json_valid(html) AND starts_with(ltrim(html), '{') FROM pages) GROUP BY ALL""")
+def q_quarantine_split(spark, sf):
+    """Valid / rejected split of text documents with the corrupt-record column."""
+    st = Standins(spark, sf)
+    docs = (st.t("events").select(F.lit("events").alias("src"), F.col("event_id").cast("string").alias("match_id"),
+                                  F.col("props").alias("value"))
+            .unionByName(st.t("benchmark").select(F.lit("benchmark").alias("src"),
+                                                  F.col("item_id").cast("string").alias("match_id"),
+                                                  F.col("text").alias("value")))
+            .unionByName(st.t("pages").select(F.lit("pages").alias("src"),
+                                              F.col("page_id").cast("string").alias("match_id"),
+                                              F.col("html").alias("value"))))
+    tagged = docs.select("src", F.from_json("value", "info string, innings string, _corrupt string",
+                                            {"columnNameOfCorruptRecord": "_corrupt"}).alias("d"))
+    valid = F.col("d").isNotNull() & F.col("d._corrupt").isNull()
+    return tagged.groupBy("src", valid.alias("valid")).agg(F.count(F.lit(1)).alias("documents"))
+
+
+@register("first_last_of_list", """SELECT conv_id, list_sort(list(turn))[1] AS first_turn,
+       list_sort(list(turn))[-1] AS last_turn, count(*) AS turns FROM conversations GROUP BY conv_id""")
+def q_first_last_of_list(spark, sf):
+    """First / last element of per-key lists."""
+    c = Standins(spark, sf).t("conversations")
+    lists = c.groupBy("conv_id").agg(F.sort_array(F.collect_list("turn")).alias("turns"))
+    return lists.select("conv_id", mf.first_of("turns").alias("first_turn"), mf.last_of("turns").alias("last_turn"),
+                        F.size("turns").cast("bigint").alias("turns"))
+
+
+@register("other_team", """SELECT l_orderkey, l_linenumber, l_returnflag,
+       list_filter(['A', 'N', 'R'], lambda t: t IS DISTINCT FROM l_returnflag)[1] AS other_flag FROM lineitem""")
+def q_other_team(spark, sf):
+    """First list element unlike a given value, null-safe."""
+    li = Standins(spark, sf).t("lineitem")
+    return li.select("l_orderkey", "l_linenumber", "l_returnflag",
+                     mf.first_other(F.array(F.lit("A"), F.lit("N"), F.lit("R")), F.col("l_returnflag")).alias("other_flag"))
+
+
+@register("date_parse", """SELECT o_orderkey, o_orderdate,
+       CAST(strftime(o_orderdate, '%Y-%m-%d') AS TIMESTAMP) AS parsed,
+       CAST(strftime(o_orderdate, '%Y-%-m-%-d') AS TIMESTAMP) AS parsed_unpadded FROM orders""")
+def q_date_parse(spark, sf):
+    """'yyyy-MM-dd' text, padded or not, to midnight timestamps."""
+    o = Standins(spark, sf).t("orders")
+    unpadded = F.concat_ws("-", F.year("o_orderdate").cast("string"), F.month("o_orderdate").cast("string"),
+                           F.dayofmonth("o_orderdate").cast("string"))
+    return o.select("o_orderkey", "o_orderdate", mf.parse_day(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("parsed"),
+                    mf.parse_day(unpadded).alias("parsed_unpadded"))
+
+
+@register("first_key_of_map", """SELECT conv_id, first(role ORDER BY turn) AS first_role,
+       count(*) AS turns FROM conversations GROUP BY conv_id""")
+def q_first_key_of_map(spark, sf):
+    """First key of an ordered map (E11): per conversation, roles in turn order."""
+    c = Standins(spark, sf).t("conversations")
+    ordered = c.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role"))).alias("t"))
+    m = F.map_from_arrays(F.transform("t", lambda x: F.concat(x["turn"].cast("string"), F.lit(":"), x["role"])),
+                          F.transform("t", lambda x: x["role"]))
+    return ordered.select("conv_id", F.substring_index(mf.first_key(m), ":", -1).alias("first_role"),
+                          F.size("t").cast("bigint").alias("turns"))
+
+
+@register("id_listing_stem", """SELECT page_id,
+       regexp_extract(regexp_replace(url, '[?#].*$', ''), '([^/]*?)(\\.[^./]*)?$', 1) AS stem FROM pages""")
+def q_id_listing_stem(spark, sf):
+    """File-stem rule of the id listing applied to every page URL."""
+    p = Standins(spark, sf).t("pages")
+    return p.select("page_id", mf.file_stem("url").alias("stem"))
+
+
+# ============================================================ ingest bookkeeping
+
+@register("new_ids_anti", """SELECT DISTINCT CAST(o_orderkey AS VARCHAR) AS match_id FROM orders
+WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""")
+def q_new_ids_anti(spark, sf):
+    """Ids in the raw listing (match info) and not yet staged (deliveries)."""
+    from matchlake.operators.ingest import new_ids
+    st = Standins(spark, sf)
+    return new_ids(st.match_info(), st.deliveries()).distinct()
+
+
+@register("staged_ids_semi", """SELECT DISTINCT CAST(o_orderkey AS VARCHAR) AS match_id FROM orders
+WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""")
+def q_staged_ids_semi(spark, sf):
+    from matchlake.operators.ingest import staged_ids
+    st = Standins(spark, sf)
+    return staged_ids(st.match_info(), st.deliveries()).distinct()
+
+
+_SPLIT = "1998-01-01"
+
+
+@register("collision_guard", f"""SELECT CAST(o_orderkey AS VARCHAR) AS match_id FROM orders
+WHERE o_orderdate >= TIMESTAMP '{_SPLIT}'
+  AND EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_shipdate < TIMESTAMP '{_SPLIT}')""")
+def q_collision_guard(spark, sf):
+    """New batch (matches from 1998) that collides with stored deliveries
+    shipped before 1998 (I5): the rows the guard would raise on."""
+    from matchlake.operators.ingest import collisions
+    st = Standins(spark, sf)
+    new = st.t("orders").filter(F.col("o_orderdate") >= F.lit(_SPLIT).cast("timestamp_ntz")) \
+        .select(F.col("o_orderkey").cast("string").alias("match_id"))
+    stored = st.t("lineitem").filter(F.col("l_shipdate") < F.lit(_SPLIT).cast("timestamp_ntz")) \
+        .select(F.col("l_orderkey").cast("string").alias("match_id"))
+    return collisions(new, stored)
+
+
+@register("append_batches", O.with_standins(body="SELECT * FROM sd_match_info"))
+def q_append_batches(spark, sf):
+    """Two batches (before / from 1998) conformed to the declared schema and
+    appended (I6-I8)."""
+    from matchlake.operators.ingest import append
+    from matchlake.schemas import MATCH_INFO
+    m = Standins(spark, sf).match_info()
+    cut = F.lit(_SPLIT).cast("timestamp_ntz")
+    first = m.filter(F.col("match_start_date") < cut)
+    second = m.filter(F.col("match_start_date") >= cut).withColumn("win_margin", F.col("win_margin").cast("float"))
+    return append(first, second, MATCH_INFO)
+
+
+@register("read_or_empty", "SELECT r_regionkey, r_name FROM region")
+def q_read_or_empty(spark, sf):
+    """Missing stored table -> empty typed table, appended to the stored one."""
+    from pyspark.sql import types as T
+    from matchlake.sources.tables import read_or_empty
+    schema = T.StructType([T.StructField("r_regionkey", T.IntegerType()), T.StructField("r_name", T.StringType())])
+    missing = read_or_empty(spark, f"{sf.rstrip('/')}/no_such_table.parquet", schema)
+    present = read_or_empty(spark, f"{sf.rstrip('/')}/region.parquet", schema)
+    return missing.unionByName(present)
+
+
+@register("csv_roundtrip", O.with_standins(O.PEOPLE_CTE, body="SELECT * FROM sd_people_raw"))
+def q_csv_roundtrip(spark, sf):
+    """People register written as CSV with a header and read back with a
+    declared schema (S4, S8)."""
+    from matchlake.schemas import PEOPLE_RAW
+    from matchlake.session import scratch_dir
+    from matchlake.sources.sinks import write_table
+    from matchlake.sources.tables import read_csv
+    path = write_table(Standins(spark, sf).people_raw(), scratch_dir(spark, "csv"), mode="overwrite", fmt="csv")
+    return read_csv(spark, path, PEOPLE_RAW)
+
+
+@register("sql_view_scan", """SELECT n_name, r_name, count(*) AS customers FROM customer
+JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL""")
+def q_sql_view_scan(spark, sf):
+    """Registered views queried with SQL."""
+    from matchlake.sources.tables import read_parquet, register_view
+    for t in ("customer", "nation", "region"):
+        register_view(read_parquet(spark, f"{sf.rstrip('/')}/{t}.parquet"), f"ml_{t}")
+    return spark.sql("""SELECT n_name, r_name, count(*) AS customers FROM ml_customer
+        JOIN ml_nation ON c_nationkey = n_nationkey JOIN ml_region ON n_regionkey = r_regionkey
+        GROUP BY n_name, r_name""")
