@@ -152,6 +152,22 @@ def recode_match_type(df: DataFrame, recode: tuple[str, str, str] = DEFAULT_RECO
     return df.withColumn(column, mf.recode_when_contains(column, old, new, league, token))
 
 
+def flagged_deliveries(d: DataFrame, names: DataFrame, num_partitions: int | None = None,
+                       rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> tuple[DataFrame, DataFrame]:
+    """Indexed deliveries -> the 29 published columns plus ``_salt`` (P2,
+    P12-P21), co-partitioned on (match_id, _salt).  Also returns the hot-match
+    table so later joins on match_id can salt the same way."""
+    spark = d.sparkSession
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    d = add_innings_id(d)
+    hot = hot_keys(d, ["match_id"], rows_per_task)
+    ds = salt_big_side(d, hot, ["match_id"], ["delivery_id"]).repartition(n, "match_id", SALT)
+    ns = salt_small_side(names, hot, ["match_id"]).repartition(n, "match_id", SALT)
+    d2 = add_ball_features(resolve_roles(ds, ns, salted=True))
+    return d2.select(*[_q(c) for c in delivery_projection(d2).columns], SALT), hot
+
+
 def build_fact_table(deliveries: DataFrame, match_info: DataFrame, names: DataFrame, leagues: DataFrame,
                      replacements: dict[str, str] | None = None,
                      recode: tuple[str, str, str] = DEFAULT_RECODE,
@@ -172,14 +188,7 @@ def build_fact_table(deliveries: DataFrame, match_info: DataFrame, names: DataFr
     replacements = DEFAULT_REPLACEMENTS if replacements is None else replacements
 
     d = deliveries if "delivery_id" in deliveries.columns else add_delivery_id(deliveries, order_cols)
-    d = add_innings_id(d)
-
-    hot = hot_keys(d, ["match_id"], rows_per_task)
-    ds = salt_big_side(d, hot, ["match_id"], ["delivery_id"]).repartition(n, "match_id", SALT)
-    ns = salt_small_side(names, hot, ["match_id"]).repartition(n, "match_id", SALT)
-    d2 = resolve_roles(ds, ns, salted=True)
-    d2 = add_ball_features(d2)
-    flagged = d2.select(*[_q(c) for c in delivery_projection(d2).columns], SALT)
+    flagged, hot = flagged_deliveries(d, names, n, rows_per_task)
     if not keep_missing_flags:
         flagged = drop_prefixed(flagged)
 

@@ -61,7 +61,8 @@ def stored_fact(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("fact_table", O.fact_sql(STANDIN_REPLACEMENTS))
 def q_fact_table(spark, sf):
-    return fact_of(Standins(spark, sf))
+    """Build and publish the fact table (written once, read back)."""
+    return stored_fact(spark, sf)
 
 
 # ============================================================ reports
@@ -104,9 +105,7 @@ def q_player_form_report_one(spark, sf):
 FROM sd_flagged GROUP BY batting_team"""))
 def q_missing_name_report(spark, sf):
     st = Standins(spark, sf)
-    d = facts.add_delivery_id(st.deliveries())
-    flagged = facts.delivery_projection(facts.add_ball_features(facts.resolve_roles(facts.add_innings_id(d),
-                                                                                    names_of(st))))
+    flagged, _ = facts.flagged_deliveries(facts.add_delivery_id(st.deliveries()), names_of(st))
     return reports.missing_name_report(flagged, by=["batting_team"])
 
 
@@ -158,8 +157,8 @@ def q_ball_features(spark, sf):
 def q_role_joins(spark, sf):
     """Role-playing joins with the null flags still present."""
     st = Standins(spark, sf)
-    d = facts.add_innings_id(facts.add_delivery_id(st.deliveries()))
-    return facts.delivery_projection(facts.add_ball_features(facts.resolve_roles(d, names_of(st))))
+    flagged, _ = facts.flagged_deliveries(facts.add_delivery_id(st.deliveries()), names_of(st))
+    return flagged.drop("_salt")
 
 
 @register("match_player_join", O.with_standins(O.PEOPLE_CTE, O.NAMES_CTE, O.match_pom_cte(resolve=True),
