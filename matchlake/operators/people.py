@@ -18,7 +18,7 @@ def normalise_headers(df: DataFrame) -> DataFrame:
 def profiles(raw: DataFrame) -> DataFrame:
     """Player profiles with normalised headers, projected and aliased."""
     p = normalise_headers(raw)
-    return p.select(F.col("id").alias("key_cricinfo"), F.col("name").alias("person_name_espn"),
+    return p.select(F.col("id").alias("key_cricinfo"), F.col("name").alias("profile_name"),
                     "batting_style", "bowling_style")
 
 
@@ -38,7 +38,7 @@ def people_with_profiles(people: DataFrame, profile: DataFrame) -> DataFrame:
     prof = profile.withColumn("key_cricinfo", F.col("key_cricinfo").cast(key_type))
     j = people.join(prof, "key_cricinfo", "left")
     return j.select("person_id", "key_cricinfo",
-                    F.coalesce("person_name_espn", "person_name").alias("person_name"),
+                    F.coalesce("profile_name", "person_name").alias("person_name"),
                     "person_unique_name")
 
 

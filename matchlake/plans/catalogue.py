@@ -99,9 +99,10 @@ def q_player_form_report_one(spark, sf):
 
 @register("missing_name_report", O.fact_sql(
     STANDIN_REPLACEMENTS, body="""SELECT batting_team, count(*) AS rows,
-       sum(CAST(missing_batter_name AS BIGINT)) AS missing_batter, sum(CAST(missing_bowler_name AS BIGINT)) AS missing_bowler,
-       sum(CAST(missing_non_striker_name AS BIGINT)) AS missing_non_striker,
-       sum(CAST(missing_player_out_name AS BIGINT)) AS missing_player_out
+       CAST(sum(CAST(missing_batter_name AS BIGINT)) AS BIGINT) AS missing_batter,
+       CAST(sum(CAST(missing_bowler_name AS BIGINT)) AS BIGINT) AS missing_bowler,
+       CAST(sum(CAST(missing_non_striker_name AS BIGINT)) AS BIGINT) AS missing_non_striker,
+       CAST(sum(CAST(missing_player_out_name AS BIGINT)) AS BIGINT) AS missing_player_out
 FROM sd_flagged GROUP BY batting_team"""))
 def q_missing_name_report(spark, sf):
     st = Standins(spark, sf)
@@ -117,7 +118,7 @@ def q_people_profiles(spark, sf):
     return people.people_with_profiles(people.people_register(st.people_raw()), people.profiles(st.profiles_raw()))
 
 
-@register("rename_project", O.with_standins(body="""SELECT "ID" AS key_cricinfo, "Name" AS person_name_espn,
+@register("rename_project", O.with_standins(body="""SELECT "ID" AS key_cricinfo, "Name" AS profile_name,
        "Batting Style" AS batting_style, "Bowling Style" AS bowling_style FROM sd_profiles_raw"""))
 def q_rename_project(spark, sf):
     return people.profiles(Standins(spark, sf).profiles_raw())

@@ -100,6 +100,8 @@ PROFILES_RAW = T.StructType([
     T.StructField("Bowling Style", T.StringType()),
 ])
 
+# The people register's header names (including its key into
+# the profile list, ``key_cricinfo``) are those of the published register file.
 PEOPLE_RAW = T.StructType([
     T.StructField("identifier", T.StringType()),
     T.StructField("key_cricinfo", T.LongType()),
