@@ -223,13 +223,7 @@ def q_hash_keys(spark, sf):
     body="\nUNION ALL\n".join(f"SELECT '{d}' AS dimension, {d} AS member, {d}_hash AS member_hash, {d}_sk AS sk "
                               f"FROM dim_{d}" for d in O.HASH_SOURCES_SQL)))
 def q_dimension_keys(spark, sf):
-    hashed = star.with_hash_keys(stored_fact(spark, sf))
-    out = None
-    for d, table in star.dimensions(hashed).items():
-        part = table.select(F.lit(d).alias("dimension"), F.col(d).alias("member"),
-                            F.col(f"{d}_hash").alias("member_hash"), F.col(f"{d}_sk").alias("sk"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    return star.dimension_table(star.with_hash_keys(stored_fact(spark, sf)))
 
 
 @register("star_join", O.fact_sql(

@@ -158,14 +158,15 @@ FROM orders"""
 
 def registry(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """Everyone seen in a match: batter, bowler and non-striker keys of each
-    line (one scan, three entries per line) plus the order's customer."""
-    mid = F.col("l_orderkey").cast("string").alias("match_id")
+    line (one scan, three entries per line) plus the order's customer.
+    Duplicates are removed on the numeric (match, person) keys, before any
+    text is built."""
     keys = [F.col("l_partkey"), F.col("l_suppkey"), F.col("l_partkey") + F.col("l_linenumber")]
-    seen = lineitem.select(mid, F.explode(F.array(*keys)).alias("k")).select(
-        "match_id", _person("k").alias("person_name"), F.concat(F.lit("P"), F.col("k").cast("string")).alias("person_id"))
-    pom = orders.select(F.col("o_orderkey").cast("string").alias("match_id"), _person("o_custkey").alias("person_name"),
-                        F.concat(F.lit("P"), F.col("o_custkey").cast("string")).alias("person_id"))
-    return seen.unionByName(pom).distinct()
+    seen = lineitem.select(F.col("l_orderkey").alias("m"), F.explode(F.array(*keys)).alias("k"))
+    pom = orders.select(F.col("o_orderkey").alias("m"), F.col("o_custkey").alias("k"))
+    pairs = seen.unionByName(pom).distinct()
+    return pairs.select(F.col("m").cast("string").alias("match_id"), _person("k").alias("person_name"),
+                        F.concat(F.lit("P"), F.col("k").cast("string")).alias("person_id"))
 
 
 REGISTRY_SQL = f"""

@@ -143,3 +143,15 @@ def test_star_schema(spark, inputs):
     assert fact.count() == 6 and joined.count() == 2 + 4 * 4
     assert joined.filter(F.col("player_out_sk").isNull()).isEmpty()
     assert not any(c.endswith("_hash") for c in joined.columns)
+
+
+def test_dimension_table_paths_agree(spark, inputs):
+    d, mi, names, lg = inputs
+    hashed = star.with_hash_keys(facts.build_fact_table(d, mi, names, lg))
+    key = lambda r: tuple("" if v is None else str(v) for v in r)
+    small = sorted((tuple(r) for r in star.dimension_table(hashed).collect()), key=key)
+    big = sorted((tuple(r) for r in star.dimension_table(hashed, max_single_task_rows=0).collect()), key=key)
+    assert small == big
+    for dim in star.HASH_SOURCES:
+        sks = sorted(r[3] for r in small if r[0] == dim)
+        assert sks == list(range(1, len(sks) + 1))
