@@ -33,10 +33,14 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     still prune and push below the exchange).  Tables that already arrive in
     many splits - any large table - are left as scanned."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in _SPREAD and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    if name not in _SPREAD:
+        return df
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a remote session): leave the scan as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 # Tables whose rows feed per-row derivations of the stand-ins.
