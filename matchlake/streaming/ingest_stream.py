@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake.functions import file_stem
-from matchlake.operators.ingest import Paths, run_batch
+from matchlake.operators.ingest import Paths, publish_fact_batch, run_batch
 from matchlake.sources.documents import yaml_to_json
 
 
@@ -30,13 +30,19 @@ def document_stream(spark: SparkSession, raw_dir: str, glob: str = "*.json",
 
 def start_ingest_stream(spark: SparkSession, raw_dir: str, store: Paths, checkpoint: str, fmt: str = "json",
                         glob: str | None = None, available_now: bool = True,
-                        max_files_per_trigger: int | None = None):
-    """Start the stream; returns the ``StreamingQuery`` (await or stop it)."""
+                        max_files_per_trigger: int | None = None, publish: tuple | None = None, **fact_options):
+    """Start the stream; returns the ``StreamingQuery`` (await or stop it).
+
+    ``publish=(people_raw, profiles_raw, leagues)`` also appends each
+    micro-batch's fact rows to ``fact_by_batch`` (``publish_fact_batch``).
+    """
     glob = glob or ("*.yaml" if fmt == "yaml" else "*.json")
 
     def process(batch: DataFrame, epoch_id: int) -> None:
         docs = yaml_to_json(batch) if fmt == "yaml" else batch.withColumn("parse_error", F.lit(None).cast("string"))
-        run_batch(batch.sparkSession, docs, store, batch_id=epoch_id)
+        out = run_batch(batch.sparkSession, docs, store, batch_id=epoch_id)
+        if publish is not None and out.get("documents", 1) and "skipped_batch" not in out:
+            publish_fact_batch(batch.sparkSession, store, *publish, batch_id=epoch_id, **fact_options)
 
     writer = (document_stream(spark, raw_dir, glob, max_files_per_trigger).writeStream
               .foreachBatch(process).option("checkpointLocation", checkpoint))
