@@ -336,14 +336,14 @@ def q_quarantine_split(spark, sf):
     return tagged.groupBy("src", valid.alias("valid")).agg(F.count(F.lit(1)).alias("documents"))
 
 
-@register("first_last_of_list", """SELECT conv_id, list_sort(list(turn))[1] AS first_turn,
-       list_sort(list(turn))[-1] AS last_turn, count(*) AS turns FROM conversations GROUP BY conv_id""")
+@register("first_last_of_list", """SELECT vec_id, embedding[1] AS first_value, embedding[-1] AS last_value,
+       CAST(len(embedding) AS INTEGER) AS n_values FROM embeddings""")
 def q_first_last_of_list(spark, sf):
-    """First / last element of per-key lists."""
-    c = Standins(spark, sf).t("conversations")
-    lists = c.groupBy("conv_id").agg(F.sort_array(F.collect_list("turn")).alias("turns"))
-    return lists.select("conv_id", mf.first_of("turns").alias("first_turn"), mf.last_of("turns").alias("last_turn"),
-                        F.size("turns").cast("bigint").alias("turns"))
+    """First / last element of a list column, null when empty (E9), on every
+    embedding vector (a per-row list: no grouping)."""
+    e = Standins(spark, sf).t("embeddings")
+    return e.select("vec_id", mf.first_of("embedding").alias("first_value"),
+                    mf.last_of("embedding").alias("last_value"), F.size("embedding").alias("n_values"))
 
 
 @register("other_team", """SELECT l_orderkey, l_linenumber, l_returnflag,
@@ -367,16 +367,14 @@ def q_date_parse(spark, sf):
                     mf.parse_day(unpadded).alias("parsed_unpadded"))
 
 
-@register("first_key_of_map", """SELECT conv_id, first(role ORDER BY turn) AS first_role,
-       count(*) AS turns FROM conversations GROUP BY conv_id""")
+@register("first_key_of_map", """SELECT event_id, json_keys(props)[1] AS first_key,
+       CAST(json_extract_string(props, '$.' || json_keys(props)[1]) AS DOUBLE) AS first_value FROM events""")
 def q_first_key_of_map(spark, sf):
-    """First key of an ordered map (E11): per conversation, roles in turn order."""
-    c = Standins(spark, sf).t("conversations")
-    ordered = c.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role"))).alias("t"))
-    m = F.map_from_arrays(F.transform("t", lambda x: F.concat(x["turn"].cast("string"), F.lit(":"), x["role"])),
-                          F.transform("t", lambda x: x["role"]))
-    return ordered.select("conv_id", F.substring_index(mf.first_key(m), ":", -1).alias("first_role"),
-                          F.size("t").cast("bigint").alias("turns"))
+    """First key of a JSON object read as an ordered map, and its value as a
+    number (E11, the win-type / margin rule), on every event."""
+    ev = Standins(spark, sf).t("events")
+    m = F.from_json("props", "map<string,string>")
+    return ev.select("event_id", mf.first_key(m).alias("first_key"), mf.to_double(mf.first_value(m)).alias("first_value"))
 
 
 @register("id_listing_stem", """SELECT page_id,
