@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from matchlake import functions as mf
 from matchlake.operators import facts, people, reports, star
-from matchlake.operators.index import with_row_index
 from matchlake.plans import oracle as O
 from matchlake.plans.standins import STANDIN_REPLACEMENTS, Standins
 
