@@ -130,7 +130,8 @@ HASH_SOURCES_SQL = {
 
 
 def hash_sql(expr: str) -> str:
-    return f"md5(CASE WHEN ({expr}) IS NULL THEN 'n' ELSE 'v:' || CAST(({expr}) AS VARCHAR) END)"
+    digest = f"md5(CASE WHEN ({expr}) IS NULL THEN 'n' ELSE 'v:' || CAST(({expr}) AS VARCHAR) END)"
+    return f"CAST(('0x' || substr({digest}, 1, 15)) AS BIGINT)"
 
 
 HASHED_CTE = ("sd_hashed AS (\n  SELECT * EXCLUDE (batter_id, bowler_id, non_striker_id, player_out_id), "
