@@ -490,3 +490,18 @@ def q_incremental_fact(spark, sf):
         b = run_batch(spark, batch, store)["batch_id"]
         publish_fact_batch(spark, store, *refs, batch_id=b, replacements=STANDIN_REPLACEMENTS)
     return spark.read.parquet(store.table("fact_by_batch")).drop("delivery_id", "batch_id")
+
+
+@register("parquet_scan", """SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
+WHERE l_returnflag = 'R' AND l_linestatus = 'F'""")
+def q_parquet_scan(spark, sf):
+    """Declared-schema parquet scan; the filter and the three-column projection
+    reach the scan (PushedFilters / ReadSchema) (S3)."""
+    from pyspark.sql import types as T
+    from matchlake.sources.tables import read_parquet
+    schema = T.StructType([T.StructField(n, t) for n, t in (
+        ("l_orderkey", T.LongType()), ("l_linenumber", T.IntegerType()), ("l_quantity", T.DoubleType()),
+        ("l_returnflag", T.StringType()), ("l_linestatus", T.StringType()))])
+    li = read_parquet(spark, f"{sf.rstrip('/')}/lineitem.parquet", schema)
+    return li.filter((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")) \
+        .select("l_orderkey", "l_linenumber", "l_quantity")
