@@ -48,3 +48,14 @@ def test_extraction_parses_each_text_once(spark):
     # acceptance is a generator over one projection: no filter that would
     # repeat the JSON parses inside its predicate
     assert "Filter" not in p and "Generate inline" in p
+
+
+def test_row_index_keeps_rows_distributed(spark):
+    from matchlake.operators.index import with_row_index
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    p = plan_text(with_row_index(li, ["l_orderkey", "l_linenumber"], "rid", num_partitions=4))
+    # rows are read back from the written, range-partitioned table and joined
+    # to broadcast offsets; the only single-partition exchange carries the
+    # per-partition counts (one row per partition) into the prefix-sum window
+    assert p.count("Exchange SinglePartition") == 1
+    assert "BroadcastHashJoin" in p and "Window" in p
