@@ -28,8 +28,7 @@ level AS (
 targets AS (
   SELECT skey, source_size, CASE WHEN l.level IS NULL OR l.level * weight > cap THEN CAST(cap AS DOUBLE)
                                  ELSE l.level * weight END AS target
-  FROM per_caps, level l),
-per_caps AS (SELECT skey, source_size, weight, source_size * 3 AS cap FROM per),
+  FROM (SELECT *, source_size * 3 AS cap FROM per), level l),
 parts AS (
   SELECT skey, source_size, target,
          CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS q FROM targets),
@@ -76,7 +75,7 @@ hits AS (
   JOIN windows w ON d.win = w.win AND d.size = w.size),
 covered AS (
   SELECT r, count(*) AS n_hit
-  FROM (SELECT DISTINCT r, unnest(range(i, i + size)) AS at FROM hits) GROUP BY r),
+  FROM (SELECT DISTINCT r, unnest(range(i, i + size)) AS place FROM hits) GROUP BY r),
 found AS (
   SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
   FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY r)
@@ -91,8 +90,8 @@ windows AS (
   FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM docs WHERE len(w) >= 50)),
 firsts AS (SELECT win, min(coalesce(doc_id, 9223372036854775807)) AS lo FROM windows GROUP BY win),
 covered AS (
-  SELECT r, list(DISTINCT at) AS gone
-  FROM (SELECT r, unnest(range(i, i + 50)) AS at FROM windows JOIN firsts USING (win)
+  SELECT r, list(DISTINCT place) AS gone
+  FROM (SELECT r, unnest(range(i, i + 50)) AS place FROM windows JOIN firsts USING (win)
         WHERE lo < coalesce(doc_id, 9223372036854775807)) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
        sha256(array_to_string(CASE WHEN gone IS NULL THEN w

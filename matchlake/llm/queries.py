@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from matchlake.llm.common import table
 from matchlake.llm.decontaminate import contamination
 from matchlake.llm.exact_dedup import exact_dedup
+from matchlake.llm.lm import lm_scores
 from matchlake.llm.mixing import mix
 from matchlake.llm.quality import quality_scores
 from matchlake.llm.secrets import secret_spans
 from matchlake.llm.simhash import near_duplicates
+from matchlake.llm.substring_dedup import kept_digests
 from matchlake.llm.toxicity import toxicity_scores
 
 
@@ -25,6 +27,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("digest")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kept_digests(table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
@@ -46,5 +52,9 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op3_quality, op5_mixing, op6_toxicity, op7_exact_dedup, op8_simhash,
-                                   op9_decontamination)}
+def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_secrets, op3_quality, op4_substring_dedup, op5_mixing, op6_toxicity, op7_exact_dedup, op8_simhash,
+                                   op9_decontamination, op10_lm)}
