@@ -6,26 +6,30 @@ and only their first 50 words, read as three symbols: fingerprints of the
 words [0, 16), [16, 32) and [32, 50).
 
 1. *Which suffixes can repeat.*  Of each window the smallest hash of its
-   20-word runs is its anchor; equal windows have equal anchors, and about one
-   run in 16 is one.  Anchors that occur in two documents (a map-side combined
-   minimum and maximum of the ids) fill a Bloom filter of fixed size.  A false
-   positive only sends a suffix that turns out to be alone.
-2. *Suffixes.*  One pass emits the suffixes whose anchor passed.  Each task
-   first settles what it can by itself: of equal windows in its portion only
-   the smallest document's stays open, the others are removed at once.  So a
-   passage that a third of all documents share sends one suffix per portion.
-3. *Prefix partition.*  Open suffixes are counted by their first symbol; a
-   prefix of more than ``GROUP`` suffixes is extended by the second, then the
-   third symbol, so that groups fit in memory and spread over tasks.
-4. *Subtrees.*  Each task walks its groups' suffixes in lexicographic order -
+   20-word runs is its anchor; equal windows have equal anchors.  Neighbouring
+   windows with one anchor form a stretch (16 windows on average).  Anchors
+   that occur in two documents (a map-side combined minimum and maximum of the
+   ids) fill a Bloom filter of fixed size; a false positive only costs work.
+2. *Equal stretches.*  Stretches whose anchor passes are compared as a whole,
+   by the fingerprint of all their words: of equal ones only the smallest
+   document's goes on, the others are removed at once - first within a task's
+   portion, then by a grouped minimum over all.  A passage that a third of all
+   documents share thus sends one row per portion.
+3. *Suffixes.*  What goes on and shares its anchor with a different stretch
+   (the edges of a passage, mostly) is marked in a second Bloom filter, and
+   one more pass emits those stretches' suffixes.
+4. *Prefix partition.*  Suffixes are counted by their first symbol; a prefix
+   of more than ``GROUP`` suffixes is extended by the second, then the third
+   symbol, so that groups fit in memory and spread over tasks.
+5. *Subtrees.*  Each task walks its groups' suffixes in lexicographic order -
    the leaves of the subtree from left to right.  The number of symbols that
    neighbours share is the depth of the node above both; a node at full depth
    (50 words) is a repeat, and every leaf under it beyond its smallest
    document is removed.  The walk keeps one leaf, however large the node.
-5. Removed starts are gathered per document and the kept words are hashed.
+6. Removed stretches are gathered per document and the kept words are hashed.
 
-Fingerprints are 64-bit polynomials of 64-bit word hashes; all three symbols
-must be equal, so equality is decided on 192 bits.
+Fingerprints are 64-bit polynomials of 64-bit word hashes; a suffix is equal
+when its three symbols are, a stretch when its anchor, length and fingerprint are.
 
 Defined results: a null text has no words; a null doc_id is larger than any
 other (and equal to itself); rows that repeat an id do not remove one
@@ -35,7 +39,6 @@ another's windows; texts below 50 words stay whole.
 from __future__ import annotations
 
 import functools
-import hashlib
 
 import numpy as np
 import pyarrow as pa
@@ -116,57 +119,136 @@ def anchors(sums: np.ndarray) -> np.ndarray:
     return np.minimum(low[:len(low) - (span - width)], low[span - width:])
 
 
-# ---------------------------------------------------------------------- filter
+def stretches(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors, first windows and numbers of windows of a text's stretches."""
+    each = anchors(sums)
+    start = np.flatnonzero(np.concatenate([[True], each[1:] != each[:-1]]))
+    return each[start], start, np.diff(np.append(start, len(each)))
 
-def repeated_anchors(rows: DataFrame) -> DataFrame:
-    """anchor: those that occur in two documents."""
-    def run(batches):
-        memo = Words()
-        for batch in batches:
-            found, ids = [], []
-            for key, text in zip(batch["key"].to_pylist(), batch["text"]):
-                words = text.as_py().split()
-                if len(words) >= WINDOW:
-                    a = anchors(prefix_sums(words, memo))
-                    found.append(np.unique(a[np.concatenate([[True], a[1:] != a[:-1]])]))
-                    ids.append(np.full(len(found[-1]), key, np.int64))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)),
-                                                  pa.array(np.concatenate(ids))], ["anchor", "key"])
-    return (rows.select("key", "text").mapInArrow(run, "anchor bigint, key bigint")
-            .groupBy("anchor").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).filter("lo < hi").select("anchor"))
-
-
-def probes(anchor: np.ndarray) -> list[np.ndarray]:
-    """Bit places of unsigned anchors in the filter."""
+
+def _texts(batches, memo: Words):
+    """(key, row, prefix sums) of every text that has a window."""
+    for batch in batches:
+        for key, row, text in zip(batch["key"].to_pylist(), batch["row"].to_pylist(), batch["text"]):
+            words = text.as_py().split()
+            if len(words) >= WINDOW:
+                yield key, row, prefix_sums(words, memo)
+
+
+# --------------------------------------------------------------------- filters
+
+def _probes(hashes: np.ndarray) -> list[np.ndarray]:
+    """Bit places of unsigned 64-bit hashes in a filter."""
     mask = np.uint64((1 << FILTER_BITS) - 1)
     with np.errstate(over="ignore"):
-        step = (anchor >> np.uint64(32)) | np.uint64(1)
-        return [(anchor + np.uint64(i) * step) & mask for i in range(PROBES)]
+        step = (hashes >> np.uint64(32)) | np.uint64(1)
+        return [(hashes + np.uint64(i) * step) & mask for i in range(PROBES)]
 
 
-def anchor_filter(repeated: DataFrame) -> np.ndarray:
-    """The Bloom filter as 64-bit words: at most 2^21 of them reach the driver."""
+def bloom_filter(hashes: DataFrame) -> np.ndarray:
+    """The Bloom filter of column ``h`` as 64-bit words: at most 2^21 of them reach the driver."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        a = batch["anchor"].to_numpy(zero_copy_only=False).view(np.uint64)
-        places = np.unique(np.concatenate(probes(a)))
+        places = np.unique(np.concatenate(_probes(batch["h"].to_numpy(zero_copy_only=False).view(np.uint64))))
         return pa.RecordBatch.from_arrays(
             [pa.array((places >> np.uint64(6)).astype(np.int32)),
              pa.array((np.uint64(1) << (places & np.uint64(63))).view(np.int64))], ["word", "bits"])
 
-    words = map_batches(repeated, run, "word int, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = map_batches(hashes, run, "word int, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
     out[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
     return out
 
 
-def passes(anchor: np.ndarray, filter_words: np.ndarray) -> np.ndarray:
-    ok = np.ones(len(anchor), bool)
-    for place in probes(anchor):
+def passes(hashes: np.ndarray, filter_words: np.ndarray) -> np.ndarray:
+    ok = np.ones(len(hashes), bool)
+    for place in _probes(hashes):
         ok &= (filter_words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
     return ok
 
 
+def repeated_anchors(rows: DataFrame) -> DataFrame:
+    """h: the anchors that occur in two documents."""
+    def run(batches):
+        memo, parts, held = Words(), [], 0
+        for key, _, sums in _texts(batches, memo):
+            a = np.unique(stretches(sums)[0])
+            parts.append((a, np.full(len(a), key, np.int64)))
+            held += len(a)
+            if held >= PORTION:
+                yield _columns(parts, ["h", "key"])
+                parts, held = [], 0
+        if parts:
+            yield _columns(parts, ["h", "key"])
+
+    return (rows.mapInArrow(run, "h bigint, key bigint").groupBy("h")
+            .agg(F.min("key").alias("lo"), F.max("key").alias("hi")).filter("lo < hi").select("h"))
+
+
+def _columns(parts: list, names: list[str]) -> pa.RecordBatch:
+    cols = [np.concatenate(c) for c in zip(*parts)]
+    return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in cols], names)
+
+
+# ------------------------------------------------------------- equal stretches
+
+def _fold(row: int | np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Hash of a stretch's place (its row and first window)."""
+    with np.errstate(over="ignore"):
+        return _stir(np.asarray(row, np.int64).view(np.uint64) + start.astype(np.uint64) * np.uint64(_BASE))
+
+
+def open_stretches(rows: DataFrame, filter_words: np.ndarray) -> DataFrame:
+    """anchor, form (of the whole stretch), key, row, start, n, place, settled:
+    the stretches whose anchor passes; ``settled`` ones have an equal stretch
+    in a smaller document of the same portion."""
+    shared = rows.sparkSession.sparkContext.broadcast(filter_words)
+    names = ["anchor", "form", "key", "row", "start", "n", "place"]
+
+    def settle(parts: list) -> pa.RecordBatch:
+        cols = [np.concatenate(c) for c in zip(*parts)]
+        order = np.lexsort((cols[2], cols[1]))
+        cols = [c[order] for c in cols]
+        form, key = cols[1], cols[2]
+        head = np.maximum.accumulate(np.where(np.concatenate([[True], form[1:] != form[:-1]]), np.arange(len(form)), 0))
+        batch = _columns([cols], names)
+        return batch.append_column("settled", pa.array(key > key[head]))
+
+    def run(batches):
+        memo, parts, held = Words(), [], 0
+        for key, row, sums in _texts(batches, memo):
+            anchor, start, n = stretches(sums)
+            here = passes(anchor, shared.value)
+            if not here.any():
+                continue
+            anchor, start, n = anchor[here], start[here], n[here]
+            with np.errstate(over="ignore"):
+                words = (sums[start + n + WINDOW - 1] - sums[start]) * _powers(len(sums), True)[start]
+                form = _stir(_stir(words) + anchor * np.uint64(_BASE) + n.astype(np.uint64))
+            parts.append((anchor, form, np.full(len(n), key, np.int64), np.full(len(n), row, np.int64),
+                          start.astype(np.int32), n.astype(np.int32), _fold(row, start)))
+            held += len(n)
+            if held >= PORTION:
+                yield settle(parts)
+                parts, held = [], 0
+        if parts:
+            yield settle(parts)
+
+    return rows.mapInArrow(run, "anchor bigint, form bigint, key bigint, row bigint, start int, n int, place bigint, "
+                                "settled boolean")
+
+
+def compare_stretches(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(removed: row, start, n; places of those that go on to their suffixes)."""
+    open_ = found.filter(~F.col("settled"))
+    forms = open_.groupBy("form").agg(F.min("key").alias("least"))
+    compared = open_.join(forms, "form")
+    removed = found.filter("settled").select("row", "start", "n").unionByName(
+        compared.filter("key > least").select("row", "start", "n"))
+    mixed = open_.groupBy("anchor").agg(F.min("form").alias("lo"), F.max("form").alias("hi")).filter("lo < hi").select("anchor")
+    go_on = compared.filter("key = least").join(mixed, "anchor", "left_semi").select(F.col("place").alias("h"))
+    return removed, go_on
+
+
 # -------------------------------------------------------------------- suffixes
 
 _SUFFIX = "s1 bigint, s2 bigint, s3 bigint, key bigint, row bigint, start int, settled boolean"
@@ -174,47 +256,42 @@ _SUFFIX = "s1 bigint, s2 bigint, s3 bigint, key bigint, row bigint, start int, s
 
 def _settle(cols: list[np.ndarray]) -> pa.RecordBatch:
     """Of equal windows in a portion, those beyond the smallest document are
-    settled (removed); the smallest document's first one stays open, and its
-    other occurrences share what becomes of it, so they stay open as well."""
-    s1, s2, s3, key, row, start = cols
-    order = np.lexsort((start, row, key, s3, s2, s1))
-    s1, s2, s3, key, row, start = (c[order] for c in (s1, s2, s3, key, row, start))
+    settled (removed); the smallest document's stay open."""
+    order = np.lexsort((cols[3], cols[2], cols[1], cols[0]))
+    s1, s2, s3, key, row, start = (c[order] for c in cols)
     same = np.zeros(len(s1), bool)
     same[1:] = (s1[1:] == s1[:-1]) & (s2[1:] == s2[:-1]) & (s3[1:] == s3[:-1])
     head = np.maximum.accumulate(np.where(~same, np.arange(len(s1)), 0))
-    settled = key > key[head]
     return pa.RecordBatch.from_arrays(
         [pa.array(s.view(np.int64)) for s in (s1, s2, s3)]
-        + [pa.array(key), pa.array(row), pa.array(start), pa.array(settled)],
+        + [pa.array(key), pa.array(row), pa.array(start), pa.array(key > key[head])],
         ["s1", "s2", "s3", "key", "row", "start", "settled"])
 
 
 def suffixes(rows: DataFrame, filter_words: np.ndarray) -> DataFrame:
-    """The windows that may repeat, with their symbols; ``settled``: removed already."""
+    """The suffixes of the stretches whose place passes, with their symbols."""
     shared = rows.sparkSession.sparkContext.broadcast(filter_words)
+    ends = (*CUTS[1:], WINDOW)
 
     def run(batches):
         memo, parts, held = Words(), [], 0
-        for batch in batches:
-            for key, row, text in zip(batch["key"].to_pylist(), batch["row"].to_pylist(), batch["text"]):
-                words = text.as_py().split()
-                if len(words) < WINDOW:
-                    continue
-                sums = prefix_sums(words, memo)
-                at = np.flatnonzero(passes(anchors(sums), shared.value))
-                if not len(at):
-                    continue
-                ends = (*CUTS[1:], WINDOW)
-                parts.append([*(runs(sums, e - c, at, c) for c, e in zip(CUTS, ends)),
-                              np.full(len(at), key, np.int64), np.full(len(at), row, np.int64), at.astype(np.int32)])
-                held += len(at)
-                if held >= PORTION:
-                    yield _settle([np.concatenate(c) for c in zip(*parts)])
-                    parts, held = [], 0
+        for key, row, sums in _texts(batches, memo):
+            _, start, n = stretches(sums)
+            here = passes(_fold(row, start), shared.value)
+            if not here.any():
+                continue
+            start, n = start[here], n[here]
+            at = np.repeat(start - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+            parts.append([*(runs(sums, e - c, at, c) for c, e in zip(CUTS, ends)),
+                          np.full(len(at), key, np.int64), np.full(len(at), row, np.int64), at.astype(np.int32)])
+            held += len(at)
+            if held >= PORTION:
+                yield _settle([np.concatenate(c) for c in zip(*parts)])
+                parts, held = [], 0
         if parts:
             yield _settle([np.concatenate(c) for c in zip(*parts)])
 
-    return rows.select("key", "row", "text").mapInArrow(run, _SUFFIX)
+    return rows.mapInArrow(run, _SUFFIX)
 
 
 # ------------------------------------------------------------ prefix partition
@@ -260,43 +337,47 @@ def deep_nodes(grouped: DataFrame) -> DataFrame:
 
 # -------------------------------------------------------------------- operator
 
-def _keep(words: list[bytes], starts: list[int] | None) -> tuple[int, list[bytes]]:
+def _keep(words: list[bytes], removed: list[dict] | None) -> tuple[int, list[bytes]]:
     """Number of removed words, and the kept ones."""
-    if not starts:
+    if not removed:
         return 0, words
     edge = np.zeros(len(words) + 1, np.int64)
-    at = np.asarray(starts, np.int64)
-    np.add.at(edge, at, 1)
-    np.add.at(edge, at + WINDOW, -1)
+    start = np.array([r["start"] for r in removed])
+    np.add.at(edge, start, 1)
+    np.add.at(edge, start + np.array([r["n"] for r in removed]) + WINDOW - 1, -1)
     kept = np.cumsum(edge[:-1]) == 0
     return int(len(words) - kept.sum()), [words[i] for i in np.flatnonzero(kept)]
 
 
 def substring_dedup(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept (its words joined
-    by one space, as bytes), starts (the removed windows' first words)."""
+    by one space, as bytes), removed (array of first window and number of windows)."""
     key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID))
     rows = text_bytes(docs, key.alias("key"), F.xxhash64("doc_id", "text").alias("row"))
-    repeated = stored(repeated_anchors(rows), "repeated-anchors")
-    found = stored(suffixes(rows, anchor_filter(repeated)), "suffixes")
-    gone = deep_nodes(prefix_groups(found.filter(~F.col("settled")).drop("settled"), group)).unionByName(
-        found.filter("settled").select("row", "start"))
-    removed = gone.groupBy("row").agg(F.collect_set("start").alias("starts"))      # within one document
+    keyed = rows.select("key", "row", "text")
+    repeated = stored(repeated_anchors(keyed), "repeated-anchors")
+    found = stored(open_stretches(keyed, bloom_filter(repeated)), "stretches")
+    removed, go_on = compare_stretches(found)
+    deep = stored(suffixes(keyed, bloom_filter(go_on)), "suffixes")
+    one = F.lit(1).alias("n")
+    gone = removed.unionByName(deep.filter("settled").select("row", "start", one)).unionByName(
+        deep_nodes(prefix_groups(deep.filter(~F.col("settled")).drop("settled"), group)).select("row", "start", one))
+    spans = gone.groupBy("row").agg(F.collect_set(F.struct("start", "n")).alias("removed"))      # within one document
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         n_words, n_removed, kept = [], [], []
-        for text, starts in zip(batch["text"], batch["starts"].to_pylist()):
+        for text, spans in zip(batch["text"], batch["removed"].to_pylist()):
             words = text.as_py().split()
-            n, left = _keep(words, starts)
+            n, left = _keep(words, spans)
             n_words.append(len(words))
             n_removed.append(n)
             kept.append(b" ".join(left))
         return pa.RecordBatch.from_arrays(
             [batch["doc_id"], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()),
-             batch["starts"]], ["doc_id", "n_words", "n_removed", "kept", "starts"])
+             batch["removed"]], ["doc_id", "n_words", "n_removed", "kept", "removed"])
 
-    return map_batches(rows.select("doc_id", "row", "text").join(removed, "row", "left").select("doc_id", "text", "starts"), run,
-                       "doc_id bigint, n_words bigint, n_removed bigint, kept binary, starts array<int>")
+    return map_batches(rows.select("doc_id", "row", "text").join(spans, "row", "left").select("doc_id", "text", "removed"), run,
+                       "doc_id bigint, n_words bigint, n_removed bigint, kept binary, removed array<struct<start:int,n:int>>")
 
 
 def kept_digests(docs: DataFrame) -> DataFrame:
