@@ -9,10 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The per-ball feature thresholds and the declared marker.
+# The per-ball feature thresholds, the declared marker and the result labels.
 SIX_RUNS = 6
 FOUR_RUNS_LOW, FOUR_RUNS_HIGH = 4, 5
 DECLARED_MARKER = "yes"
+WIN, LOSS = "win", "loss"
 
 
 def _c(x) -> Column:
@@ -112,7 +113,7 @@ def missing_flag(x) -> Column:
 
 def result_label(winner, team) -> Column:
     """'win' when the winner equals the team, else 'loss' (null compares as loss, N11)."""
-    return F.when(_c(winner) == _c(team), "win").otherwise("loss")
+    return F.when(_c(winner) == _c(team), WIN).otherwise(LOSS)
 
 
 def recode_when_contains(value, match_value: str, new_value: str, text, token: str) -> Column:

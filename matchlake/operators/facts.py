@@ -3,7 +3,8 @@
 Physical plan at scale (see README "Plans"): the delivery table is shuffled
 once on (match_id, salt); the per-match name table and the match table are
 shuffled once each on the same key, and the four role joins plus the match
-join all reuse that partitioning (``requireAllClusterKeysForCoPartition`` off),
+join all reuse that partitioning (``requireAllClusterKeysForCoPartition`` off,
+see ``session.apply_settings``),
 so the big side is never re-shuffled per role.  AQE turns a join into a hash
 join that builds the per-match side only when every partition of that side is
 under ``maxShuffledHashJoinLocalMapThreshold`` (a hash build cannot spill);
@@ -19,8 +20,7 @@ from pyspark.sql import types as T
 
 from matchlake import functions as mf
 from matchlake.operators.index import with_row_index
-from matchlake.operators.skew import (DEFAULT_ROWS_PER_TASK, SALT, checked_join, hot_keys, salt_big_side,
-                                      salt_small_side)
+from matchlake.operators.skew import DEFAULT_ROWS_PER_TASK, SALT, hot_keys, salt_big_side, salt_small_side
 from matchlake.schemas import FACT_DELIVERY_COLUMNS, ROLES
 
 # The whole-value team-name correction applied to every string
@@ -37,13 +37,12 @@ def _q(c: str):
 
 def add_delivery_id(deliveries: DataFrame, order_cols: list[str] | None = None, name: str = "delivery_id",
                     offset: int = 1) -> DataFrame:
-    """Row index from ``offset`` in a total order (P1).  Default order: document
-    positions when present, else every column."""
+    """Row index from ``offset`` in a total order (P1).  Default order: the place
+    in the match when present, else every column.  Balls extracted from
+    documents by a batch run are numbered without sorting them (see
+    ``operators.ingest.with_first_ids``)."""
     if order_cols is None:
-        if all(c in deliveries.columns for c in ("innings_pos", "ball_pos")):
-            order_cols = ["match_id", "innings_pos", "ball_pos"]
-        else:
-            order_cols = list(deliveries.columns)
+        order_cols = ["match_id", "ball_pos"] if "ball_pos" in deliveries.columns else list(deliveries.columns)
     return with_row_index(deliveries, order_cols, name=name, offset=offset)
 
 
@@ -63,12 +62,6 @@ def add_ball_features(df: DataFrame) -> DataFrame:
     })
 
 
-def _role_side(names: DataFrame, role: str, extra: list[str]) -> DataFrame:
-    """The per-match name table renamed for one role."""
-    return names.select(F.col("person_unique_name").alias(role), "match_id", *extra,
-                        F.col("person_name").alias(f"{role}_name"), F.col("person_id").alias(f"{role}_id"))
-
-
 def resolve_roles(deliveries: DataFrame, names: DataFrame, salted: bool = False) -> DataFrame:
     """Four role-playing left joins on (role name, match_id) (P12, P13), the
     null flags (P14) and coalesce of resolved over raw names (P15).
@@ -105,19 +98,22 @@ def drop_prefixed(df: DataFrame, prefix: str = MISSING_PREFIX) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith(prefix)])
 
 
-def match_with_player(match_info: DataFrame, names: DataFrame, resolve: bool = False) -> DataFrame:
+def match_with_player(match_info: DataFrame, names: DataFrame, resolve: bool = False, salted: bool = False) -> DataFrame:
     """match_info LEFT JOIN names on (player_of_match, match_id).
 
     The join stays even when its column is unused: duplicate names fan rows out.
     By default the published column keeps the raw name (SURVEY Q2); with
-    ``resolve`` it takes the resolved one.
+    ``resolve`` it takes the resolved one.  With ``salted`` both inputs carry
+    ``_salt`` and share one partitioning on (match_id, _salt), so the join adds
+    no exchange.
     """
-    pom = names.select(F.col("person_unique_name").alias("player_of_match"),
-                       F.col("person_name").alias("player_of_match_name"), "match_id")
-    j = match_info.join(pom, ["player_of_match", "match_id"], "left")
-    if resolve:
-        j = j.withColumn("player_of_match", F.coalesce("player_of_match_name", "player_of_match"))
-    return j.select(*[_q(c) for c in match_info.columns])
+    left, right = match_info.alias("l"), names.alias("r")
+    cond = [F.col("l.player_of_match") == F.col("r.person_unique_name")]
+    cond += [F.col(f"l.{k}") == F.col(f"r.{k}") for k in ["match_id"] + ([SALT] if salted else [])]
+    j = left.join(right, cond, "left")
+    player = F.coalesce("r.person_name", "l.player_of_match") if resolve else F.col("l.player_of_match")
+    return j.select(*[(player.alias(c) if c == "player_of_match" else F.col(f"l.`{c}`").alias(c))
+                      for c in match_info.columns])
 
 
 def timestamps_to_dates(df: DataFrame) -> DataFrame:
@@ -138,10 +134,11 @@ def replace_in_strings(df: DataFrame, replacements: dict[str, str]) -> DataFrame
 def join_leagues(df: DataFrame, leagues: DataFrame, left_key: str = "batting_team",
                  right_key: str = "team_name") -> DataFrame:
     """LEFT JOIN the team->league list on different key names; the right key is
-    dropped and every other mapping column follows the fact columns (P27)."""
+    dropped and every other mapping column follows the fact columns (P27).
+    Spark broadcasts the list by its size, or splits skewed teams by AQE."""
     lg = leagues.withColumnRenamed(right_key, left_key)
     extra = [c for c in lg.columns if c != left_key]
-    j = checked_join(df, lg, [left_key], "left")
+    j = df.join(lg, left_key, "left")
     return j.select(*[_q(c) for c in df.columns], *[_q(c) for c in extra])
 
 
@@ -152,20 +149,18 @@ def recode_match_type(df: DataFrame, recode: tuple[str, str, str] = DEFAULT_RECO
     return df.withColumn(column, mf.recode_when_contains(column, old, new, league, token))
 
 
-def flagged_deliveries(d: DataFrame, names: DataFrame, num_partitions: int | None = None,
-                       rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> tuple[DataFrame, DataFrame]:
+def flagged_deliveries(d: DataFrame, names: DataFrame,
+                       rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Indexed deliveries -> the 29 published columns plus ``_salt`` (P2,
     P12-P21), co-partitioned on (match_id, _salt).  Also returns the hot-match
-    table so later joins on match_id can salt the same way."""
-    spark = d.sparkSession
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table and the salted names, so that the match join uses the same salts and
+    the same exchange of the names."""
     d = add_innings_id(d)
     hot = hot_keys(d, ["match_id"], rows_per_task)
-    ds = salt_big_side(d, hot, ["match_id"], ["delivery_id"]).repartition(n, "match_id", SALT)
-    ns = salt_small_side(names, hot, ["match_id"]).repartition(n, "match_id", SALT)
+    ds = salt_big_side(d, hot, ["match_id"], ["delivery_id"]).repartition("match_id", SALT)
+    ns = salt_small_side(names, hot, ["match_id"]).repartition("match_id", SALT)
     d2 = add_ball_features(resolve_roles(ds, ns, salted=True))
-    return d2.select(*[_q(c) for c in delivery_projection(d2).columns], SALT), hot
+    return d2.select(*[_q(c) for c in delivery_projection(d2).columns], SALT), hot, ns
 
 
 def build_fact_table(deliveries: DataFrame, match_info: DataFrame, names: DataFrame, leagues: DataFrame,
@@ -173,28 +168,22 @@ def build_fact_table(deliveries: DataFrame, match_info: DataFrame, names: DataFr
                      recode: tuple[str, str, str] = DEFAULT_RECODE,
                      resolve_player_of_match: bool = False,
                      order_cols: list[str] | None = None,
-                     num_partitions: int | None = None,
                      rows_per_task: int = DEFAULT_ROWS_PER_TASK,
                      keep_missing_flags: bool = False) -> DataFrame:
     """Deliveries + names + match info + leagues -> one wide fact table.
 
     ``names`` is the per-match name table of ``operators.people.resolve_people``.
     """
-    spark = deliveries.sparkSession
-    # Role joins are keyed (name, match_id, salt); let them reuse the
-    # (match_id, salt) partitioning instead of re-shuffling per role.
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     replacements = DEFAULT_REPLACEMENTS if replacements is None else replacements
 
     d = deliveries if "delivery_id" in deliveries.columns else add_delivery_id(deliveries, order_cols)
-    flagged, hot = flagged_deliveries(d, names, n, rows_per_task)
+    flagged, hot, salted_names = flagged_deliveries(d, names, rows_per_task)
     if not keep_missing_flags:
         flagged = drop_prefixed(flagged)
 
-    m = match_with_player(match_info, names, resolve_player_of_match)
-    ms = salt_small_side(m, hot, ["match_id"]).repartition(n, "match_id", SALT)
-    fact = flagged.join(ms, ["match_id", SALT], "inner")
+    ms = salt_small_side(match_info, hot, ["match_id"]).repartition("match_id", SALT)
+    m = match_with_player(ms, salted_names, resolve_player_of_match, salted=True)
+    fact = flagged.join(m, ["match_id", SALT], "inner")
     delivery_cols = [c for c in flagged.columns if c != SALT]
     match_cols = [c for c in match_info.columns if c != "match_id"]
     fact = fact.select(*[_q(c) for c in delivery_cols], *[_q(c) for c in match_cols])

@@ -1,11 +1,13 @@
-"""Skew-safe joins.
-
-A join key may hold a large share of the rows (one long match, the null
-``player_out`` of every non-wicket ball).  Hot keys are found with a partial
-aggregate, which is bounded by construction: at most ``total / rows_per_task``
-keys can exceed ``rows_per_task`` rows, so that table is safe to broadcast.
-Rows of a hot key are spread over ``ceil(rows / rows_per_task)`` salts on the
-big side, and the matching rows of the other side are copied once per salt.
+"""Salting for joins that reuse one partitioning.
+
+Plain joins are left to AQE, which broadcasts by size and splits skewed
+sort-merge partitions.  The role joins share one explicit partitioning on the
+match, which AQE does not split, and a match may hold a large share of the
+rows.  Hot keys are found with a partial aggregate and written down, so that
+Spark knows their size when it joins them back; at most
+``total / rows_per_task`` keys can exceed ``rows_per_task`` rows.  Rows of a
+hot key are spread over ``ceil(rows / rows_per_task)`` salts on the big side,
+and the matching rows of the other side are copied once per salt.
 """
 
 from __future__ import annotations
@@ -13,10 +15,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchlake.session import stored
+
 # Rows one task should handle for a single key before it is split.
 DEFAULT_ROWS_PER_TASK = 2_000_000
-# Right sides up to this many rows are broadcast (after counting them).
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 
 SALT = "_salt"
 
@@ -24,8 +26,8 @@ SALT = "_salt"
 def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> DataFrame:
     """Keys with more than ``rows_per_task`` rows and the number of salts each needs."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return (counts.filter(F.col("_rows") > rows_per_task)
-            .select(*keys, F.ceil(F.col("_rows") / F.lit(rows_per_task)).cast("int").alias("_salts")))
+    return stored(counts.filter(F.col("_rows") > rows_per_task)
+                  .select(*keys, F.ceil(F.col("_rows") / F.lit(rows_per_task)).cast("int").alias("_salts")), "hot-keys")
 
 
 def salt_big_side(df: DataFrame, hot: DataFrame, keys: list[str], spread_cols: list[str],
@@ -36,7 +38,7 @@ def salt_big_side(df: DataFrame, hot: DataFrame, keys: list[str], spread_cols: l
     ``null_spread`` salts as well (a null ``player_out`` on most balls would
     otherwise land in one shuffle partition).
     """
-    joined = df.join(F.broadcast(hot), keys, "left")
+    joined = df.join(hot, keys, "left")
     spread = F.xxhash64(*[F.col(c) for c in spread_cols])
     n_null = null_spread or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     any_null = F.lit(False)
@@ -50,21 +52,6 @@ def salt_big_side(df: DataFrame, hot: DataFrame, keys: list[str], spread_cols: l
 
 def salt_small_side(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
     """Copy rows of hot keys once per salt; other rows get salt 0."""
-    joined = df.join(F.broadcast(hot), keys, "left")
+    joined = df.join(hot, keys, "left")
     n = F.coalesce(F.col("_salts"), F.lit(1))
     return joined.withColumn(SALT, F.explode(F.sequence(F.lit(0), n - 1))).drop("_salts")
-
-
-def checked_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left",
-                 spread_cols: list[str] | None = None,
-                 broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-                 rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> DataFrame:
-    """Equi-join that broadcasts ``right`` only after counting it; beyond the
-    bound it shuffles both sides with hot keys of ``left`` salted."""
-    if right.count() <= broadcast_max_rows:
-        return left.join(F.broadcast(right), on, how)
-    hot = hot_keys(left, on, rows_per_task)
-    spread = spread_cols or [c for c in left.columns if c not in on]
-    l2 = salt_big_side(left, hot, on, spread)
-    r2 = salt_small_side(right, hot, on)
-    return l2.join(r2, on + [SALT], how).drop(SALT)

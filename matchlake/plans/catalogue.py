@@ -40,6 +40,13 @@ def fact_of(st: Standins, resolve_pom: bool = False, keep_flags: bool = False) -
                                   keep_missing_flags=keep_flags)
 
 
+def flagged_of(spark: SparkSession, sf: str) -> DataFrame:
+    """Indexed deliveries with resolved roles and null flags."""
+    from matchlake.session import apply_settings
+    st = Standins(apply_settings(spark), sf)
+    return facts.flagged_deliveries(facts.add_delivery_id(st.deliveries()), names_of(st))[0]
+
+
 _STORED: dict[tuple, str] = {}
 
 
@@ -47,11 +54,11 @@ def stored_fact(spark: SparkSession, sf: str) -> DataFrame:
     """The published fact table, built once per session and scale folder and
     written under the shared checkpoint folder; star schema and reports read
     it back like the notebook reads the stored table (and the lineage is cut)."""
-    from matchlake.session import scratch_dir
+    from matchlake.session import apply_settings, scratch_dir
     key = (spark.sparkContext.applicationId, sf)
     if key not in _STORED:
         path = scratch_dir(spark, "fact")
-        fact_of(Standins(spark, sf)).write.parquet(path)
+        fact_of(Standins(apply_settings(spark), sf)).write.parquet(path)
         _STORED[key] = path
     return spark.read.parquet(_STORED[key])
 
@@ -66,18 +73,17 @@ def q_fact_table(spark, sf):
 
 # ============================================================ reports
 
-_FORM_BASE = """
-tt1 AS (
-  SELECT batter, match_type, league, match_start_date AS date, bowling_team, innings_id,
-         count(delivery_id) AS balls, sum(batter_runs) AS runs, sum(six) AS six, sum(four) AS four,
+# An innings counts once for each batter, match type, league, day, opponent and result.
+_BATTED_INNINGS = """
+batted_innings AS (
+  SELECT DISTINCT batter, match_type, league, match_start_date, bowling_team, innings_id,
          CASE WHEN winner = batting_team THEN 'win' ELSE 'loss' END AS result
-  FROM sd_fact {where}
-  GROUP BY ALL)"""
+  FROM sd_fact)"""
 
 
 @register("player_form_report", O.fact_sql(
-    STANDIN_REPLACEMENTS, extra=[_FORM_BASE.format(where="")],
-    body="SELECT batter, match_type, league, result, count(*) AS innings_count FROM tt1 GROUP BY ALL"))
+    STANDIN_REPLACEMENTS, extra=[_BATTED_INNINGS],
+    body="SELECT batter, match_type, league, result, count(*) AS innings_count FROM batted_innings GROUP BY ALL"))
 def q_player_form_report(spark, sf):
     """Form report for every batter at once (N9-N13 without the one-name filter)."""
     return reports.player_form_report(stored_fact(spark, sf), per_batter=True)
@@ -89,8 +95,8 @@ FORM_BATTER = "Supplier#000000007"
 
 
 @register("player_form_report_one", O.fact_sql(
-    STANDIN_REPLACEMENTS, extra=[_FORM_BASE.format(where=f"WHERE batter = '{FORM_BATTER}'")],
-    body="SELECT match_type, league, result, count(*) AS innings_count FROM tt1 GROUP BY ALL"))
+    STANDIN_REPLACEMENTS, extra=[_BATTED_INNINGS],
+    body=f"SELECT match_type, league, result, count(*) AS innings_count FROM batted_innings WHERE batter = '{FORM_BATTER}' GROUP BY ALL"))
 def q_player_form_report_one(spark, sf):
     """The notebook report as written: one batter (N9 equality filter)."""
     return reports.player_form_report(stored_fact(spark, sf), batter=FORM_BATTER)
@@ -104,9 +110,7 @@ def q_player_form_report_one(spark, sf):
        CAST(sum(CAST(missing_player_out_name AS BIGINT)) AS BIGINT) AS missing_player_out
 FROM sd_flagged GROUP BY batting_team"""))
 def q_missing_name_report(spark, sf):
-    st = Standins(spark, sf)
-    flagged, _ = facts.flagged_deliveries(facts.add_delivery_id(st.deliveries()), names_of(st))
-    return reports.missing_name_report(flagged, by=["batting_team"])
+    return reports.missing_name_report(flagged_of(spark, sf), by=["batting_team"])
 
 
 # ============================================================ people
@@ -156,9 +160,7 @@ def q_ball_features(spark, sf):
                                         body="SELECT * FROM sd_flagged"))
 def q_role_joins(spark, sf):
     """Role-playing joins with the null flags still present."""
-    st = Standins(spark, sf)
-    flagged, _ = facts.flagged_deliveries(facts.add_delivery_id(st.deliveries()), names_of(st))
-    return flagged.drop("_salt")
+    return flagged_of(spark, sf).drop("_salt")
 
 
 @register("match_player_join", O.with_standins(O.PEOPLE_CTE, O.NAMES_CTE, O.match_pom_cte(resolve=True),
@@ -292,14 +294,41 @@ def q_document_registry(spark, sf):
     return extract_registry(parsed_documents(spark, sf))
 
 
-@register("document_quarantine", """SELECT 'deliveries' AS table_name, 'innings missing or mistyped' AS reason,
-       count(*) AS documents
-FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""")
+def broken_documents(spark, sf) -> DataFrame:
+    """The match documents with one fault each, by the match number: cut off,
+    balls without runs, a date that is no day, a map as the venue, a list as
+    the register, or sound."""
+    kind = F.col("match_id").cast("bigint") % 7
+    v = F.col("value")
+    broken = (F.when(kind == 1, F.substr(v, F.lit(1), F.length(v) - 1))
+              .when(kind == 2, F.replace(v, F.lit('"runs":{'), F.lit('"ran":{')))
+              .when(kind == 3, F.replace(v, F.lit('"dates":["'), F.lit('"dates":["on ')))
+              .when(kind == 4, F.replace(v, F.lit('"venue":'), F.lit('"venue":{"at":1},"ground":')))
+              .when(kind == 5, F.replace(v, F.lit('"registry":{"people":'), F.lit('"registry":{"people":["x"],"names":')))
+              .otherwise(v))
+    return stored_documents(spark, sf).withColumn("value", broken)
+
+
+@register("document_quarantine", """WITH docs AS (
+  SELECT o_orderkey % 7 AS kind, EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey) AS played FROM orders),
+rejected AS (
+  SELECT unnest(['deliveries', 'match_info', 'registry']) AS table_name, 'unparseable document' AS reason
+  FROM docs WHERE kind = 1
+  UNION ALL
+  SELECT 'deliveries', CASE WHEN played THEN 'invalid innings or delivery' ELSE 'innings missing or mistyped' END
+  FROM docs WHERE kind <> 1 AND (kind = 2 OR NOT played)
+  UNION ALL
+  SELECT 'match_info', CASE kind WHEN 3 THEN 'date is not yyyy-MM-dd' ELSE 'nested value where a name is expected' END
+  FROM docs WHERE kind IN (3, 4)
+  UNION ALL
+  SELECT 'registry', 'registry is not a map of names' FROM docs WHERE kind = 5)
+SELECT table_name, reason, count(*) AS documents FROM rejected GROUP BY ALL""")
 def q_document_quarantine(spark, sf):
-    """Documents rejected per table and reason (E13): orders without lines
-    make matches without innings, which only the deliveries table rejects."""
-    from matchlake.operators.extract import quarantine
-    return quarantine(parsed_documents(spark, sf)).groupBy("table_name", "reason").agg(
+    """Documents rejected per table and reason (E13), over the match documents
+    with faults of five kinds; orders without lines make matches without
+    innings, which only the deliveries table rejects."""
+    from matchlake.operators.extract import parse_documents, quarantine
+    return quarantine(parse_documents(broken_documents(spark, sf))).groupBy("table_name", "reason").agg(
         F.count(F.lit(1)).alias("documents"))
 
 
@@ -313,26 +342,29 @@ def q_json_field_project(spark, sf):
 
 
 @register("quarantine_split", """SELECT src, valid, count(*) AS documents FROM (
-  SELECT 'events' AS src, json_valid(props) AND starts_with(ltrim(props), '{') AS valid FROM events
+  SELECT 'events' AS src, event_id % 7 <> 0 AS valid FROM events
   UNION ALL
   SELECT 'benchmark', json_valid(text) AND starts_with(ltrim(text), '{') FROM benchmark
   UNION ALL
   SELECT 'pages', json_valid(html) AND starts_with(ltrim(html), '{') FROM pages) GROUP BY ALL""")
 def q_quarantine_split(spark, sf):
-    """Valid / rejected split of text documents with the corrupt-record column."""
+    """Valid / rejected split of text documents by the extraction's own verdict
+    (E13); every seventh event's text is cut off."""
+    from matchlake.operators.extract import parse_documents
     st = Standins(spark, sf)
+    cut = F.when(F.col("event_id") % 7 == 0, F.substr("props", F.lit(1), F.length("props") - 1)).otherwise(F.col("props"))
     docs = (st.t("events").select(F.lit("events").alias("src"), F.col("event_id").cast("string").alias("match_id"),
-                                  F.col("props").alias("value"))
+                                  cut.alias("value"))
             .unionByName(st.t("benchmark").select(F.lit("benchmark").alias("src"),
                                                   F.col("item_id").cast("string").alias("match_id"),
                                                   F.col("text").alias("value")))
             .unionByName(st.t("pages").select(F.lit("pages").alias("src"),
                                               F.col("page_id").cast("string").alias("match_id"),
                                               F.col("html").alias("value"))))
-    tagged = docs.select("src", F.from_json("value", "info string, innings string, _corrupt string",
-                                            {"columnNameOfCorruptRecord": "_corrupt"}).alias("d"))
-    valid = F.col("d").isNotNull() & F.col("d._corrupt").isNull()
-    return tagged.groupBy("src", valid.alias("valid")).agg(F.count(F.lit(1)).alias("documents"))
+    # the source travels in the id through the extraction
+    parsed = parse_documents(docs.select(F.concat_ws(":", "src", "match_id").alias("match_id"), "value"))
+    return parsed.groupBy(F.substring_index("match_id", ":", 1).alias("src"), F.col("doc_ok").alias("valid")).agg(
+        F.count(F.lit(1)).alias("documents"))
 
 
 @register("first_last_of_list", """SELECT vec_id, embedding[1] AS first_value, embedding[-1] AS last_value,
@@ -366,13 +398,21 @@ def q_date_parse(spark, sf):
                     mf.parse_day(unpadded).alias("parsed_unpadded"))
 
 
-@register("first_key_of_map", """SELECT event_id, json_keys(props)[1] AS first_key,
-       CAST(json_extract_string(props, '$.' || json_keys(props)[1]) AS DOUBLE) AS first_value FROM events""")
+@register("first_key_of_map", """WITH made AS (
+  SELECT event_id, CASE event_id % 3 WHEN 0 THEN props ELSE
+         '{"' || (CASE event_id % 3 WHEN 1 THEN 'z' ELSE 'a' END) || '": ' || event_id || ', "k": 1, "b": 2}' END AS m
+  FROM events)
+SELECT event_id, json_keys(m)[1] AS first_key,
+       CAST(json_extract_string(m, '$.' || json_keys(m)[1]) AS DOUBLE) AS first_value FROM made""")
 def q_first_key_of_map(spark, sf):
     """First key of a JSON object read as an ordered map, and its value as a
-    number (E11, the win-type / margin rule), on every event."""
+    number (E11, the win-type / margin rule), on every event; two of three
+    events get an object of three keys whose first one sorts last or first."""
     ev = Standins(spark, sf).t("events")
-    m = F.from_json("props", "map<string,string>")
+    third = F.col("event_id") % 3
+    made = F.concat(F.lit('{"'), F.when(third == 1, "z").otherwise("a"), F.lit('": '), F.col("event_id").cast("string"),
+                    F.lit(', "k": 1, "b": 2}'))
+    m = F.from_json(F.when(third == 0, F.col("props")).otherwise(made), "map<string,string>")
     return ev.select("event_id", mf.first_key(m).alias("first_key"), mf.to_double(mf.first_value(m)).alias("first_value"))
 
 
@@ -448,13 +488,14 @@ def q_read_or_empty(spark, sf):
 @register("csv_roundtrip", O.with_standins(O.PEOPLE_CTE, body="SELECT * FROM sd_people_raw"))
 def q_csv_roundtrip(spark, sf):
     """People register written as CSV with a header and read back with a
-    declared schema (S4, S8)."""
-    from matchlake.schemas import PEOPLE_RAW
+    schema declared by type names (S4, S6, S8)."""
+    from matchlake.schemas import schema_from_names
     from matchlake.session import scratch_dir
     from matchlake.sources.sinks import write_table
     from matchlake.sources.tables import read_csv
+    declared = schema_from_names({"identifier": "String", "key_cricinfo": "Int64", "name": "String", "unique_name": "Utf8"})
     path = write_table(Standins(spark, sf).people_raw(), scratch_dir(spark, "csv"), mode="overwrite", fmt="csv")
-    return read_csv(spark, path, PEOPLE_RAW)
+    return read_csv(spark, path, declared)
 
 
 @register("sql_view_scan", """SELECT n_name, r_name, count(*) AS customers FROM customer
@@ -471,17 +512,37 @@ def q_sql_view_scan(spark, sf):
 
 # ============================================================ whole incremental pipeline
 
-@register("incremental_fact", O.fact_sql(STANDIN_REPLACEMENTS, body="SELECT * EXCLUDE (delivery_id) FROM sd_fact"))
+@register("rebuild_or_reuse", O.with_standins(body=f"""SELECT 'rebuild' AS run, * FROM sd_match_info
+UNION ALL
+SELECT 'reuse', * FROM sd_match_info WHERE match_start_date < TIMESTAMP '{_SPLIT}'"""))
+def q_rebuild_or_reuse(spark, sf):
+    """The three choices of a run over whole ``orders`` (I9): matches from 1998
+    are new, so the table is rebuilt from everything; nothing is new, so the
+    stored one (before 1998) is used; nothing is new or stored, so it is empty."""
+    from matchlake.operators.ingest import new_ids, rebuild_or_reuse
+    from matchlake.schemas import MATCH_INFO
+    from matchlake.sources.tables import empty_table
+    every = Standins(spark, sf).match_info()
+    before = every.filter(F.col("match_start_date") < F.lit(_SPLIT).cast("timestamp_ntz"))
+    empty = empty_table(spark, MATCH_INFO)
+    runs = {"rebuild": (new_ids(every, before), lambda: before), "reuse": (new_ids(before, every), lambda: before),
+            "empty": (new_ids(before, every), lambda: None)}
+    out = None
+    for run, (ids, stored) in runs.items():
+        chosen = rebuild_or_reuse(ids, lambda: every, stored, lambda: empty).select(F.lit(run).alias("run"), "*")
+        out = chosen if out is None else out.unionByName(chosen)
+    return out
+
+
+@register("incremental_fact", O.fact_sql(STANDIN_REPLACEMENTS, indexed=O.BATCH_INDEXED_CTE.format(cut=_SPLIT)))
 def q_incremental_fact(spark, sf):
     """Documents built from the driver tables ingested in two batches (matches
     before 1998, then the rest): bronze parse, three tables, quarantine and
     ledger per batch, each batch's fact rows published on their own with ids
-    continuing from the previous batch (S1-S8, I1-I10, E1-E15, P1-P28).
-    ``delivery_id`` follows batch order here and is left out of the
-    comparison."""
-    from matchlake.operators.ingest import Paths, publish_fact_batch, run_batch
-    from matchlake.session import scratch_dir
-    st = Standins(spark, sf)
+    continuing from the previous batch (S1-S8, I1-I10, E1-E15, P1-P28)."""
+    from matchlake.operators.ingest import Paths, publish_fact_batch, published_fact, run_batch
+    from matchlake.session import apply_settings, scratch_dir
+    st = Standins(apply_settings(spark), sf)
     docs = stored_documents(spark, sf).withColumn("parse_error", F.lit(None).cast("string"))
     first_day = F.get_json_object("value", "$.info.dates[0]")
     store = Paths(scratch_dir(spark, "store"))
@@ -489,7 +550,7 @@ def q_incremental_fact(spark, sf):
     for batch in (docs.filter(first_day < _SPLIT), docs.filter(~(first_day < _SPLIT) | first_day.isNull())):
         b = run_batch(spark, batch, store)["batch_id"]
         publish_fact_batch(spark, store, *refs, batch_id=b, replacements=STANDIN_REPLACEMENTS)
-    return spark.read.parquet(store.table("fact_by_batch")).drop("delivery_id", "batch_id")
+    return published_fact(spark, store).drop("batch_id")
 
 
 @register("parquet_scan", """SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem

@@ -37,6 +37,14 @@ ORDER_ALL = ", ".join(f"{c} NULLS FIRST" for c in DELIVERY_COLS)
 INDEXED_CTE = f"""sd_indexed AS (
   SELECT CAST(row_number() OVER (ORDER BY {ORDER_ALL}) AS BIGINT) AS delivery_id, * FROM sd_deliveries)"""
 
+# Ids as a run of two batches gives them: by batch (matches before the cut
+# first), match, and place in the match document.
+BATCH_INDEXED_CTE = """sd_indexed AS (
+  SELECT CAST(row_number() OVER (ORDER BY m.match_start_date >= TIMESTAMP '{cut}', d.match_id, d.innings, d.batting_team,
+                                 d.delivery, d.batter, d.bowler, d.non_striker, d.batter_runs, d.extra_runs, d.total_runs,
+                                 d.wicket_type NULLS FIRST, d.player_out NULLS FIRST, d.declared) AS BIGINT) AS delivery_id, d.*
+  FROM sd_deliveries d JOIN sd_match_info m ON d.match_id = m.match_id)"""
+
 
 def roles_cte() -> str:
     sel = ["d.*"]
@@ -83,7 +91,7 @@ STRING_FACT_COLS = ["match_id", "innings_id", "innings", "batting_team", "bowlin
                     "player_of_match", "team1", "team2", "toss_decision", "toss_winner", "venue"]
 
 
-def fact_ctes(replacements: dict[str, str], resolve_pom: bool = False) -> list[str]:
+def fact_ctes(replacements: dict[str, str], resolve_pom: bool = False, indexed: str = INDEXED_CTE) -> list[str]:
     mcols = []
     for c in MATCH_COLS:
         if c in ("match_start_date", "match_end_date"):
@@ -111,12 +119,12 @@ def fact_ctes(replacements: dict[str, str], resolve_pom: bool = False) -> list[s
             out.append(f"f.{q(c)}")
     fact = ("sd_fact AS (\n  SELECT " + ", ".join(out) + ", lg.league\n"
             "  FROM sd_fact1 f LEFT JOIN sd_leagues lg ON f.batting_team = lg.team_name)")
-    return [PEOPLE_CTE, NAMES_CTE, INDEXED_CTE, roles_cte(), FLAGGED_CTE, match_pom_cte(resolve_pom), fact0, fact1,
-            fact]
+    return [PEOPLE_CTE, NAMES_CTE, indexed, roles_cte(), FLAGGED_CTE, match_pom_cte(resolve_pom), fact0, fact1, fact]
 
 
-def fact_sql(replacements: dict[str, str], body: str = "SELECT * FROM sd_fact", extra: list[str] | None = None) -> str:
-    return with_standins(*fact_ctes(replacements), *(extra or []), body=body)
+def fact_sql(replacements: dict[str, str], body: str = "SELECT * FROM sd_fact", extra: list[str] | None = None,
+             indexed: str = INDEXED_CTE) -> str:
+    return with_standins(*fact_ctes(replacements, indexed=indexed), *(extra or []), body=body)
 
 
 HASH_SOURCES_SQL = {

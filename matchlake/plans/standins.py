@@ -27,24 +27,8 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Driver table scan.  The driver files hold one row group each, which a
-    scan cannot split, so a table that arrives in fewer partitions than there
-    are cores is spread round-robin first (the projection and filters above
-    still prune and push below the exchange).  Tables that already arrive in
-    many splits - any large table - are left as scanned."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name not in _SPREAD:
-        return df
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a remote session): leave the scan as is
-        return df
-    return df.repartition(cores) if splits < cores else df
-
-
-# Tables whose rows feed per-row derivations of the stand-ins.
-_SPREAD = {"lineitem", "orders"}
+    """Driver table scan, as Spark splits it."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _person(key) -> F.Column:

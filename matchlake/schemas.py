@@ -58,11 +58,6 @@ DELIVERIES = T.StructType([
     T.StructField("player_out", T.StringType()),
 ])
 
-# Positions carried next to the 14 declared columns so that the row index of
-# the fact table follows document order (match, innings, ball) and not file
-# listing order.
-DELIVERY_ORDER_COLUMNS = ["innings_pos", "ball_pos"]
-
 MATCH_INFO = T.StructType([
     T.StructField("match_id", T.StringType()),
     T.StructField("city", T.StringType()),
@@ -128,7 +123,7 @@ QUARANTINE = T.StructType([
     T.StructField("raw", T.StringType()),
 ])
 
-# Column order of the published fact table before the match columns (P21 less
+# Column order of the published fact table before the match columns (P21 less
 # the four missing_* flags, P22).
 FACT_DELIVERY_COLUMNS = [
     "delivery_id", "match_id", "innings_id", "innings", "batting_team", "bowling_team",

@@ -12,9 +12,11 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-# Settings the transforms are written for.  AQE re-plans joins and splits
+# Settings the transforms are written for; on a cluster also set
+# spark.sql.adaptive.coalescePartitions.initialPartitionNum to the number of
+# partitions that the largest shuffle needs (AQE coalesces the others).  AQE re-plans joins and splits
 # skewed sort-merge partitions at runtime; ``requireAllClusterKeysForCoPartition``
 # lets the role joins on (name, match_id[, salt]) reuse one partitioning on
 # (match_id[, salt]) instead of re-shuffling the delivery table per role.
@@ -47,6 +49,19 @@ def get_session(master: str | None = None, app: str = "matchlake", shuffle_parti
     return spark
 
 
+# Of those, the settings that may be changed on a running session.
+_RUNTIME_CONF = ("spark.sql.requireAllClusterKeysForCoPartition", "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold")
+
+
+def apply_settings(spark: SparkSession) -> SparkSession:
+    """Give a session made elsewhere the runtime settings the plans are written
+    for.  Called by applications (the registered queries, the bench), never by
+    an operator: results do not depend on them, exchange counts do."""
+    for key in _RUNTIME_CONF:
+        spark.conf.set(key, RECOMMENDED_CONF[key])
+    return spark
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
@@ -68,7 +83,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     """A fresh folder under the shared checkpoint folder for written tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a scratch folder and read it back: fixes its values, cuts
+    the lineage, and lets Spark know its size."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables of this application (frames built on them end
+    with it); returns how many there were.  Call it once results are written."""
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)

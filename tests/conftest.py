@@ -9,18 +9,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
-    from pyspark.sql import SparkSession
-    ckpt = tempfile.mkdtemp(prefix="ml-test-ckpt-")
-    s = (SparkSession.builder.master("local[4]").appName("matchlake-tests")
-         .config("spark.sql.shuffle.partitions", "4")
-         .config("spark.ui.enabled", "false")
-         .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.sql.adaptive.enabled", "true")
-         .config("spark.checkpoint.dir", ckpt)
-         .config("spark.driver.memory", "4g")
-         .getOrCreate())
-    s.sparkContext.setLogLevel("ERROR")
+    from matchlake.session import get_session
+    s = get_session("local[4]", app="matchlake-tests", shuffle_partitions=4, extra={
+        "spark.ui.showConsoleProgress": "false", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="ml-test-ckpt-"),
+        "spark.driver.memory": "4g"})
     yield s
     s.stop()
 

@@ -30,7 +30,10 @@ def _canon(v):
 
 CHEAP = ["people_profiles", "innings_key", "ball_features", "type_selector_cast", "value_replace_all_strings",
          "document_match_info", "document_registry", "json_field_project", "other_team", "date_parse",
-         "id_listing_stem", "new_ids_anti", "collision_guard", "append_batches", "read_or_empty", "row_index"]
+         "id_listing_stem", "new_ids_anti", "collision_guard", "append_batches", "read_or_empty", "row_index",
+         "fact_table", "role_joins", "delivery_projection", "hash_keys", "star_join", "dimension_keys", "incremental_fact",
+         "rebuild_or_reuse", "document_deliveries", "document_quarantine", "quarantine_split", "first_key_of_map",
+         "csv_roundtrip", "match_player_join", "league_join_recode", "limit_ordered", "player_form_report"]
 
 
 @pytest.fixture(scope="module")

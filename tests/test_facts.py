@@ -112,7 +112,7 @@ def test_missing_flags_and_report(spark, inputs):
 def test_row_index_matches_row_number(spark):
     li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
     keys = li.columns
-    got = with_row_index(li, keys, "rid", num_partitions=5)
+    got = with_row_index(li, keys, "rid")
     from pyspark.sql import Window
     ref = li.withColumn("rid", F.row_number().over(Window.orderBy(*[F.col(c).asc_nulls_first() for c in keys]))
                         .cast("bigint"))
@@ -121,12 +121,20 @@ def test_row_index_matches_row_number(spark):
     assert got.exceptAll(ref.select(got.columns)).isEmpty()
 
 
-def test_surrogate_keys_both_paths(spark):
-    df = spark.range(50).select((F.col("id") * 7 % 50).alias("v"))
-    small = surrogate_keys(df, ["v"], "sk")
-    big = surrogate_keys(df, ["v"], "sk", max_single_task_rows=0)
-    assert sorted((r["v"], r["sk"]) for r in small.collect()) == sorted((r["v"], r["sk"]) for r in big.collect())
-    assert sorted(r["sk"] for r in big.collect()) == list(range(1, 51))
+def test_surrogate_keys(spark):
+    df = spark.range(50).select((F.col("id") * 7 % 50).alias("v")).repartition(6)
+    assert sorted((r["v"], r["sk"]) for r in surrogate_keys(df, ["v"], "sk").collect()) == [(v, v + 1) for v in range(50)]
+
+
+def test_running_offsets(spark):
+    from matchlake.operators.index import running_offsets
+    df = spark.createDataFrame([(f"{i:03d}", i % 4) for i in range(60)], "k string, n bigint").repartition(7)
+    got = {r["k"]: r["at"] for r in running_offsets(df, ["k"], "n", "at", first=10).collect()}
+    want, at = {}, 10
+    for i in range(60):
+        want[f"{i:03d}"] = at
+        at += i % 4
+    assert got == want
 
 
 def test_star_schema(spark, inputs):
@@ -145,16 +153,13 @@ def test_star_schema(spark, inputs):
     assert not any(c.endswith("_hash") for c in joined.columns)
 
 
-def test_dimension_table_paths_agree(spark, inputs):
+def test_dimension_table_keys_follow_the_hash(spark, inputs):
     d, mi, names, lg = inputs
     hashed = star.with_hash_keys(facts.build_fact_table(d, mi, names, lg))
-    key = lambda r: tuple("" if v is None else str(v) for v in r)
-    small = sorted((tuple(r) for r in star.dimension_table(hashed).collect()), key=key)
-    big = sorted((tuple(r) for r in star.dimension_table(hashed, max_single_task_rows=0).collect()), key=key)
-    assert small == big
+    rows = star.dimension_table(hashed).collect()
     for dim in star.HASH_SOURCES:
-        sks = sorted(r[3] for r in small if r[0] == dim)
-        assert sks == list(range(1, len(sks) + 1))
+        members = sorted((r["member_hash"], r["member"] or "", r["sk"]) for r in rows if r["dimension"] == dim)
+        assert [m[2] for m in members] == list(range(1, len(members) + 1))
 
 
 def _rows(df):
@@ -168,11 +173,8 @@ def test_salted_hot_matches_give_the_same_fact(inputs):
     assert _rows(plain) == _rows(salted)
 
 
-def test_checked_join_shuffle_path(spark):
-    from matchlake.operators.skew import checked_join
-    left = spark.createDataFrame([(1, "a"), (1, "b"), (1, "c"), (2, "d"), (None, "e")], "k int, v string")
-    right = spark.createDataFrame([(1, "x"), (1, "y"), (3, "z")], "k int, w string")
-    small = checked_join(left, right, ["k"], "left")
-    big = checked_join(left, right, ["k"], "left", broadcast_max_rows=0, rows_per_task=1)
-    assert _rows(small) == _rows(big)
-    assert len(_rows(big)) == 3 * 2 + 1 + 1
+def test_resolved_player_of_match_with_hot_matches(inputs):
+    d, mi, names, lg = inputs
+    plain = facts.build_fact_table(d, mi, names, lg, resolve_player_of_match=True)
+    salted = facts.build_fact_table(d, mi, names, lg, resolve_player_of_match=True, rows_per_task=1)
+    assert _rows(plain) == _rows(salted)

@@ -13,7 +13,8 @@ def plan_text(df):
 
 
 def test_filter_and_projection_reach_the_scan(spark):
-    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    from matchlake.sources.tables import read_parquet
+    li = read_parquet(spark, f"{SF_SMALL}/lineitem.parquet")
     q = li.filter(F.col("l_returnflag") == "R").select("l_orderkey", "l_quantity")
     p = plan_text(q)
     assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)]" in p
@@ -27,7 +28,7 @@ def test_role_joins_share_one_partitioning(spark):
         st = Standins(spark, SF_SMALL)
         d = st.deliveries().withColumn("delivery_id", F.monotonically_increasing_id())
         names = people.resolve_people(st.registry(), st.people_raw(), st.profiles_raw())
-        flagged, _ = facts.flagged_deliveries(d, names)
+        flagged = facts.flagged_deliveries(d, names)[0]
         p = plan_text(flagged)
         # one exchange for the delivery side and one for the name table; the
         # four role joins add none
@@ -53,9 +54,44 @@ def test_extraction_parses_each_text_once(spark):
 def test_row_index_keeps_rows_distributed(spark):
     from matchlake.operators.index import with_row_index
     li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
-    p = plan_text(with_row_index(li, ["l_orderkey", "l_linenumber"], "rid", num_partitions=4))
+    p = plan_text(with_row_index(li, ["l_orderkey", "l_linenumber"], "rid"))
     # rows are read back from the written, range-partitioned table and joined
     # to broadcast offsets; the only single-partition exchange carries the
     # per-partition counts (one row per partition) into the prefix-sum window
     assert p.count("Exchange SinglePartition") == 1
     assert "BroadcastHashJoin" in p and "Window" in p
+
+
+def _exchanges(plan):
+    return [ln for ln in plan.split("\n") if "Exchange " in ln and "ReusedExchange" not in ln and "Broadcast" not in ln]
+
+
+def test_match_join_shuffles_matches_once(spark):
+    """P23 inside the fact build: match_info is shuffled once, on the joins' own
+    key; of the names a narrower copy (two columns) is."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        st = Standins(spark, SF_SMALL)
+        d = st.deliveries().withColumn("delivery_id", F.monotonically_increasing_id())
+        names = people.resolve_people(st.registry(), st.people_raw(), st.profiles_raw())
+        lg = st.leagues()
+        p = plan_text(facts.build_fact_table(d, st.match_info(), names, lg))
+        salted = [ln for ln in _exchanges(p) if "hashpartitioning(" in ln and "_salt" in ln]
+        assert len(salted) == 4, salted          # deliveries, names, match_info, names for the player of the match
+        assert not [ln for ln in _exchanges(p) if "hashpartitioning(player_of_match" in ln]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_numbering_documents_moves_no_ball(spark):
+    """Ids of extracted balls: no range exchange, no sort of balls."""
+    from matchlake.operators.extract import extract_deliveries, parse_documents, typed_documents
+    from matchlake.operators.ingest import with_first_ids
+    docs = spark.createDataFrame([("1", "{}")], "match_id string, value string")
+    bronze = typed_documents(parse_documents(docs)).withColumn("doc_no", F.monotonically_increasing_id())
+    p = plan_text(extract_deliveries(with_first_ids(bronze, 1)))
+    assert "rangepartitioning" not in p
+    generate = p.index("Generate posexplode")
+    assert "Exchange" not in p[:generate] and "Sort " not in p[:generate]
