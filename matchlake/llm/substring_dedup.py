@@ -300,8 +300,9 @@ def prefix_groups(open_: DataFrame, group: int = GROUP) -> DataFrame:
     """``open_`` with ``prefix``: a hash of as many symbols as it takes for a
     group of at most ``group`` suffixes (the full window if it must be)."""
     def heavy(symbols: list[str], name: str) -> DataFrame:
-        # at most (all suffixes / group) prefixes
-        return open_.groupBy(*symbols).count().filter(F.col("count") > group).select(*symbols, F.lit(True).alias(name))
+        # at most (all suffixes / group) prefixes, written down so that Spark knows their size when it joins them
+        return stored(open_.groupBy(*symbols).count().filter(F.col("count") > group).select(*symbols, F.lit(True).alias(name)),
+                      "heavy-prefixes")
 
     first, second = heavy(["s1"], "more1"), heavy(["s1", "s2"], "more2")
     return (open_.join(first, "s1", "left").join(second, ["s1", "s2"], "left")
