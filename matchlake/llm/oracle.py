@@ -22,9 +22,9 @@ ranked AS (
          sum(source_size) OVER () AS total
   FROM per WINDOW w AS (ORDER BY source_size * 3.0 / weight, skey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 levels AS (
-  SELECT *, CAST(CAST(total AS BIGINT) - CAST(capped AS BIGINT) AS DOUBLE) / CAST(open_weight AS DOUBLE) AS level FROM ranked),
+  SELECT *, row_number() OVER (ORDER BY cap * 1.0 / weight, skey) AS place, CAST(CAST(total AS BIGINT) - CAST(capped AS BIGINT) AS DOUBLE) / CAST(open_weight AS DOUBLE) AS level FROM ranked),
 level AS (
-  SELECT min(level) AS level FROM levels WHERE level * weight <= cap),
+  SELECT arg_min(level, place) AS level FROM levels WHERE level * weight <= cap),
 targets AS (
   SELECT skey, source_size, CASE WHEN l.level IS NULL OR l.level * weight > cap THEN CAST(cap AS DOUBLE)
                                  ELSE l.level * weight END AS target

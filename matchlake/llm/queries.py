@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from matchlake.llm.common import table
 from matchlake.llm.decontaminate import contamination
 from matchlake.llm.exact_dedup import exact_dedup
+from matchlake.llm.licenses import license_scan
 from matchlake.llm.lm import lm_scores
 from matchlake.llm.mixing import mix
 from matchlake.llm.quality import quality_scores
@@ -23,6 +24,10 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("all", ",").alias("spans"), "n_entropy")
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("digest")
 
@@ -56,5 +61,5 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets, op3_quality, op4_substring_dedup, op5_mixing, op6_toxicity, op7_exact_dedup, op8_simhash,
+QUERIES = {f.__name__: f for f in (op1_secrets, op2_licenses, op3_quality, op4_substring_dedup, op5_mixing, op6_toxicity, op7_exact_dedup, op8_simhash,
                                    op9_decontamination, op10_lm)}

@@ -2,13 +2,13 @@
 
 import math
 import random
-import tempfile
+import re
 
 import brute
 import pytest
 from pyspark.sql import functions as F
 
-from matchlake.llm import lm, quality, secrets, simhash, substring_dedup, toxicity
+from matchlake.llm import licenses, lm, quality, secrets, simhash, substring_dedup, toxicity
 from matchlake.llm.components import components
 from matchlake.llm.decontaminate import clean_documents, contamination
 from matchlake.llm.exact_dedup import drop_copies, exact_dedup
@@ -101,6 +101,46 @@ def test_entropy_window_and_allow_list(spark):
     assert [s.split(":")[0] for s in got[4]] == ["assign"]
 
 
+# ----------------------------------------------------------------- 2 licences
+
+def test_license_forms_and_units(spark, empty):
+    notice = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."
+    isc = next(t for i, t in licenses.LICENSES if i == "ISC")
+    mit = next(t for i, t in licenses.LICENSES if t.startswith("MIT License"))
+    rows = [(1, "Copyright (c) 2020 Some One\n\n" + isc.upper().replace("SOFTWARE", "software"), "en", "a"),
+            (2, "Intro text\nReleased under the M.I.T. License\nReleased under the mit licence!\nend", "en", "a"),
+            (3, "licensed under cc by-nc 4.0", "en", "a"), (4, "It was licensed under CC BY-NC 4.0 they say", "en", "a"),
+            (5, None, "en", "a"), (6, notice, "en", "a"), (7, "\u00a9 2019 X\n" + mit.replace("sublicense", "sub-licence") + "\n", "en", "a"),
+            (8, "Preface.\n\n" + isc.split("\n\n")[0] + "\n\nEnd. Released under the MIT License.", "en", "a"),
+            (9, "Licensed under CC BY 4.0.\n" * 3 + "This work is licensed under the GNU General Public License, version 3.", "en", "a"),
+            (9, "Licensed under CC BY 4.0.\n" * 3 + "This work is licensed under the GNU General Public License, version 3.", "en", "a")]
+    out = licenses.license_scan(frame(spark, rows)).collect()
+    got = sorted((r["doc_id"], r["text_license"], r["n_units"], r["licenses"]) for r in out)
+    assert [g for g in got if g[0] not in (1, 7)] == [
+        (2, None, 1, "MIT"), (3, "CC-BY-NC-4.0", 1, "CC-BY-NC-4.0"), (4, None, 0, ""), (5, None, 0, ""), (6, None, 0, ""),
+        (8, None, 0, ""), (9, None, 4, "CC-BY-4.0,GPL-3.0-only"), (9, None, 4, "CC-BY-4.0,GPL-3.0-only")]
+    assert [g[1] for g in got if g[0] in (1, 7)] == ["ISC", "MIT"]
+    assert licenses.license_scan(empty).count() == 0
+    mine = spark.createDataFrame([("Z", "end"), ("A", "END."), ("N", None), (None, "Intro text")], "license_id string, text string")
+    assert {r["doc_id"]: r["licenses"] for r in licenses.license_scan(frame(spark, rows), mine).collect()}[2] == "A"
+
+
+@BOTH
+def test_license_digests(spark, make):
+    """Against a plain version: every line that is one of the notices."""
+    docs = make(spark)
+
+    def form(text):
+        return " ".join(re.findall(r"[a-z0-9\u0080-\U0010ffff]+", brute.lower(text)))
+    notices = {form(t): i for i, t in licenses.LICENSES if "\n" not in t}
+    want = []
+    for i, t in collected(docs):
+        hits = [notices[form(line)] for line in (t or "").split("\n") if form(line) in notices]
+        want.append((i, len(hits), ",".join(sorted(set(hits)))))
+    got = [(r["doc_id"], r["n_units"], r["licenses"]) for r in licenses.license_scan(docs).collect()]
+    assert order(got) == order(want)
+
+
 # -------------------------------------------------- 3 and 6 the two classifiers
 
 @pytest.mark.parametrize("name, label, least", [("op3_quality", "quality", 0.95), ("op6_toxicity", "toxic", 0.85)])
@@ -130,7 +170,7 @@ def test_temperature_and_network():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(600, 8))
     y = (x[:, 0] * x[:, 1] > 0).astype(int)
-    net = quality.fit_network(x, y, np.arange(600) % 5 == 0)
+    net = quality.fit_network(x, y, np.arange(600) % 5 == 0, epochs=600)
     assert ((net.score(x) >= 0.5) == y).mean() > 0.9 and net.temperature > 0
 
 
@@ -375,5 +415,6 @@ def test_lm_empty(empty):
 
 
 def test_model_beats_unigrams_on_held_out(spark):
-    rows = QUERIES["op10_lm"](spark, "/root/testdata/sf0.01").filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    """At sf0.1: on a few hundred texts the unigrams' one class for all unseen tokens weighs more than the model gains."""
+    rows = QUERIES["op10_lm"](spark, "/root/testdata/sf0.1").filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert rows[0] > rows[1]
