@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchlake.llm.common import SPACES, stored
+from matchlake.operators.index import with_row_index
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
@@ -46,10 +47,10 @@ def source_targets(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repe
     capped ones is shared again by weight until no source is above.  Each
     round is one aggregate over the sources; only two sums reach the driver."""
     sizes = rows.groupBy("skey").agg(F.sum("size").alias("source_size"))
-    rank = F.row_number().over(Window.orderBy("skey")) - 1   # one row per source
+    ranked = with_row_index(sizes, ["skey"], "rank", offset=0)      # however many sources there are
     cycle = F.array(*[F.lit(w) for w in weights])
-    per = stored(sizes.select("skey", "source_size",
-                              F.element_at(cycle, (rank % len(weights) + 1).cast("int")).alias("weight")), "sources")
+    per = stored(ranked.select("skey", "source_size", F.element_at(
+        cycle, (F.col("rank") % len(weights) + 1).cast("int")).alias("weight")), "sources")
     cap = F.col("source_size") * max_repeats
     total = per.agg(F.sum("source_size")).first()[0] or 0
     level = None
