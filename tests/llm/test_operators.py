@@ -50,10 +50,6 @@ def frame(spark, rows=None):
     return df.repartition(3).withColumns({c: F.lit(c) for c in clash})
 
 
-def pairs(rows=None):
-    return [(i, t) for i, t, *_ in (AWKWARD if rows is None else rows)]
-
-
 def whole(spark):
     return spark.read.parquet(f"{SF}/documents.parquet")
 
@@ -362,6 +358,7 @@ def items(spark):
 def test_contamination(spark, make, blocks):
     docs = make(spark)
     bench = items(spark) if make is frame else spark.read.parquet(f"{SF}/benchmark.parquet")
+    blocks = blocks if make is frame else max(blocks, 400)      # three blocks of the table's windows
     got = contamination(docs, bench, max_windows=blocks).select(
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()
     want = brute.contamination(collected(docs), [(r["item_id"], r["text"]) for r in bench.collect()])
