@@ -407,6 +407,41 @@ def test_lm_is_a_distribution_and_learns():
     assert (2.0 ** -model.token_bits(singles)[0]).sum() <= 1 + 1e-9
 
 
+def test_lm_prefix_counts_of_all_tokens(spark, monkeypatch):
+    """Every distinct token's prefixes are counted, whatever its share and wherever the runs are cut."""
+    import numpy as np
+    rng = random.Random(7)
+    tokens = sorted({b"", b"ab", b"ab\x01", b"zz" * 30, b"zz" * 30 + b"y"}
+                    | {bytes(rng.choice(b"ab\x01\xc3\xff") for _ in range(rng.randrange(1, 9))) for _ in range(400)})
+    rows = [(t, c0, c1, c0 + c1, c0 + c1 + 1) for t in tokens for c0, c1 in [(rng.randrange(3), rng.randrange(1 << 24))]]
+    counts = spark.createDataFrame(rows, "token binary, c0 bigint, c1 bigint, c bigint, c_all bigint")
+    want = {}
+    for t, *c in rows:
+        bits = "".join(f"{b:08b}" for b in t + b" ")
+        for d in range(len(bits) + 1):
+            want[bits[:d]] = want.get(bits[:d], 0) + np.array(c[:2], float)
+    for limit in (1, 40, 1 << 20):
+        runs = lm.token_runs(counts, 2, limit)
+        edges, seen = lm.run_edges(runs, 2), set()
+        for batch in runs.toArrow().to_batches():
+            for names, c, _ in lm._runs(batch, 2):
+                got, at = lm.prefix_counts(names, c, *edges[names[0]]), 0
+                seen.update(names)
+                for t in names:
+                    bits = "".join(f"{b:08b}" for b in t + b" ")
+                    for d in range(len(bits)):
+                        same = want[bits[:d + 1]]
+                        assert np.allclose(got[:, d % 8, :, at + d // 8], [same, want[bits[:d]] - same], rtol=1e-6)
+                    at += len(t) + 1
+        assert seen == set(tokens)
+    # a rare token among more than HEAVY others is predicted by its own prefix as well as in a small corpus
+    monkeypatch.setattr(lm, "HEAVY", 2)
+    docs = spark.createDataFrame([(i, "usual " * 40 + "quizzical") for i in range(40)], "doc_id bigint, text string")
+    few = [r["score"] for r in lm.lm_scores(docs).collect()]
+    monkeypatch.setattr(lm, "HEAVY", 1 << 20)
+    assert np.allclose(sorted(few), sorted(r["score"] for r in lm.lm_scores(docs).collect()))
+
+
 def test_lm_empty(empty):
     assert lm.lm_scores(empty).count() == 0
 
