@@ -9,8 +9,8 @@ to the one before, a word seen earlier in the text, a line seen earlier.
 
 Vectors.  Every shape has a fixed sparse ternary index vector.  A word's
 vector is its own index vector plus the normalised sum of the index vectors of
-the shapes up to two words away, summed over the training sample (counts are
-added by Spark; the sums are at most ``FORMS`` x ``SHAPES``).  A document is
+the shapes up to two words away, summed over all documents (counts are added
+by Spark; the sums are at most ``FORMS`` x ``SHAPES``).  A document is
 the mean of its tokens' vectors and the logarithm of its length.
 
 The network is fitted on at most ``SAMPLE`` labelled rows (documented bound;
@@ -70,7 +70,7 @@ def index_vectors(rows: int, dim: int = DIM, nonzero: int = 8, seed: int = 11) -
     return out / np.sqrt(nonzero)
 
 
-def context_counts(sample: DataFrame) -> DataFrame:
+def context_counts(docs: DataFrame) -> DataFrame:
     """form, shape, n: how often a shape stands within two words of a form."""
     def run(batches):
         total = np.zeros(FORMS * SHAPES, np.int64)
@@ -86,15 +86,15 @@ def context_counts(sample: DataFrame) -> DataFrame:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at // SHAPES), pa.array(at % SHAPES), pa.array(total[at])],
                                          ["form", "shape", "n"])
-    return (sample.select("text").mapInArrow(run, "form bigint, shape bigint, n bigint")
+    return (docs.select("text").mapInArrow(run, "form bigint, shape bigint, n bigint")
             .groupBy("form", "shape").agg(F.sum("n").alias("n")))
 
 
-def word_vectors(sample: DataFrame) -> np.ndarray:
-    """(_ROWS, DIM) vectors of forms, shapes and repetition tokens."""
+def word_vectors(docs: DataFrame) -> np.ndarray:
+    """(_ROWS, DIM) vectors of forms, shapes and repetition tokens, from the bytes of all texts."""
     own = index_vectors(_ROWS)
     # bounded: FORMS * SHAPES counts at most, and only those that occur
-    counts = context_counts(sample).toPandas()
+    counts = context_counts(docs).toPandas()
     context = np.zeros((FORMS, DIM), np.float64)
     shapes = own[FORMS:FORMS + SHAPES].astype(np.float64)
     order = np.lexsort((counts["shape"], counts["form"]))
@@ -194,9 +194,9 @@ def fit_network(x: np.ndarray, y: np.ndarray, hold: np.ndarray, epochs: int = 40
 # -------------------------------------------------------------------- operator
 
 def fit(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> tuple[np.ndarray, Network]:
-    """Word vectors and network, from labelled rows outside the held-out fold."""
+    """Word vectors from all documents; network from labelled rows outside the held-out fold."""
     sample = stored(labelled_sample(docs, labels, "quality", fold_of("doc_id", FOLDS) != HELD_OUT, bound), "quality-sample")
-    vectors = word_vectors(sample)
+    vectors = word_vectors(text_bytes(docs))
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -151,6 +151,17 @@ def test_held_out_accuracy(spark, name, label, least):
     assert sum(r[label] == r["predicted"] for r in rows) / len(rows) >= least
 
 
+def test_word_vectors_of_all_documents(spark):
+    """Words that only unlabelled documents hold have contexts too, and the labels do not change them."""
+    import numpy as np
+    docs = spark.createDataFrame([(i, "plain words here") for i in range(20)] + [(99, "Qualm9 $5 zyzzyva")], "doc_id bigint, text string")
+    few, all_ = ([quality.fit(docs, spark.createDataFrame([(i, i % 2) for i in ids], "doc_id bigint, quality int"))[0]]
+                 for ids in (range(8), range(20)))
+    form = quality.word_tokens(b"zyzzyva")[0]
+    assert not np.allclose(few[0][form], 0.25 * quality.index_vectors(quality._ROWS)[form])
+    assert np.array_equal(few[0], all_[0])
+
+
 @pytest.mark.parametrize("score", [quality.quality_scores, toxicity.toxicity_scores])
 @pytest.mark.parametrize("labels", [[], [(5, 1, 1), (9, 1, 1)], [(5, 1, 0), (9, 0, 1), (9, 0, 1), (11, None, None), (None, 1, 1), (12, 1, 0)]])
 def test_classifiers_on_awkward_rows(spark, score, labels, empty):
