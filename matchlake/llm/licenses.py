@@ -5,10 +5,10 @@ spaces, copyright lines dropped, equivalent spellings made one, and its words
 joined by single spaces.  The sha-256 of the form is the text's digest.
 
 Entire texts are looked up, never parts of a sentence: the document as a
-whole, each of its paragraphs (blocks between empty lines) and each of its
-lines.  Known licences become (digest, licence) rows by the same function.
-Documents are read once; a paragraph or line is hashed only if its number of
-words is that of some known licence, which loses nothing.  The digests are
+whole, each of its paragraphs (blocks between empty lines), each run of
+neighbouring paragraphs and each of its lines.  Known licences become (digest, licence) rows by the same function.
+Documents are read once; a paragraph, run or line is hashed only if its number
+of words is that of some known licence, which loses nothing.  The digests are
 hash-joined to the known ones (Spark broadcasts these by their size; beyond
 that the join is an ordinary shuffle whose hot digests AQE splits), after each
 document has counted its equal digests.
@@ -57,6 +57,77 @@ http://www.apache.org/licenses/LICENSE-2.0
 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an
 "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific
 language governing permissions and limitations under the License."""
+_BSD_START = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that
+the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+
+"""
+_BSD_NAMES = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission.
+
+"""
+_BSD_END = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL,
+EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF
+USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT
+LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED
+OF THE POSSIBILITY OF SUCH DAMAGE."""
+_GNU = """This {0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1} as published by
+the Free Software Foundation, either version {2} of the License, or (at your option) any later version.
+
+This {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {1} for more details.
+
+You should have received a copy of the GNU {1} along with this {0}. If not, see <https://www.gnu.org/licenses/>."""
+_MPL = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+_UNLICENSE = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a
+compiled binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright
+interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the
+detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all
+present and future rights to this software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE
+FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN
+CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_UNLICENSE_LINK = "\n\nFor more information, please refer to <https://unlicense.org/>"
+_ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held
+liable for any damages arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and
+redistribute it freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you
+use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
+
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+
+3. This notice may not be removed or altered from any source distribution."""
+_BSL = """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and
+accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and
+transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is
+furnished to do so, all subject to the following:
+
+The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the
+following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the
+Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a
+source language processor.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT
+HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR
+OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
 LICENSES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Released under the Apache License, Version 2.0."),
@@ -82,6 +153,23 @@ LICENSES = [
     ("MIT", "The MIT License\n\n" + _MIT),
     ("MIT", "MIT License\n\n" + _MIT),
     ("MPL-2.0", "Licensed under the Mozilla Public License, Version 2.0."),
+    ("MPL-2.0", _MPL.replace("\n", " ")),
+    ("BSD-2-Clause", _BSD_START + _BSD_END),
+    ("BSD-2-Clause", "BSD 2-Clause License\n\n" + _BSD_START + _BSD_END),
+    ("BSD-3-Clause", _BSD_START + _BSD_NAMES + _BSD_END),
+    ("BSD-3-Clause", "BSD 3-Clause License\n\n" + _BSD_START + _BSD_NAMES + _BSD_END),
+    *[(i, _GNU.format(thing, name, version)) for thing in ("program", "library")
+      for i, name, version in (("GPL-2.0-or-later", "General Public License", "2"),
+                               ("GPL-3.0-or-later", "General Public License", "3"),
+                               ("LGPL-2.1-or-later", "Lesser General Public License", "2.1"),
+                               ("LGPL-3.0-or-later", "Lesser General Public License", "3"),
+                               ("AGPL-3.0-or-later", "Affero General Public License", "3"))],
+    ("Unlicense", _UNLICENSE),
+    ("Unlicense", _UNLICENSE + _UNLICENSE_LINK),
+    ("Zlib", _ZLIB),
+    ("Zlib", "zlib License\n\n" + _ZLIB),
+    ("BSL-1.0", _BSL),
+    ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003\n\n" + _BSL),
 ]
 
 # Equivalent spellings, of words and of word pairs.
@@ -120,8 +208,12 @@ def digest(words: list[bytes]) -> str:
 
 
 def units(lines: list[list[bytes] | None], sizes: set[int]) -> Counter:
-    """Digests of the paragraphs and lines with a known number of words, counted."""
+    """Digests of the lines, paragraphs and runs of paragraphs with a known
+    number of words, counted (a run within a longer one counts too)."""
     found: Counter = Counter()
+    words: list[bytes] = []         # of all paragraphs
+    edges = [0]                     # where they end
+    most = max(sizes, default=0)
     block: list[bytes] = []
     n_lines = 0
     for line in [*lines, []]:
@@ -135,7 +227,17 @@ def units(lines: list[list[bytes] | None], sizes: set[int]) -> Counter:
         else:
             if n_lines > 1 and len(block) in sizes:
                 found[digest(block)] += 1
+            if block:
+                words += block
+                edges.append(len(words))
             block, n_lines = [], 0
+    for i, start in enumerate(edges):
+        for j in range(i + 2, len(edges)):
+            end = edges[j]
+            if end - start > most:
+                break
+            if end - start in sizes:
+                found[digest(words[start:end])] += 1
     return found
 
 
@@ -160,7 +262,7 @@ def known_digests(known: DataFrame) -> DataFrame:
 
 def license_scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """One row per document: doc_id, text_license (of the whole text), n_units
-    (paragraphs and lines that are licences), licenses (ids found, in order),
+    (lines, paragraphs and runs of paragraphs that are licences), licenses (ids found, in order),
     canonical_sha256."""
     known = stored(known_digests(known_licenses(docs.sparkSession) if known is None else known), "known-licenses")
     sizes = {r["n_words"] for r in known.select("n_words").distinct().toLocalIterator()}     # numbers of words only

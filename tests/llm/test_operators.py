@@ -121,6 +121,17 @@ def test_license_forms_and_units(spark, empty):
     assert {r["doc_id"]: r["licenses"] for r in licenses.license_scan(frame(spark, rows), mine).collect()}[2] == "A"
 
 
+def test_license_texts_beside_other_text(spark):
+    """Entire texts of several paragraphs are found before code and at the end of a README."""
+    whole = [(i, t) for i, t in licenses.LICENSES if "\n\n" in t]
+    assert {"MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "GPL-3.0-or-later", "Unlicense", "Zlib", "BSL-1.0"} <= {i for i, _ in whole}
+    assert "MPL-2.0" in {i for i, t in licenses.LICENSES if "Source Code Form" in t}
+    rows = [(n, "# A tool\n\nHow to use it.\n\n" + t + "\n\nimport os\n\nos.getcwd()", "en", "a") for n, (_, t) in enumerate(whole)]
+    got = {r["doc_id"]: r["licenses"] for r in licenses.license_scan(frame(spark, rows)).collect()}
+    assert got == {n: i for n, (i, _) in enumerate(whole)}
+    assert licenses.license_scan(frame(spark, [(1, whole[0][1] + " but changed", "en", "a")])).first()["n_units"] == 0
+
+
 @BOTH
 def test_license_digests(spark, make):
     """Against a plain version: every line that is one of the notices."""
