@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from matchlake.operators.index import with_row_index
 from matchlake.session import scratch_dir
 
 # The characters [\x20\x09-\x0D], as a Java/DuckDB character class body.
@@ -69,3 +70,26 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Colum
     share = int(min(1.0, bound / max(total, 1)) * (1 << 20))
     chosen = rows.filter(F.pmod(F.xxhash64("doc_id", F.lit(label)), F.lit(1 << 20)) < share)
     return text_bytes(docs).join(F.broadcast(chosen), "doc_id")
+
+
+# Rows of one group that a task meets under one key; larger groups get one key for each block of so many rows.
+BLOCK = 4096
+
+
+def indexed_groups(rows: DataFrame, group: str, order: list, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """Positions in groups of any size, without sorting a group in one task.
+
+    Returns ``rows`` with ``g`` (place of the row in the order of the group,
+    null first, then ``order``, from 0, over the whole table), ``group_no``
+    (place of the group), ``first_g`` and ``group_n``; and the groups
+    themselves.  The index is the distributed one; each group's numbers are
+    joined back once for every block of ``block`` rows, so that no join key
+    holds more rows than that."""
+    numbered = with_row_index(rows, [F.col(group).asc_nulls_first(), *order], "g", 0)
+    sizes = numbered.groupBy(group).agg(F.count(F.lit(1)).alias("group_n"), F.min("g").alias("first_g"))
+    groups = stored(with_row_index(sizes, ["first_g"], "group_no", 0), "groups")
+    at = lambda c: F.floor(c / F.lit(block)).cast("bigint")
+    copies = groups.withColumn("_block", F.explode(F.sequence(at(F.col("first_g")), at(F.col("first_g") + F.col("group_n") - 1))))
+    left, right = numbered.withColumn("_block", at(F.col("g"))).alias("l"), copies.alias("r")
+    joined = left.join(right, (F.col(f"l.{group}").eqNullSafe(F.col(f"r.{group}"))) & (F.col("l._block") == F.col("r._block")))
+    return joined.select("l.g", *[F.col(f"l.`{c}`") for c in rows.columns], "r.group_no", "r.first_g", "r.group_n"), groups

@@ -10,6 +10,7 @@ from matchlake.llm.decontaminate import contamination
 from matchlake.llm.exact_dedup import exact_dedup
 from matchlake.llm.licenses import license_scan
 from matchlake.llm.lm import lm_scores
+from matchlake.llm.merkle import manifest
 from matchlake.llm.mixing import mix
 from matchlake.llm.quality import quality_scores
 from matchlake.llm.secrets import secret_spans
@@ -61,5 +62,9 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_secrets, op2_licenses, op3_quality, op4_substring_dedup, op5_mixing, op6_toxicity, op7_exact_dedup, op8_simhash,
-                                   op9_decontamination, op10_lm)}
+                                   op9_decontamination, op10_lm, op12_merkle)}
