@@ -17,6 +17,7 @@ from matchlake.llm.secrets import secret_spans
 from matchlake.llm.simhash import near_duplicates
 from matchlake.llm.substring_dedup import kept_digests
 from matchlake.llm.toxicity import toxicity_scores
+from matchlake.llm.trie import prefix_trie
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,5 +67,9 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (op1_secrets, op2_licenses, op3_quality, op4_substring_dedup, op5_mixing, op6_toxicity, op7_exact_dedup, op8_simhash,
-                                   op9_decontamination, op10_lm, op12_merkle)}
+                                   op9_decontamination, op10_lm, op12_merkle, op13_prefix_trie)}
