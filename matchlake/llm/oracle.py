@@ -98,4 +98,81 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS
               ELSE list_filter(w, lambda x, i: NOT list_contains(gone, i)) END, ' ')) AS kept_sha256
 FROM docs LEFT JOIN covered USING (r)"""
 
-ORACLE = {"op4_substring_dedup": OP4, "op5_mixing": OP5, "op7_exact_dedup": OP7, "op9_decontamination": OP9}
+# crc32 of a value's text of ASCII characters, bit by bit (4294967295 and 3988292384 are CRC-32's fixed values).
+_CRC = ("xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST({} AS VARCHAR), ''), "
+        "lambda ch: CAST(ascii(ch) AS BIGINT))), lambda c, b: list_reduce(list_prepend(xor(c, b), CAST(range(8) AS BIGINT[])), "
+        "lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, CAST(3988292384 AS BIGINT)) ELSE a >> 1 END)), CAST(4294967295 AS BIGINT))")
+
+
+def _merkle(levels: int = 6) -> str:
+    """Levels are unrolled: 16^6 leaves a source and as many sources."""
+    field = "coalesce(CAST(strlen(CAST({0} AS VARCHAR)) AS VARCHAR) || ':' || CAST({0} AS VARCHAR), '-')"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    head = " || ".join(field.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    ctes = [f"""leaves AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, source, sha256({head} || {field.format("text")}) AS leaf,
+         sha256({head} || {field.format(lower)}) AS changed, coalesce({_CRC.format("doc_id")} % 5 = 0, false) AS tampered
+  FROM documents)""", """i0 AS MATERIALIZED (
+  SELECT r, doc_id, leaf, CASE WHEN tampered THEN changed ELSE leaf END AS cur, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n, '' AS proof
+  FROM leaves)""", "s0 AS MATERIALIZED (SELECT tree, pos, n, leaf AS digest FROM i0)"]
+
+    def climb(nodes: str, rows: str, k: int, tree: str, keep: str) -> list[str]:
+        return [f"""{nodes}r{k} AS MATERIALIZED (
+  SELECT tree, pos // 16 AS pos, (n + 15) // 16 AS n, list(digest ORDER BY pos) AS kids FROM {nodes}{k} WHERE n > 1 GROUP BY tree, pos // 16, n)""",
+                f"""{nodes}{k + 1} AS MATERIALIZED (SELECT tree, pos, n, sha256(array_to_string(kids, '')) AS digest FROM {nodes}r{k}
+  UNION ALL SELECT * FROM {nodes}{k} WHERE n = 1)""",
+                f"""{rows}{k + 1} AS MATERIALIZED (
+  SELECT r, doc_id, leaf, {keep} c.tree, c.pos // 16 AS pos, (c.n + 15) // 16 AS n,
+         proof || coalesce(array_to_string(list_filter(kids, lambda x, i: i <> c.pos % 16 + 1), ''), '') AS proof,
+         CASE WHEN kids IS NULL THEN cur ELSE sha256(array_to_string(list_transform(kids, lambda x, i: CASE WHEN i = c.pos % 16 + 1 THEN cur ELSE x END), '')) END AS cur
+  FROM {rows}{k} c LEFT JOIN {nodes}r{k} k ON {tree} = k.tree AND c.pos // 16 = k.pos)"""]
+
+    for k in range(levels):
+        ctes += climb("s", "i", k, "c.tree", "")
+    ctes += [f"t0 AS MATERIALIZED (SELECT -1 AS tree, tree AS pos, (SELECT count(*) FROM s{levels}) AS n, digest FROM s{levels})",
+             f"""j0 AS MATERIALIZED (
+  SELECT r, doc_id, leaf, s.digest AS subroot, -1 AS tree, i.tree AS pos, (SELECT count(*) FROM s{levels}) AS n, proof, cur
+  FROM i{levels} i JOIN s{levels} s USING (tree))"""]
+    for k in range(levels):
+        ctes += climb("t", "j", k, "c.tree", "subroot,")
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT doc_id, leaf, subroot, t.digest AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = t.digest AS verified
+FROM j{levels}, t{levels} t"""
+
+
+OP12 = _merkle()
+
+OP13 = rf"""
+WITH told AS MATERIALIZED (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                            md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS MATERIALIZED (SELECT conv_id, {_CRC.format("conv_id")} % 6 AS h, conv_id - conv_id % 100 AS base FROM (SELECT DISTINCT conv_id FROM told)),
+built AS MATERIALIZED (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, i) AS depth, role, text
+  FROM (SELECT c.conv_id, 0 AS part, t.i, t.role, t.text FROM convs c JOIN told t ON t.conv_id = c.base AND t.i <= c.h
+        UNION ALL SELECT c.conv_id, 1, t.i, t.role, t.text FROM convs c JOIN told t ON t.conv_id = c.conv_id AND t.i > c.h)),
+paths AS MATERIALIZED (
+  SELECT conv_id, depth, length(text) AS size,
+         md5(string_agg(md5(strlen(role) || ':' || role || text), '' ) OVER (PARTITION BY conv_id ORDER BY depth ROWS UNBOUNDED PRECEDING)) AS key
+  FROM built UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+nodes AS MATERIALIZED (SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(size) AS size FROM paths GROUP BY key, depth),
+parents AS MATERIALIZED (
+  SELECT n.key, n.depth, p.key AS up, q.conv_id AS parent_conv_id
+  FROM nodes n JOIN paths p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1 JOIN nodes q ON q.key = p.key AND q.depth = p.depth),
+kids AS MATERIALIZED (SELECT up AS key, depth - 1 AS depth, count(*) AS n_children FROM parents GROUP BY up, depth),
+sums AS MATERIALIZED (
+  SELECT p.key, p.depth, sum(CASE WHEN k.key IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum((n.n_convs - 1) * n.size) AS saved_tokens
+  FROM nodes n LEFT JOIN kids k ON k.key = n.key AND k.depth = n.depth JOIN paths p ON p.conv_id = n.conv_id AND p.depth <= n.depth
+  GROUP BY p.key, p.depth),
+ends AS MATERIALIZED (
+  SELECT key, depth, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+  FROM (SELECT conv_id, max(depth) AS depth FROM paths GROUP BY conv_id) JOIN paths USING (conv_id, depth) GROUP BY key, depth)
+SELECT n.conv_id, n.depth, parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes n JOIN sums USING (key, depth) LEFT JOIN parents USING (key, depth) LEFT JOIN kids USING (key, depth) LEFT JOIN ends USING (key, depth)"""
+
+ORACLE = {"op4_substring_dedup": OP4, "op5_mixing": OP5, "op7_exact_dedup": OP7, "op9_decontamination": OP9, "op12_merkle": OP12,
+          "op13_prefix_trie": OP13}
