@@ -93,3 +93,17 @@ def indexed_groups(rows: DataFrame, group: str, order: list, block: int = BLOCK)
     left, right = numbered.withColumn("_block", at(F.col("g"))).alias("l"), copies.alias("r")
     joined = left.join(right, (F.col(f"l.{group}").eqNullSafe(F.col(f"r.{group}"))) & (F.col("l._block") == F.col("r._block")))
     return joined.select("l.g", *[F.col(f"l.`{c}`") for c in rows.columns], "r.group_no", "r.first_g", "r.group_n"), groups
+
+
+def join_counted(rows: DataFrame, table: DataFrame, on: list[str], count: str, many: int = BLOCK, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``table`` (one row a key) on ``on``, where ``count``
+    says how many of ``rows`` have the key.  Keys with more than ``many`` are
+    at most 1/``many`` of the rows; they are written down and joined first, by
+    their size, so that the shuffled join has no key with more rows than that.
+    ``how`` is inner or left; ``count`` is dropped."""
+    added = [c for c in table.columns if c not in on and c != count]
+    wide = stored(table.filter(F.col(count) > many).select(*on, *added, F.lit(True).alias("_wide")), "wide-keys")
+    marked = rows.join(wide, on, "left")
+    rest = marked.filter(F.col("_wide").isNull()).drop("_wide", *added)
+    others = rest.join(table.filter(F.col(count) <= many).select(*on, *added), on, how)
+    return marked.filter(F.col("_wide").isNotNull()).drop("_wide").unionByName(others)

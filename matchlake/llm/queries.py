@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from matchlake.llm.common import table
 from matchlake.llm.decontaminate import contamination
 from matchlake.llm.exact_dedup import exact_dedup
+from matchlake.llm.jaccard import jaccard_components
 from matchlake.llm.licenses import license_scan
 from matchlake.llm.lm import lm_scores
 from matchlake.llm.merkle import manifest
@@ -63,6 +64,10 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
+def op11_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(table(spark, sf_dir, "documents"))
 
@@ -72,4 +77,4 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_secrets, op2_licenses, op3_quality, op4_substring_dedup, op5_mixing, op6_toxicity, op7_exact_dedup, op8_simhash,
-                                   op9_decontamination, op10_lm, op12_merkle, op13_prefix_trie)}
+                                   op9_decontamination, op10_lm, op11_jaccard, op12_merkle, op13_prefix_trie)}
