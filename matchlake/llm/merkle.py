@@ -13,9 +13,11 @@ the digests of the node's run, and the link to its parent (``up_*``, ``slot``).
 
 Climb.  A recursive query starts with every leaf's hash (the tampered one
 where there is one) and ascends over the parent links: each round joins the
-run, appends a row with the siblings of that level, and folds the hash into
-the run's.  It ends where a node has no parent.  The rows of a leaf are put
-together once, by level (one row a level: bounded by the height).
+run, folds the hash into the run's, and appends a row that names the siblings
+of the next level (the run and the own place in it).  It ends where a node has
+no parent.  The digests of the siblings are put into the rows where the node
+rows lie, and a leaf's rows (one a level: bounded by the height) are put
+together in the same partition, so siblings are never shuffled.
 
 All leaves pass through the same upper nodes, so node rows are stored once
 for each ``BLOCK`` of leaves under them (one block for the lower levels) and
@@ -32,6 +34,9 @@ the hash of nothing; an empty table gives no rows.  Other columns are ignored.
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,21 +75,17 @@ def _above(n: Column, fanout: int) -> Column:
     return F.floor((n + fanout - 1) / fanout).cast("bigint")
 
 
-def _run(pos: str, fanout: int) -> Column:
-    return F.floor(F.col(pos) / fanout).cast("bigint")
-
-
 def _levels(nodes: DataFrame, height: int, fanout: int) -> tuple[list[DataFrame], DataFrame]:
-    """Levels above ``nodes`` (tree, pos, n, digest, g0, g1): the written
-    level tables (with ``lvl`` and ``kids``), and the last node of each tree."""
+    """Levels above ``nodes`` (tree, first, pos, n, digest, g0, g1): the
+    written level tables (with ``kids``), and the last node of each tree."""
     levels, tops, here = [], nodes.filter("n = 1").select("tree", "digest", "g0", "g1"), nodes
     for lvl in range(1, height + 1):
-        runs = (here.filter("n > 1").groupBy("tree", _run("pos", fanout).alias("pos"), _above(F.col("n"), fanout).alias("n"))
+        runs = (here.filter("n > 1").groupBy("tree", "first", _above(F.col("pos") + 1, fanout).alias("pos"), _above(F.col("n"), fanout).alias("n"))
                 .agg(F.sort_array(F.collect_list(F.struct(F.pmod("pos", F.lit(fanout)).alias("slot"), "digest"))).alias("run"),
                      F.min("g0").alias("g0"), F.max("g1").alias("g1"))
                 .withColumn("kids", F.col("run.digest")))
-        here = stored(runs.select("tree", F.lit(lvl).alias("lvl"), "pos", "n", "kids", "g0", "g1",
-                                  F.sha2(F.array_join("kids", ""), 256).alias("digest")), f"merkle-{lvl}")
+        digest = F.unhex(F.sha2(F.array_join(F.transform("kids", lambda k: F.lower(F.hex(k))), ""), 256))
+        here = stored(runs.select("tree", "first", (F.col("pos") - 1).alias("pos"), "n", "kids", "g0", "g1", digest.alias("digest")), f"merkle-{lvl}")
         levels.append(here)
         tops = tops.unionByName(here.filter("n = 1").select("tree", "digest", "g0", "g1"))
     return levels, tops
@@ -101,82 +102,96 @@ def _height(n: int, fanout: int) -> int:
 _TOP = -1
 
 
-def _links(n_trees: int, fanout: int) -> list[Column]:
-    """up_tree, up_lvl, up_pos, slot of a node at (tree, lvl, pos) among ``n``; all null for the root."""
-    inside, sub = F.col("n") > 1, (F.col("tree") != _TOP) & F.lit(n_trees > 1)
-    def pick(a, b):
-        return F.when(inside, a).when(sub, b)
-    return [pick(F.col("tree"), F.lit(_TOP)).cast("bigint").alias("up_tree"),
-            pick(F.col("lvl") + 1, F.lit(1)).cast("int").alias("up_lvl"),
-            pick(_run("pos", fanout), _run("tree", fanout)).alias("up_pos"),
-            pick(F.pmod("pos", F.lit(fanout)), F.pmod("tree", F.lit(fanout))).cast("int").alias("slot")]
+def _node_id(at: Column, lvl: int) -> Column:
+    """The node of level ``lvl`` whose first leaf is number ``at``; levels over the subroots count from -1 down."""
+    return (at * 64 + lvl).cast("bigint")
+
+
+def _top_id(pos: Column, lvl: int) -> Column:
+    return (-1 - (pos * 64 + lvl)).cast("bigint")
+
+
+def _link(tree: Column, first: Column, pos: Column, n: Column, lvl: int, n_trees: int, fanout: int) -> list[Column]:
+    """up, slot: the parent of a node at (lvl, pos) among ``n`` of its tree, and its place there; null for the root."""
+    parent = F.floor(pos / fanout)
+    inside = F.when(n > 1, _node_id(first + parent * fanout ** (lvl + 1), lvl + 1))
+    slot = F.when(n > 1, F.pmod(pos, F.lit(fanout)))
+    if n_trees > 1:
+        inside = inside.otherwise(_top_id(F.floor(tree / fanout), 1))
+        slot = slot.otherwise(F.pmod(tree, F.lit(fanout)))
+    return [inside.alias("up"), slot.cast("int").alias("slot")]
 
 
-def build(docs: DataFrame, every: int = TAMPER, fanout: int = FANOUT, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """(leaf rows, node rows), both linked to their parents and written down."""
+def build(docs: DataFrame, every: int = TAMPER, fanout: int = FANOUT, block: int = BLOCK) -> tuple[DataFrame, DataFrame, str | None]:
+    """(leaf rows, node rows, root), rows linked to their parents and written down."""
     rows, sources = indexed_groups(leaves(docs, every), "source", [F.col("doc_id").asc_nulls_first(), F.col("leaf")], block)
-    placed = rows.select("doc_id", "g", F.col("group_no").alias("tree"), F.lit(0).alias("lvl"), (F.col("g") - F.col("first_g")).alias("pos"),
-                         F.col("group_n").alias("n"), "leaf", "start")
     largest = sources.agg(F.max("group_n").alias("n"), F.count(F.lit(1)).alias("trees")).first()
-    n_trees = largest["trees"]
-    bottom = stored(placed.select("doc_id", "g", "tree", "lvl", "pos", "n", F.unhex("leaf").alias("leaf"), F.unhex("start").alias("start"),
-                                  *_links(n_trees, fanout)), "merkle-leaves")
-    base = bottom.select("tree", "pos", "n", F.lower(F.hex("leaf")).alias("digest"), F.col("g").alias("g0"), F.col("g").alias("g1"))
+    n_trees, tree, first, n = largest["trees"], F.col("group_no"), F.col("first_g"), F.col("group_n")
+    bottom = stored(rows.select("doc_id", "g", tree.alias("tree"), first.alias("first"), n.alias("n"), F.unhex("leaf").alias("leaf"),
+                                F.unhex("start").alias("start"), *_link(tree, first, F.col("g") - first, n, 0, n_trees, fanout)), "merkle-leaves")
+    base = bottom.select("tree", "first", (F.col("g") - F.col("first")).alias("pos"), "n", F.col("leaf").alias("digest"),
+                         F.col("g").alias("g0"), F.col("g").alias("g1"))
     levels, subroots = _levels(base, _height(largest["n"] or 0, fanout), fanout)
-    top = subroots.select(F.lit(_TOP).cast("bigint").alias("tree"), F.col("tree").alias("pos"), F.lit(n_trees).cast("bigint").alias("n"),
-                          "digest", "g0", "g1")
-    if n_trees > 1:
-        levels += _levels(top, _height(n_trees, fanout), fanout)[0]
+    top = subroots.select(F.lit(_TOP).cast("bigint").alias("tree"), F.lit(0).cast("bigint").alias("first"), F.col("tree").alias("pos"),
+                          F.lit(n_trees).cast("bigint").alias("n"), "digest", "g0", "g1")
+    over, roots = _levels(top, _height(n_trees, fanout), fanout)
+    root = roots.first() if n_trees else None
     at = lambda c: F.floor(F.col(c) / block).cast("bigint")
-    schema = "tree bigint, lvl int, pos bigint, kids array<string>, digest binary, sub boolean, up_tree bigint, up_lvl int, up_pos bigint, slot int, block bigint"
-    if not levels:
-        return bottom, docs.sparkSession.createDataFrame([], schema)
-    nodes = levels[0]
-    for level in levels[1:]:
-        nodes = nodes.unionByName(level)
-    nodes = nodes.select("tree", "lvl", "pos", "kids", F.unhex("digest").alias("digest"), ((F.col("n") == 1) & (F.col("tree") != _TOP)).alias("sub"),
-                         *_links(n_trees, fanout), F.explode(F.sequence(at("g0"), at("g1"))).alias("block"))
-    return bottom, stored(nodes, "merkle-nodes")
+    blocks = F.explode(F.sequence(at("g0"), at("g1"))).alias("block")
+    nodes = docs.sparkSession.createDataFrame([], "id bigint, kids array<binary>, mark binary, up bigint, slot int, block bigint")
+    for lvl, level in enumerate(levels, 1):
+        nodes = nodes.unionByName(level.select(
+            _node_id(F.col("first") + F.col("pos") * fanout ** lvl, lvl).alias("id"), "kids", F.when(F.col("n") == 1, F.col("digest")).alias("mark"),
+            *_link(F.col("tree"), F.col("first"), F.col("pos"), F.col("n"), lvl, n_trees, fanout), blocks))
+    for lvl, level in enumerate(over, 1):
+        up = F.when(F.col("n") > 1, _top_id(F.floor(F.col("pos") / fanout), lvl + 1))
+        nodes = nodes.unionByName(level.select(
+            _top_id(F.col("pos"), lvl).alias("id"), "kids", F.lit(None).cast("binary").alias("mark"), up.alias("up"),
+            F.pmod("pos", F.lit(fanout)).cast("int").alias("slot"), blocks))
+    return bottom, stored(nodes, "merkle-nodes"), root and root["digest"].hex()
 
 
 _CLIMB = """
-WITH RECURSIVE climb(g, doc_id, block, step, folded, siblings, digest, subroot, up_tree, up_lvl, up_pos, slot) AS (
-  SELECT g, doc_id, CAST(floor(g / {block}) AS BIGINT), 0, start, CAST('' AS BINARY), leaf,
-         CASE WHEN n = 1 THEN leaf END, up_tree, up_lvl, up_pos, slot
-  FROM {bottom}
+WITH RECURSIVE climb(g, doc_id, step, folded, mark, up, slot) AS (
+  SELECT g, doc_id, 0, start, leaf, up, slot FROM {bottom}
   UNION ALL
-  SELECT c.g, c.doc_id, c.block, c.step + 1,
-         unhex(sha2(array_join(transform(n.kids, (k, i) -> IF(i = c.slot, lower(hex(c.folded)), k)), ''), 256)),
-         unhex(array_join(filter(n.kids, (k, i) -> i <> c.slot), '')),
-         n.digest, CASE WHEN n.sub THEN n.digest END, n.up_tree, n.up_lvl, n.up_pos, n.slot
-  FROM climb c JOIN {nodes} n
-    ON c.block = n.block AND c.up_tree = n.tree AND c.up_lvl = n.lvl AND c.up_pos = n.pos)
-SELECT g, doc_id, step, folded, siblings, digest, subroot FROM climb"""
-
-
-def climb(spark: SparkSession, bottom: DataFrame, nodes: DataFrame, block: int = BLOCK) -> DataFrame:
-    """A row for every leaf and step of its ascent, written down.  Spark's row
-    limit for recursive queries is a fixed number; it is lifted meanwhile."""
-    limit = "spark.sql.cteRecursionRowLimit"
-    before = spark.conf.get(limit, None)
-    spark.conf.set(limit, "-1")
+  SELECT c.g, c.doc_id, c.step + 1,
+         unhex(sha2(array_join(transform(n.kids, (k, i) -> lower(hex(IF(i = c.slot, c.folded, k)))), ''), 256)), n.mark, n.up, n.slot
+  FROM climb c JOIN {nodes} n ON CAST(floor(c.g / {block}) AS BIGINT) = n.block AND c.up = n.id)
+SELECT CAST(floor(g / {block}) AS BIGINT) AS block, * FROM climb"""
+
+# Spark's limit of rows in a recursive query is a fixed number; the proof's join and grouping share the blocks' partitioning.
+_SETTINGS = {"spark.sql.cteRecursionRowLimit": "-1", "spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
+
+@contextlib.contextmanager
+def _settings(spark: SparkSession) -> Iterator[None]:
+    before = {k: spark.conf.get(k, None) for k in _SETTINGS}
+    for k, v in _SETTINGS.items():
+        spark.conf.set(k, v)
     try:
-        return stored(spark.sql(_CLIMB, bottom=bottom, nodes=nodes, block=block), "merkle-climb")
+        yield
     finally:
-        if before is None:
-            spark.conf.unset(limit)
-        else:
-            spark.conf.set(limit, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def manifest(docs: DataFrame, every: int = TAMPER, fanout: int = FANOUT, block: int = BLOCK) -> DataFrame:
     """doc_id, leaf, subroot, root, proof_sha256, folded_root, verified; digests as hex."""
-    bottom, nodes = build(docs, every, fanout, block)
-    steps = F.col("steps")
-    last = F.element_at(steps, -1)
+    spark = docs.sparkSession
+    bottom, nodes, root = build(docs, every, fanout, block)
+    steps, last = F.col("steps"), F.element_at("steps", -1)
     text = lambda c: F.lower(F.hex(c))
-    return (climb(docs.sparkSession, bottom, nodes, block).groupBy("g", "doc_id")
-            .agg(F.sort_array(F.collect_list(F.struct("step", "siblings", "digest", "folded"))).alias("steps"), F.max("subroot").alias("subroot"))
-            .select("doc_id", text(steps[0]["digest"]).alias("leaf"), text(F.col("subroot")).alias("subroot"), text(last["digest"]).alias("root"),
-                    F.sha2(F.array_join(F.transform(steps, lambda s: text(s["siblings"])), ""), 256).alias("proof_sha256"),
-                    text(last["folded"]).alias("folded_root"), (last["folded"] == last["digest"]).alias("verified")))
+    with _settings(spark):
+        climbed = spark.sql(_CLIMB, bottom=bottom, nodes=nodes, block=block).repartition("block").alias("c")
+        runs = nodes.select("block", "id", "kids").repartition("block").alias("n")
+        on = (F.col("c.block") == F.col("n.block")) & (F.col("c.up") == F.col("n.id"))
+        siblings = F.array_join(F.transform(F.filter("n.kids", lambda k, i: i != F.col("c.slot")), text), "")
+        rows = climbed.join(runs, on, "left").select("c.block", "c.g", "c.doc_id", F.struct(
+            "c.step", F.unhex(F.coalesce(siblings, F.lit(""))).alias("siblings"), "c.folded", "c.mark").alias("x"))
+        leaf_rows = rows.groupBy("block", "g", "doc_id").agg(F.sort_array(F.collect_list("x")).alias("steps"))
+        marks = F.filter(F.transform(steps, lambda x: x["mark"]), lambda m: m.isNotNull())
+        return stored(leaf_rows.select(
+            "doc_id", text(steps[0]["mark"]).alias("leaf"), text(F.element_at(marks, -1)).alias("subroot"), F.lit(root).alias("root"),
+            F.sha2(F.array_join(F.transform(steps, lambda s: text(s["siblings"])), ""), 256).alias("proof_sha256"),
+            text(last["folded"]).alias("folded_root"), (text(last["folded"]) == F.lit(root)).alias("verified")), "merkle-manifest")
