@@ -24,7 +24,6 @@ share of that class; repeated rows are scored alike; other columns are ignored.
 
 from __future__ import annotations
 
-import functools
 import re
 import zlib
 from collections import Counter
@@ -54,11 +53,34 @@ _DIGIT = re.compile(rb"[0-9]+")
 _RUN = re.compile(rb"([^xX0])\1+")
 
 
-@functools.lru_cache(maxsize=1 << 17)
+def word_token(word: bytes) -> int:
+    """Form and shape bucket of a word, in one number."""
+    shape = _RUN.sub(rb"\1", _DIGIT.sub(b"0", _UPPER.sub(b"\x01", _LOWER.sub(b"x", word)))).replace(b"\x01", b"X")
+    return (zlib.crc32(word.lower()) & (FORMS - 1)) * SHAPES + (zlib.crc32(shape) & (SHAPES - 1))
+
+
 def word_tokens(word: bytes) -> tuple[int, int]:
     """Form and shape bucket of a word."""
-    shape = _RUN.sub(rb"\1", _DIGIT.sub(b"0", _UPPER.sub(b"\x01", _LOWER.sub(b"x", word)))).replace(b"\x01", b"X")
-    return zlib.crc32(word.lower()) & (FORMS - 1), zlib.crc32(shape[:64]) & (SHAPES - 1)
+    return divmod(word_token(word), SHAPES)
+
+
+class _Memo(dict):
+    """Tokens of the words met so far; long words are not kept, and it starts anew when it is full."""
+
+    def __missing__(self, word: bytes) -> int:
+        token = word_token(word)
+        if len(word) <= 64:
+            if len(self) >= 1 << 17:
+                self.clear()
+            self[word] = token
+        return token
+
+
+_TOKENS = _Memo()
+
+
+def tokens_of(words) -> np.ndarray:
+    return np.fromiter(map(_TOKENS.__getitem__, words), np.int64, len(words))
 
 
 def index_vectors(rows: int, dim: int = DIM, nonzero: int = 8, seed: int = 11) -> np.ndarray:
@@ -73,32 +95,37 @@ def index_vectors(rows: int, dim: int = DIM, nonzero: int = 8, seed: int = 11) -
 def context_counts(docs: DataFrame) -> DataFrame:
     """form, shape, n: how often a shape stands within two words of a form."""
     def run(batches):
-        total = np.zeros(FORMS * SHAPES, np.int64)
+        total, held, size = np.zeros(FORMS * SHAPES, np.int64), [], 0
         for batch in batches:
-            for text in batch["text"]:
-                pairs = [word_tokens(w) for w in text.as_py().split()]
-                if len(pairs) < 2:
-                    continue
-                form, shape = np.array(pairs, np.int64).T
+            for text in batch["text"].to_pylist():
+                tokens = tokens_of(text.split())
                 for gap in (1, 2):
-                    both = np.concatenate([form[gap:] * SHAPES + shape[:-gap], form[:-gap] * SHAPES + shape[gap:]])
-                    np.add.at(total, both, 1)
+                    near, far = tokens[gap:], tokens[:-gap]
+                    held += [near - near % SHAPES + far % SHAPES, far - far % SHAPES + near % SHAPES]
+                size += 4 * len(tokens)
+                if size > 1 << 22:
+                    total += np.bincount(np.concatenate(held), minlength=len(total))
+                    held, size = [], 0
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=len(total))
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at // SHAPES), pa.array(at % SHAPES), pa.array(total[at])],
-                                         ["form", "shape", "n"])
-    return (docs.select("text").mapInArrow(run, "form bigint, shape bigint, n bigint")
+        for part in np.array_split(at, len(at) // 100_000 + 1):
+            yield pa.RecordBatch.from_arrays([pa.array((part // SHAPES).astype(np.int32)), pa.array((part % SHAPES).astype(np.int32)), pa.array(total[part])],
+                                             ["form", "shape", "n"])
+    return (docs.select("text").mapInArrow(run, "form int, shape int, n bigint")
             .groupBy("form", "shape").agg(F.sum("n").alias("n")))
 
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """(_ROWS, DIM) vectors of forms, shapes and repetition tokens, from the bytes of all texts."""
     own = index_vectors(_ROWS)
-    # bounded: FORMS * SHAPES counts at most, and only those that occur
-    counts = context_counts(docs).toPandas()
+    # bounded: FORMS * SHAPES counts at most, and only those that occur, as Arrow columns (16 bytes each)
+    counts = context_counts(docs).toArrow()
     context = np.zeros((FORMS, DIM), np.float64)
     shapes = own[FORMS:FORMS + SHAPES].astype(np.float64)
-    order = np.lexsort((counts["shape"], counts["form"]))
-    form, shape, n = (counts[c].to_numpy()[order] for c in ("form", "shape", "n"))
+    form, shape, n = (counts[c].to_numpy() for c in ("form", "shape", "n"))
+    order = np.lexsort((shape, form))
+    form, shape, n = form[order], shape[order], n[order]
     for shape_id in np.unique(shape):
         here = shape == shape_id
         context[form[here]] += n[here, None] * shapes[shape_id]
@@ -114,11 +141,11 @@ def document_vector(text: bytes, vectors: np.ndarray) -> np.ndarray:
     if not words:
         return out
     counts = Counter(words)
-    tokens = np.array([word_tokens(w) for w in counts], np.int64)
+    tokens = tokens_of(counts)
     n = np.fromiter(counts.values(), np.float32, len(counts))
     total = float(len(words))
-    out[:DIM] = n @ vectors[tokens[:, 0]] / total
-    out[DIM:2 * DIM] = np.bincount(tokens[:, 1], n, SHAPES) @ vectors[FORMS:FORMS + SHAPES] / total
+    out[:DIM] = n @ vectors[tokens // SHAPES] / total
+    out[DIM:2 * DIM] = np.bincount(tokens % SHAPES, n, SHAPES) @ vectors[FORMS:FORMS + SHAPES] / total
     lines = text.split(b"\n")
     repeats = (sum(map(eq, words, words[1:])) / total, 1.0 - len(counts) / total, 1.0 - len(set(lines)) / len(lines))
     out[:DIM] += np.asarray(repeats, np.float32) @ vectors[FORMS + SHAPES:]
@@ -205,11 +232,12 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> tuple[np.nda
                                           ["doc_id", "label", "x"])
 
     # bounded: ``bound`` rows of 132 numbers
-    rows = map_batches(sample.select("doc_id", "label", "text"), run, "doc_id bigint, label int, x array<float>").toPandas()
-    rows = rows.sort_values("doc_id", kind="stable")
-    x = np.stack(rows["x"].to_list()) if len(rows) else np.zeros((0, 2 * DIM + 4), np.float32)
-    hold = np.array([zlib.crc32(b"t%d" % i) % 6 == 0 for i in rows["doc_id"]], bool)
-    return vectors, fit_network(x, rows["label"].to_numpy(dtype=np.int64), hold)
+    rows = map_batches(sample.select("doc_id", "label", "text"), run, "doc_id bigint, label int, x array<float>").toArrow()
+    ids = rows["doc_id"].to_numpy()
+    order = np.argsort(ids, kind="stable")
+    x = rows["x"].combine_chunks().flatten().to_numpy().reshape(-1, 2 * DIM + 4)[order]
+    hold = np.array([zlib.crc32(b"t%d" % i) % 6 == 0 for i in ids[order]], bool)
+    return vectors, fit_network(x, rows["label"].to_numpy()[order].astype(np.int64), hold)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
