@@ -21,15 +21,19 @@ verified once, on whole sets.
 
 Linking without all pairs.  Every class is first verified with one other: of
 the smallest members of its buckets, the one met in most of them (a star).
-Components of those links are found; then only buckets that still hold
-members of different components make pairs, between those, and pairs verified
-before are left out.  So copies of a page, changed in a word each, cost one
-verification each, and no link between components is lost.  Members of large
-buckets meet in a grid of ``TILE`` by ``TILE``.
-
-Bounds.  The rarity table has ``2^RARITY_BITS`` bytes and is broadcast; its
-size is a parameter.  Nothing else is broadcast but by Spark's own choice by
-size; no set, pair or component reaches the driver.
+Components of those links are found; buckets that still hold members of
+different components are open, and their members are verified with one member
+of another component each (``STARS`` rounds in all).  Then open buckets make
+all pairs between their components, and pairs verified before are left out.
+So copies of a page, changed in a word each, cost a few verifications each,
+and no link between components is lost.  Members of large buckets meet in a
+grid of ``TILE`` by ``TILE``.
+
+Bounds.  The rarity table has ``2^RARITY_BITS`` bytes, the bitmap of wanted
+classes ``2^MOST_BITS`` bits at most; both are broadcast and their sizes are
+parameters (a fuller table costs time, never a link).  Nothing else is
+broadcast but by Spark's own choice by size; no set, pair or component reaches
+the driver.
 
 Defined results: fewer words than a shingle count as one shingle; null and
 empty texts (and those of white space) have no shingle, are linked with
@@ -53,13 +57,16 @@ from pyspark.sql import functions as F
 
 from matchlake.llm.common import BLOCK, join_counted, map_batches, stored, text_bytes
 from matchlake.llm.components import components
-from matchlake.operators.index import with_row_index
 
 SHINGLE = 5
 PERCENT = 80
 RARITY_BITS = 23
 CELLS = 64
 TILE = 256
+# Rounds of star pairs before all pairs between parts are made.
+STARS = 3
+# Bits of the bitmap that tells whose sets are wanted.
+MOST_BITS = 26
 
 _SPAN = 16          # bits of a bucket number inside one row of counts
 _PIECE = 1 << 20    # bytes hashed at once
@@ -246,9 +253,19 @@ def _may_link(percent: int) -> Column:
 
 # --------------------------------------------------------------------- classes
 
+def _sums(s: np.ndarray) -> tuple[int, int]:
+    """Two sums over a set that name it, as signed numbers."""
+    both = np.array([mixed(s).sum(dtype=_U), mixed(s ^ _U(0x165667B19E3779F9)).sum(dtype=_U)], _U).view(np.int64)
+    return int(both[0]), int(both[1])
+
+
+def _cells(shingles: np.ndarray) -> np.ndarray:
+    return np.bincount((shingles & _U(CELLS - 1)).astype(np.int64), minlength=CELLS)
+
+
 def document_sets(docs: DataFrame, table: np.ndarray, size: int, percent: int) -> DataFrame:
     """doc_id, n, s1, s2 (sums of the set), prefix (rarest shingles in order),
-    suffix and whole (counts of hashes by cell), for every document."""
+    suffix (counts of the other hashes by cell), for every document."""
     shared = docs.sparkSession.sparkContext.broadcast(table)
     bits = int(table.size).bit_length() - 1
 
@@ -258,53 +275,79 @@ def document_sets(docs: DataFrame, table: np.ndarray, size: int, percent: int) -
             n = len(s)
             order = s[np.argsort(rarity_of[(s >> _U(64 - bits)).astype(np.int64)], kind="stable")]
             cut = prefix_size(n, percent) if n else 0
-            cells = [np.bincount((part & _U(CELLS - 1)).astype(np.int64), minlength=CELLS) for part in (order[cut:], order)]
-            sums = (mixed(s).sum(dtype=_U), mixed(s ^ _U(0x165667B19E3779F9)).sum(dtype=_U))
-            rows.append((n, *(int(np.array(x, _U).view(np.int64)) for x in sums), order[:cut].view(np.int64), *(c.astype(np.int32) for c in cells)))
-        names = ["n", "s1", "s2", "prefix", "suffix", "whole"]
-        types = [pa.int64()] * 3 + [pa.list_(pa.int64())] + [pa.list_(pa.int32())] * 2
+            rows.append((n, *_sums(s), order[:cut].view(np.int64), _cells(order[cut:]).astype(np.int32)))
+        names = ["n", "s1", "s2", "prefix", "suffix"]
+        types = [pa.int64()] * 3 + [pa.list_(pa.int64()), pa.list_(pa.int32())]
         columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
         return pa.RecordBatch.from_arrays([batch["doc_id"], *columns], ["doc_id", *names])
 
-    return map_batches(text_bytes(docs), run, "doc_id bigint, n bigint, s1 bigint, s2 bigint, prefix array<bigint>, suffix array<int>, whole array<int>")
+    return map_batches(text_bytes(docs), run, "doc_id bigint, n bigint, s1 bigint, s2 bigint, prefix array<bigint>, suffix array<int>")
 
 
 _SET = ["s1", "s2", "n"]
 
 
 def set_classes(sets: DataFrame) -> DataFrame:
-    """One row for each different set: cid (in the order of doc_id, null last), n, doc_id, copies, prefix, cells."""
+    """One row for each different set, written down: cid, n, doc_id (the least), copies, prefix, suffix."""
     classes = sets.filter("n > 0").groupBy(*_SET).agg(
-        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"),
-        *[F.first(c).alias(c) for c in ("prefix", "suffix", "whole")])
-    return with_row_index(classes, [F.col("doc_id").asc_nulls_last(), "s1", "s2"], "cid", 0)
+        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.first("prefix").alias("prefix"), F.first("suffix").alias("suffix"))
+    return stored(classes.withColumn("cid", F.monotonically_increasing_id()), "set-classes")
 
 
 # ---------------------------------------------------------------- verification
 
-def _holders(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
-    """cid, shingles (whole sets as bytes) of the classes in ``pairs``, made again from their documents' texts."""
-    wanted = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
-    named = stored(classes.select("cid", *_SET, "doc_id").join(wanted, "cid"), "wanted-classes")
-    texts = text_bytes(docs)
-    ids = named.select(F.col("doc_id").alias("_id")).distinct()
-    some = texts.join(ids, texts["doc_id"].eqNullSafe(ids["_id"]), "left_semi").select("text")
+def _bitmap(keys: DataFrame, column: str) -> np.ndarray:
+    """Bits of a table of numbers, 16 or more for each, 2^MOST_BITS at most: tells most rows that are not in it."""
+    bits = min(MOST_BITS, max(16, int(16 * keys.count()).bit_length()))
+    span = bits - 6
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: dict[int, np.ndarray] = {}
+        for batch in batches:
+            at = batch["at"].to_numpy()
+            for part in np.unique(at >> span).tolist():
+                parts.setdefault(part, np.zeros(1 << span, bool))[at[at >> span == part] & ((1 << span) - 1)] = True
+        if parts:
+            yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int64()), pa.array([np.packbits(v).tobytes() for v in parts.values()], pa.binary())], ["part", "bits"])
+
+    places = keys.select(F.col(column).bitwiseAND(F.lit((1 << bits) - 1)).alias("at"))
+    rows = places.repartition(F.shiftright("at", span)).mapInArrow(mark, "part bigint, bits binary").toArrow()
+    out = np.zeros((1 << bits) // 8, np.uint8).reshape(64, -1)
+    for part, row in zip(rows["part"].to_pylist(), rows["bits"].to_pylist()):
+        out[part] = np.frombuffer(row, np.uint8)
+    return out.reshape(-1)
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = []
-        for s in shingle_sets(_texts(batch), size):
-            sums = (mixed(s).sum(dtype=_U), mixed(s ^ _U(0x165667B19E3779F9)).sum(dtype=_U))
-            rows.append((*(int(np.array(x, _U).view(np.int64)) for x in sums), len(s), s.tobytes()))
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.binary() if i == 3 else pa.int64()) for i in range(4)], [*_SET, "shingles"])
 
-    found = map_batches(some, run, "s1 bigint, s2 bigint, n bigint, shingles binary").filter("n > 0")
-    # other documents may have the same id, and rows may repeat
-    return found.join(named.select("cid", *_SET), _SET).groupBy("cid").agg(F.first("shingles").alias("shingles"))
+def whole_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """cid, shingles (the whole set as bytes) of the classes in ``wanted(cid)``.
 
+    The sets are made again from the texts; a bitmap over the wanted classes'
+    first sums lets a task drop the others before anything is shuffled."""
+    named = stored(classes.select("cid", *_SET).join(wanted, "cid"), "wanted-classes")
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(named, "s1"))
 
-def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap, seen = shared.value, set()
+        for batch in batches:
+            rows = []
+            for s in shingle_sets(_texts(batch), size):
+                if not len(s):
+                    continue
+                sums = _sums(s)
+                at = sums[0] & (len(bitmap) * 8 - 1)
+                if bitmap[at >> 3] >> (7 - (at & 7)) & 1 and sums not in seen:
+                    seen.add(sums)
+                    rows.append((*sums, len(s), s.tobytes()))
+            for at in range(0, len(rows), 512):
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows[at:at + 512]], pa.binary() if i == 3 else pa.int64()) for i in range(4)], [*_SET, "shingles"])
+
+    found = text_bytes(docs).select("text").mapInArrow(run, "s1 bigint, s2 bigint, n bigint, shingles binary")
+    once = found.groupBy(*_SET).agg(F.first("shingles").alias("shingles"))
+    return stored(once.join(named, _SET).select("cid", "shingles"), "shingle-sets")
+
+
+def verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Of written-down ``pairs(a, b)``, those whose whole sets link."""
-    sets = stored(_holders(docs, classes, pairs, size), "shingle-sets")
     # a class in many pairs meets them in tiles, so that no key holds more than BLOCK pairs
     many = stored(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("pairs")).filter(F.col("pairs") > BLOCK)
                   .select("b", _ceil(F.col("pairs"), BLOCK).alias("tiles")), "many-pairs")
@@ -329,81 +372,99 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, p
 # --------------------------------------------------------------------- linking
 
 def _suffix_filter(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, n1, n2, common) whose prefixes' common shingles and cell counts allow a link.
+    """Pairs (a, b, n1, n2) whose prefixes' common shingles and cell counts allow a link.
 
-    Common shingles are those within both prefixes (``common``, all of them up
-    to the end of the prefix that ends first) and those behind it: within the
-    suffix of one and the whole of the other."""
-    side = lambda s: classes.select(F.col("cid").alias(s), F.col("suffix").alias(f"suffix_{s}"), F.col("whole").alias(f"whole_{s}"))
+    Common shingles are those within both prefixes (all of them up to the end
+    of the prefix that ends first) and those behind it: within the suffix of
+    one and the whole of the other."""
+    side = lambda s: classes.select(F.col("cid").alias(s), F.col("prefix").alias(f"prefix_{s}"), F.col("suffix").alias(f"suffix_{s}"))
     rows = pairs.join(side("a"), "a").join(side("b"), "b")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        cells = {c: batch[c].values.to_numpy().reshape(-1, CELLS) for c in ("suffix_a", "whole_a", "suffix_b", "whole_b")}
-        behind = np.maximum(np.minimum(cells["suffix_a"], cells["whole_b"]).sum(axis=1), np.minimum(cells["whole_a"], cells["suffix_b"]).sum(axis=1))
-        n1, n2, common = (batch[c].to_numpy() for c in ("n1", "n2", "common"))
-        least = -(-(n1 + n2) * percent // (100 + percent))
-        return batch.select(["a", "b"]).filter(pa.array(common + behind >= least))
+        keep = []
+        for n1, n2, *sets in zip(*[batch[c].to_pylist() for c in ("n1", "n2")], *[batch[c] for c in ("prefix_a", "prefix_b", "suffix_a", "suffix_b")]):
+            p1, p2, c1, c2 = (x.values.to_numpy() for x in sets)
+            common = len(np.intersect1d(p1, p2, assume_unique=True))
+            w1, w2 = c1 + _cells(p1.view(_U)), c2 + _cells(p2.view(_U))
+            behind = max(np.minimum(c1, w2).sum(), np.minimum(w1, c2).sum())
+            keep.append(common + behind >= -(-(n1 + n2) * percent // (100 + percent)))
+        return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return map_batches(rows.select("a", "b", "n1", "n2", "common", "suffix_a", "whole_a", "suffix_b", "whole_b"), run, "a bigint, b bigint")
+    return map_batches(rows.select("a", "b", "n1", "n2", "prefix_a", "prefix_b", "suffix_a", "suffix_b"), run, "a bigint, b bigint")
 
 
 def _candidates(rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b, n1, n2, common) from rows (a, b, n1, n2, at1, at2), one for each common prefix shingle:
-    first common shingle within the smaller set's short prefix, positional bound there."""
-    first1, first2 = F.col("first1"), F.col("first2")
-    n1, n2 = F.col("n1"), F.col("n2")
-    once = rows.groupBy("a", "b", "n1", "n2").agg(F.count(F.lit(1)).alias("common"), F.min("at1").alias("first1"), F.min("at2").alias("first2"))
-    short = F.when(n1 < n2, first1 < _short_prefix(n1, percent)).when(n2 < n1, first2 < _short_prefix(n2, percent)).otherwise(
-        F.least(first1, first2) < _short_prefix(n1, percent))
-    most = F.lit(1) + F.least(n1 - first1 - 1, n2 - first2 - 1)
-    return once.filter(short & (most >= overlap(n1, n2, percent))).select("a", "b", "n1", "n2", "common")
+    """(a, b, n1, n2) from rows (a, b, n1, n2, at1, at2), one for each common
+    prefix shingle: a pair is put together once, at its first common shingle."""
+    n1, n2, at1, at2 = (F.col(c) for c in ("n1", "n2", "at1", "at2"))
+    short = F.when(n1 < n2, at1 < _short_prefix(n1, percent)).when(n2 < n1, at2 < _short_prefix(n2, percent)).otherwise(
+        F.least(at1, at2) < _short_prefix(n1, percent))
+    once = rows.filter(short).groupBy("a", "b", "n1", "n2").agg(F.min("at1").alias("first1"), F.min("at2").alias("first2"))
+    most = F.lit(1) + F.least(n1 - F.col("first1") - 1, n2 - F.col("first2") - 1)
+    return once.filter(most >= overlap(n1, n2, percent)).select("a", "b", "n1", "n2")
 
 
 def shared_prefixes(classes: DataFrame) -> DataFrame:
-    """token, cid, n, at, head (cid, n, at of the smallest member), members: prefix shingles that several classes hold."""
+    """token, cid, n, at, head (the smallest member), members: prefix shingles that several classes hold."""
     rows = classes.select("cid", "n", F.posexplode("prefix").alias("at", "token"))
-    heads = rows.groupBy("token").agg(F.min(F.struct("cid", "n", "at")).alias("head"), F.count(F.lit(1)).alias("members")).filter("members > 1")
-    return join_counted(rows, heads.withColumn("size", F.col("members")), ["token"], "size")
+    heads = stored(rows.groupBy("token").agg(F.min("cid").alias("head"), F.count(F.lit(1)).alias("members")).filter("members > 1"), "shared-tokens")
+    return stored(join_counted(rows, heads.withColumn("size", F.col("members")), ["token"], "size"), "shared-prefixes")
+
+
+def _stars(met: DataFrame, classes: DataFrame, before: DataFrame | None, percent: int) -> DataFrame:
+    """Of rows (a, b), one for each shingle that class a shares with a partner b:
+    the partner met most often of those not tried ``before``, if the lengths allow a link."""
+    votes = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"))
+    if before is not None:
+        votes = votes.join(before, ["a", "b"], "left_anti")
+    best = votes.groupBy("a").agg(F.max(F.struct("common", (-F.col("b")).alias("b"))).alias("x")).select("a", (-F.col("x.b")).alias("b"))
+    size = lambda c, n: classes.select(F.col("cid").alias(c), F.col("n").alias(n))
+    fits = F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * percent
+    return stored(best.join(size("a", "n1"), "a").join(size("b", "n2"), "b").filter(fits).select("a", "b"), "star-pairs")
 
 
 def class_links(docs: DataFrame, classes: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(a, b) classes that link, connecting all that links connect."""
-    shared = stored(shared_prefixes(classes), "shared-prefixes")
-    met = shared.select(F.col("cid").alias("a"), F.col("head.cid").alias("b"), F.col("n").alias("n1"), F.col("head.n").alias("n2"),
-                        F.col("at").alias("at1"), F.col("head.at").alias("at2")).filter("a != b").filter(_may_link(percent))
-    star = _candidates(met, percent)
-    best = stored(star.groupBy("a").agg(F.max(F.struct("common", (-F.col("b")).alias("b"))).alias("x")).select("a", (-F.col("x.b")).alias("b")), "star-pairs")
-    links = verified(docs, classes, best, size, percent)
-
-    part = stored(components(links), "star-components")
-    named = stored(shared.join(part, shared["cid"] == part["node"], "left").select(
-        "token", "cid", "n", "at", "members", F.coalesce("component", "cid").alias("part")), "named-prefixes")
-    apart = named.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count(F.lit(1)).alias("size")) \
-        .filter("lo < hi").select("token", F.lit(True).alias("apart"), "size")
-    open_ = stored(join_counted(named, apart, ["token"], "size").drop("apart"), "open-prefixes")
+    shared = shared_prefixes(classes)
+    sets = whole_sets(docs, classes, shared.select("cid").distinct(), size)
+    met = shared.filter("cid != head").select(F.col("cid").alias("a"), F.col("head").alias("b"))
+    tried = _stars(met, classes, None, percent)
+    links = verified(sets, tried, percent)
+    for star in range(STARS):
+        part = stored(components(links), "star-components")
+        named = shared.join(part, shared["cid"] == part["node"], "left").select(
+            "token", "cid", "n", "at", "members", F.coalesce("component", "cid").alias("part"))
+        ends = named.groupBy("token").agg(F.min(F.struct("part", "cid")).alias("lo"), F.max(F.struct("part", "cid")).alias("hi"), F.count(F.lit(1)).alias("size"))
+        apart = stored(ends.filter("lo.part < hi.part"), "open-tokens")
+        open_ = stored(join_counted(named, apart, ["token"], "size"), "open-prefixes")
+        if star == STARS - 1:
+            break
+        # a member meets a member of another part: the first of the first part, or the last of the last
+        other = F.when(F.col("part") > F.col("lo.part"), F.col("lo.cid")).otherwise(F.col("hi.cid"))
+        again = _stars(open_.select(F.col("cid").alias("a"), other.alias("b")), classes, tried, percent)
+        links = links.unionByName(verified(sets, again, percent))
+        tried = tried.unionByName(again)
     tiles = _ceil(F.col("members"), TILE)
     mine, all_ = F.pmod(F.xxhash64("cid"), tiles), F.sequence(F.lit(0).cast("bigint"), tiles - 1)
-    left = open_.select("token", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("at").alias("atx"), F.col("part").alias("px"),
+    left = open_.select("token", F.col("cid").alias("a"), F.col("n").alias("n1"), F.col("at").alias("at1"), F.col("part").alias("pa"),
                         mine.alias("i"), F.explode(all_).alias("j"))
-    right = open_.select("token", F.col("cid").alias("y"), F.col("n").alias("ny"), F.col("at").alias("aty"), F.col("part").alias("py"),
+    right = open_.select("token", F.col("cid").alias("b"), F.col("n").alias("n2"), F.col("at").alias("at2"), F.col("part").alias("pb"),
                          F.explode(all_).alias("i"), mine.alias("j"))
     # the class of the smaller part is b, as a star's centre is
-    cross = left.join(right, ["token", "i", "j"]).filter("px > py").select(
-        F.col("x").alias("a"), F.col("y").alias("b"), F.col("nx").alias("n1"), F.col("ny").alias("n2"), F.col("atx").alias("at1"), F.col("aty").alias("at2"))
-    fresh = _candidates(cross.filter(_may_link(percent)), percent).join(best, ["a", "b"], "left_anti")
-    swapped = best.select(F.col("a").alias("b"), F.col("b").alias("a"))
-    pairs = stored(_suffix_filter(fresh.join(swapped, ["a", "b"], "left_anti"), classes, percent), "open-pairs")
-    return links.unionByName(verified(docs, classes, pairs, size, percent))
+    cross = left.join(right, ["token", "i", "j"]).filter("pa > pb").filter(_may_link(percent))
+    both_ways = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    fresh = _candidates(cross, percent).join(both_ways, ["a", "b"], "left_anti")
+    pairs = stored(_suffix_filter(fresh, classes, percent), "open-pairs")
+    return links.unionByName(verified(sets, pairs, percent))
 
 
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, bits: int = RARITY_BITS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     sets = stored(document_sets(docs, rarity(docs, size, bits), size, percent), "document-sets")
-    classes = stored(set_classes(sets), "set-classes")
+    classes = set_classes(sets)
     part = stored(components(class_links(docs, classes, size, percent)), "jaccard-components")
-    # the smallest class of a component has its smallest doc_id
-    sizes = part.groupBy(F.col("component").alias("cid")).agg(F.count(F.lit(1)).alias("size"))
-    least = classes.select("cid", F.col("doc_id").alias("component_id")).join(sizes, "cid").withColumnRenamed("cid", "component")
+    members = part.join(classes.select(F.col("cid").alias("node"), "doc_id"), "node")
+    least = members.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("size"))
     linked = join_counted(part, least, ["component"], "size").select(F.col("node").alias("cid"), "component_id", F.lit(True).alias("linked"))
     named = classes.select("cid", *_SET, "doc_id", "copies").join(linked, "cid", "left").select(
         *_SET, "copies", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
