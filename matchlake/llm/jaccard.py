@@ -22,15 +22,16 @@ verified once, on whole sets.
 Linking without all pairs.  Every class is first verified with one other: of
 the smallest members of its buckets, the one met in most of them (a star).
 Components of those links are found; buckets that still hold members of
-different components are open, and their members are verified with one member
-of another component each (``STARS`` rounds in all).  Then open buckets make
-all pairs between their components, and pairs verified before are left out.
+different components are open.  Open buckets of ``SMALL`` members make all
+pairs between their components; members of larger ones are verified with one
+member of another component each, and what is open then makes all pairs, too.
+Pairs verified before are left out.
 So copies of a page, changed in a word each, cost a few verifications each,
 and no link between components is lost.  Members of large buckets meet in a
 grid of ``TILE`` by ``TILE``.
 
 Bounds.  The rarity table has ``2^RARITY_BITS`` bytes, the bitmap of wanted
-classes ``2^MOST_BITS`` bits at most; both are broadcast and their sizes are
+classes ``2^hashing.MOST_BITS`` bits at most; both are broadcast and their sizes are
 parameters (a fuller table costs time, never a link).  Nothing else is
 broadcast but by Spark's own choice by size; no set, pair or component reaches
 the driver.
@@ -45,121 +46,40 @@ columns are ignored.  Words of any length are hashed in bounded memory.
 
 from __future__ import annotations
 
-import functools
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.llm.common import BLOCK, join_counted, map_batches, stored, text_bytes
 from matchlake.llm.components import components
+from matchlake.llm.hashing import bitmap, mixed, within, word_factors, word_hashes
 
 SHINGLE = 5
 PERCENT = 80
 RARITY_BITS = 23
 CELLS = 64
 TILE = 256
-# Rounds of star pairs before all pairs between parts are made.
-STARS = 3
-# Bits of the bitmap that tells whose sets are wanted.
-MOST_BITS = 26
+# Members of a bucket that is small enough to make its pairs at once.
+SMALL = 16
+# Documents that a shingle may be in (by the rarity table) to be grouped without combining before the shuffle.
+MANY = 1 << 14
 
+_SCALE = 16         # steps of rarity for a doubling
 _SPAN = 16          # bits of a bucket number inside one row of counts
-_PIECE = 1 << 20    # bytes hashed at once
-_LONG = 1 << 12     # a longer word is hashed on its own
 _U = np.uint64
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-_BLANK = re.compile(rb"[\x20\x09-\x0D]")
-
-
-# --------------------------------------------------------------------- hashing
-
-@functools.cache
-def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A number for every byte, powers of an odd number, and odd factors for the words of a shingle (from one seed)."""
-    rng = np.random.default_rng(20)
-    draw = rng.integers(0, 1 << 63, 256 + 1 + 64, dtype=np.int64).astype(_U) * _U(2) + _U(1)
-    powers = np.cumprod(np.concatenate([[_U(1)], np.full(_LONG - 1, draw[256])]), dtype=_U)
-    return draw[:256], powers, draw[257:]
-
-
-def mixed(h: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers that spreads every bit (in place of a second hash)."""
-    h = (h ^ (h >> _U(32))) * _U(0xD6E8FEB86659FD93)
-    h = (h ^ (h >> _U(32))) * _U(0xD6E8FEB86659FD93)
-    return h ^ (h >> _U(32))
-
-
-def _piece_hashes(piece: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(start, hash) of every word of a lower-case piece."""
-    raw = np.frombuffer(piece, np.uint8)
-    word = np.concatenate([[False], ~_SPACE[raw], [False]])
-    edges = np.flatnonzero(word[1:] != word[:-1])
-    starts, ends = edges[0::2], edges[1::2]
-    if not len(starts):
-        return starts, np.zeros(0, _U)
-    size = ends - starts
-    of_byte, powers, _ = _tables()
-    at = np.flatnonzero(word[1:-1])
-    place = np.arange(len(at)) - np.repeat(np.cumsum(size) - size, size)
-    values = of_byte[raw[at]] * powers[np.minimum(place, _LONG - 1)]
-    out = np.add.reduceat(values, np.cumsum(size) - size) + size.astype(_U) * _U(0x9E3779B97F4A7C15)
-    for i in np.flatnonzero(size > _LONG):
-        out[i] = xxhash.xxh64_intdigest(piece[starts[i]:ends[i]])
-    return starts, mixed(out)
-
-
-def _cuts(text: bytes) -> Iterator[bytes]:
-    """Pieces of a long text that cut no word."""
-    at = 0
-    while at < len(text):
-        end = at + _PIECE
-        if end < len(text):
-            back = max(text.rfind(bytes([c]), at, end) for c in (9, 10, 11, 12, 13, 32))
-            if back > at:
-                end = back
-            else:
-                found = _BLANK.search(text, end)
-                end = found.start() if found else len(text)
-        yield text[at:end]
-        at = end
-
-
-def word_hashes(texts: list[bytes]) -> Iterator[np.ndarray]:
-    """The hashes of each text's words, many short texts at a time."""
-    held, size = [], 0
-
-    def release():
-        starts, hashes = _piece_hashes(b" ".join(held).lower())
-        begins = np.cumsum([0] + [len(t) + 1 for t in held])
-        cut = np.searchsorted(starts, begins)
-        for a, b in zip(cut[:-1], cut[1:]):
-            yield hashes[a:b]
-
-    for text in texts:
-        if size + len(text) > _PIECE and held:
-            yield from release()
-            held, size = [], 0
-        if len(text) > _PIECE:
-            yield np.concatenate([_piece_hashes(p.lower())[1] for p in _cuts(text)])
-        else:
-            held.append(text)
-            size += len(text) + 1
-    if held:
-        yield from release()
 
 
+# --------------------------------------------------------------------- shingles
+
 def shingle_set(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     """The sorted distinct shingle hashes of a text's words."""
     if not len(words):
         return words
     size = min(size, len(words))
-    factors = _tables()[2]
+    factors = word_factors()
     n = len(words) - size + 1
     total = np.full(n, size * 0xC2B2AE3D27D4EB4F % (1 << 64), _U)
     for j in range(size):
@@ -210,7 +130,7 @@ def rarity(docs: DataFrame, size: int = SHINGLE, bits: int = RARITY_BITS) -> np.
                 total = sums.setdefault(part, np.zeros(span, np.int64))
                 total += np.frombuffer(counts, np.uint8)
         if sums:
-            scale = [np.minimum(16 * np.log2(1.0 + s), 255).astype(np.uint8).tobytes() for s in sums.values()]
+            scale = [np.minimum(_SCALE * np.log2(1.0 + s), 255).astype(np.uint8).tobytes() for s in sums.values()]
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(scale, pa.binary())], ["part", "counts"])
 
     schema = "part bigint, counts binary"
@@ -265,7 +185,8 @@ def _cells(shingles: np.ndarray) -> np.ndarray:
 
 def document_sets(docs: DataFrame, table: np.ndarray, size: int, percent: int) -> DataFrame:
     """doc_id, n, s1, s2 (sums of the set), prefix (rarest shingles in order),
-    suffix (counts of the other hashes by cell), for every document."""
+    n_rare (how many of them are in fewer than MANY documents, by the rarity
+    table), suffix (counts of the other hashes by cell), for every document."""
     shared = docs.sparkSession.sparkContext.broadcast(table)
     bits = int(table.size).bit_length() - 1
 
@@ -273,69 +194,48 @@ def document_sets(docs: DataFrame, table: np.ndarray, size: int, percent: int) -
         rarity_of, rows = shared.value, []
         for s in shingle_sets(_texts(batch), size):
             n = len(s)
-            order = s[np.argsort(rarity_of[(s >> _U(64 - bits)).astype(np.int64)], kind="stable")]
-            cut = prefix_size(n, percent) if n else 0
-            rows.append((n, *_sums(s), order[:cut].view(np.int64), _cells(order[cut:]).astype(np.int32)))
-        names = ["n", "s1", "s2", "prefix", "suffix"]
-        types = [pa.int64()] * 3 + [pa.list_(pa.int64()), pa.list_(pa.int32())]
+            ranks = rarity_of[(s >> _U(64 - bits)).astype(np.int64)]
+            by_rank = np.argsort(ranks, kind="stable")
+            order, cut = s[by_rank], prefix_size(n, percent) if n else 0
+            n_rare = int(np.searchsorted(ranks[by_rank[:cut]], _SCALE * np.log2(MANY)))
+            rows.append((n, *_sums(s), n_rare, order[:cut].view(np.int64), _cells(order[cut:]).astype(np.int32)))
+        names = ["n", "s1", "s2", "n_rare", "prefix", "suffix"]
+        types = [pa.int64()] * 4 + [pa.list_(pa.int64()), pa.list_(pa.int32())]
         columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
         return pa.RecordBatch.from_arrays([batch["doc_id"], *columns], ["doc_id", *names])
 
-    return map_batches(text_bytes(docs), run, "doc_id bigint, n bigint, s1 bigint, s2 bigint, prefix array<bigint>, suffix array<int>")
+    return map_batches(text_bytes(docs), run, "doc_id bigint, n bigint, s1 bigint, s2 bigint, n_rare bigint, prefix array<bigint>, suffix array<int>")
 
 
 _SET = ["s1", "s2", "n"]
 
 
 def set_classes(sets: DataFrame) -> DataFrame:
-    """One row for each different set, written down: cid, n, doc_id (the least), copies, prefix, suffix."""
+    """One row for each different set, written down: cid, n, doc_id (the least), copies, n_rare, prefix, suffix."""
     classes = sets.filter("n > 0").groupBy(*_SET).agg(
-        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.first("prefix").alias("prefix"), F.first("suffix").alias("suffix"))
+        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in ("n_rare", "prefix", "suffix")])
     return stored(classes.withColumn("cid", F.monotonically_increasing_id()), "set-classes")
 
 
 # ---------------------------------------------------------------- verification
 
-def _bitmap(keys: DataFrame, column: str) -> np.ndarray:
-    """Bits of a table of numbers, 16 or more for each, 2^MOST_BITS at most: tells most rows that are not in it."""
-    bits = min(MOST_BITS, max(16, int(16 * keys.count()).bit_length()))
-    span = bits - 6
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: dict[int, np.ndarray] = {}
-        for batch in batches:
-            at = batch["at"].to_numpy()
-            for part in np.unique(at >> span).tolist():
-                parts.setdefault(part, np.zeros(1 << span, bool))[at[at >> span == part] & ((1 << span) - 1)] = True
-        if parts:
-            yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int64()), pa.array([np.packbits(v).tobytes() for v in parts.values()], pa.binary())], ["part", "bits"])
-
-    places = keys.select(F.col(column).bitwiseAND(F.lit((1 << bits) - 1)).alias("at"))
-    rows = places.repartition(F.shiftright("at", span)).mapInArrow(mark, "part bigint, bits binary").toArrow()
-    out = np.zeros((1 << bits) // 8, np.uint8).reshape(64, -1)
-    for part, row in zip(rows["part"].to_pylist(), rows["bits"].to_pylist()):
-        out[part] = np.frombuffer(row, np.uint8)
-    return out.reshape(-1)
-
-
 def whole_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """cid, shingles (the whole set as bytes) of the classes in ``wanted(cid)``.
 
     The sets are made again from the texts; a bitmap over the wanted classes'
     first sums lets a task drop the others before anything is shuffled."""
     named = stored(classes.select("cid", *_SET).join(wanted, "cid"), "wanted-classes")
-    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(named, "s1"))
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(named, "s1"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap, seen = shared.value, set()
+        wanted_bits, seen = shared.value, set()
         for batch in batches:
             rows = []
             for s in shingle_sets(_texts(batch), size):
                 if not len(s):
                     continue
                 sums = _sums(s)
-                at = sums[0] & (len(bitmap) * 8 - 1)
-                if bitmap[at >> 3] >> (7 - (at & 7)) & 1 and sums not in seen:
+                if within(wanted_bits, np.array(sums[:1])).all() and sums not in seen:
                     seen.add(sums)
                     rows.append((*sums, len(s), s.tobytes()))
             for at in range(0, len(rows), 512):
@@ -405,57 +305,85 @@ def _candidates(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def shared_prefixes(classes: DataFrame) -> DataFrame:
-    """token, cid, n, at, head (the smallest member), members: prefix shingles that several classes hold."""
-    rows = classes.select("cid", "n", F.posexplode("prefix").alias("at", "token"))
-    heads = stored(rows.groupBy("token").agg(F.min("cid").alias("head"), F.count(F.lit(1)).alias("members")).filter("members > 1"), "shared-tokens")
-    return stored(join_counted(rows, heads.withColumn("size", F.col("members")), ["token"], "size"), "shared-prefixes")
+    """token, cid, n, at, head (the smallest member), members: prefix shingles
+    that several classes hold.  Shingles that cannot be hot (the rarity table
+    bounds their documents) are shuffled once, for the grouping and the join;
+    the others are combined before the shuffle, and joined in two parts."""
+    rows = classes.select("cid", "n", "n_rare", F.posexplode("prefix").alias("at", "token"))
+    heads = [F.min("cid").alias("head"), F.count(F.lit(1)).alias("members")]
+    rare = rows.filter("at < n_rare").drop("n_rare").repartition("token")
+    together = rare.join(rare.groupBy("token").agg(*heads).filter("members > 1"), "token")
+    hot = rows.filter("at >= n_rare").drop("n_rare")
+    groups = stored(hot.groupBy("token").agg(*heads).filter("members > 1"), "hot-tokens")
+    apart = join_counted(hot, groups.withColumn("size", F.col("members")), ["token"], "size")
+    return stored(together.unionByName(apart), "shared-prefixes")
 
 
 def _stars(met: DataFrame, classes: DataFrame, before: DataFrame | None, percent: int) -> DataFrame:
     """Of rows (a, b), one for each shingle that class a shares with a partner b:
-    the partner met most often of those not tried ``before``, if the lengths allow a link."""
+    the partner met most often of those not tried ``before``, if the filters allow a link."""
     votes = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"))
     if before is not None:
         votes = votes.join(before, ["a", "b"], "left_anti")
     best = votes.groupBy("a").agg(F.max(F.struct("common", (-F.col("b")).alias("b"))).alias("x")).select("a", (-F.col("x.b")).alias("b"))
     size = lambda c, n: classes.select(F.col("cid").alias(c), F.col("n").alias(n))
     fits = F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * percent
-    return stored(best.join(size("a", "n1"), "a").join(size("b", "n2"), "b").filter(fits).select("a", "b"), "star-pairs")
+    pairs = best.join(size("a", "n1"), "a").join(size("b", "n2"), "b").filter(fits).select("a", "b", "n1", "n2")
+    return stored(_suffix_filter(pairs, classes, percent), "star-pairs")
 
 
-def class_links(docs: DataFrame, classes: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(a, b) classes that link, connecting all that links connect."""
-    shared = shared_prefixes(classes)
-    sets = whole_sets(docs, classes, shared.select("cid").distinct(), size)
-    met = shared.filter("cid != head").select(F.col("cid").alias("a"), F.col("head").alias("b"))
-    tried = _stars(met, classes, None, percent)
-    links = verified(sets, tried, percent)
-    for star in range(STARS):
-        part = stored(components(links), "star-components")
-        named = shared.join(part, shared["cid"] == part["node"], "left").select(
-            "token", "cid", "n", "at", "members", F.coalesce("component", "cid").alias("part"))
-        ends = named.groupBy("token").agg(F.min(F.struct("part", "cid")).alias("lo"), F.max(F.struct("part", "cid")).alias("hi"), F.count(F.lit(1)).alias("size"))
-        apart = stored(ends.filter("lo.part < hi.part"), "open-tokens")
-        open_ = stored(join_counted(named, apart, ["token"], "size"), "open-prefixes")
-        if star == STARS - 1:
-            break
-        # a member meets a member of another part: the first of the first part, or the last of the last
-        other = F.when(F.col("part") > F.col("lo.part"), F.col("lo.cid")).otherwise(F.col("hi.cid"))
-        again = _stars(open_.select(F.col("cid").alias("a"), other.alias("b")), classes, tried, percent)
-        links = links.unionByName(verified(sets, again, percent))
-        tried = tried.unionByName(again)
+def _open(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """``rows`` of the buckets that hold members of different components of
+    ``links``, with ``part`` (the component) and lo, hi (part, cid): the first
+    member of the first part and the last of the last."""
+    part = stored(components(links), "star-components")
+    named = rows.join(part, rows["cid"] == part["node"], "left").select(*[rows[c] for c in _SHARED], F.coalesce("component", "cid").alias("part"))
+    ends = named.groupBy("token").agg(F.min(F.struct("part", "cid")).alias("lo"), F.max(F.struct("part", "cid")).alias("hi"), F.count(F.lit(1)).alias("size"))
+    apart = stored(ends.filter("lo.part < hi.part"), "open-tokens")
+    return stored(join_counted(named, apart, ["token"], "size"), "open-prefixes")
+
+
+_SHARED = ["token", "cid", "n", "at", "members"]
+
+
+def _pairs_between(rows: DataFrame, classes: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
+    """Every pair between parts of a bucket that passes the filters and was not tried."""
     tiles = _ceil(F.col("members"), TILE)
     mine, all_ = F.pmod(F.xxhash64("cid"), tiles), F.sequence(F.lit(0).cast("bigint"), tiles - 1)
-    left = open_.select("token", F.col("cid").alias("a"), F.col("n").alias("n1"), F.col("at").alias("at1"), F.col("part").alias("pa"),
-                        mine.alias("i"), F.explode(all_).alias("j"))
-    right = open_.select("token", F.col("cid").alias("b"), F.col("n").alias("n2"), F.col("at").alias("at2"), F.col("part").alias("pb"),
-                         F.explode(all_).alias("i"), mine.alias("j"))
+    left = rows.select("token", F.col("cid").alias("a"), F.col("n").alias("n1"), F.col("at").alias("at1"), F.col("part").alias("pa"),
+                       mine.alias("i"), F.explode(all_).alias("j"))
+    right = rows.select("token", F.col("cid").alias("b"), F.col("n").alias("n2"), F.col("at").alias("at2"), F.col("part").alias("pb"),
+                        F.explode(all_).alias("i"), mine.alias("j"))
     # the class of the smaller part is b, as a star's centre is
     cross = left.join(right, ["token", "i", "j"]).filter("pa > pb").filter(_may_link(percent))
     both_ways = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
     fresh = _candidates(cross, percent).join(both_ways, ["a", "b"], "left_anti")
-    pairs = stored(_suffix_filter(fresh, classes, percent), "open-pairs")
-    return links.unionByName(verified(sets, pairs, percent))
+    return stored(_suffix_filter(fresh, classes, percent), "open-pairs")
+
+
+def _members(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid")))
+
+
+def class_links(docs: DataFrame, classes: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(a, b) classes that link, connecting all that links connect."""
+    shared = shared_prefixes(classes)
+    first = _stars(shared.filter("cid != head").select(F.col("cid").alias("a"), F.col("head").alias("b")), classes, None, percent)
+    links = verified(whole_sets(docs, classes, _members(first).distinct(), size), first, percent)
+
+    open_ = _open(shared, links)
+    small, large = open_.filter(F.col("members") <= SMALL), open_.filter(F.col("members") > SMALL)
+    pairs = _pairs_between(small, classes, first, percent)
+    # a member of a large bucket meets a member of another part: the first of the first part, or the last of the last
+    other = F.when(F.col("part") > F.col("lo.part"), F.col("lo.cid")).otherwise(F.col("hi.cid"))
+    again = _stars(large.select(F.col("cid").alias("a"), other.alias("b")), classes, first, percent)
+    sets = whole_sets(docs, classes, _members(pairs).unionByName(large.select("cid")).distinct(), size)
+    second = stored(pairs.unionByName(again).distinct(), "second-pairs")
+    links = links.unionByName(verified(sets, second, percent))
+
+    still = _open(large.select(*_SHARED), links)
+    rest = _pairs_between(still, classes, first.unionByName(second), percent)
+    return links.unionByName(verified(sets, rest, percent))
 
 
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, bits: int = RARITY_BITS) -> DataFrame:
