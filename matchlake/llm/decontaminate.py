@@ -5,110 +5,180 @@ not none, is one window).  Containment must be exact, so of a window's words
 ordered by rarity the necessary prefix is the single rarest one: a document
 that holds the window holds that word.
 
-1. The benchmark's windows are cut into blocks of at most ``MAX_WINDOWS``
-   windows, so that what is broadcast is bounded however large the benchmark
-   is; each block meets all documents, and the spans of all blocks are united.
-2. One pass counts how often the block's words occur in the corpus (rarity).
-3. The second pass joins on the prefix word: each of its occurrences gives a
-   candidate position; the length and positional bounds drop candidates that
-   start before the document or end behind it; the rest are verified word by
-   word over the window.
+1. Tasks cut the items into windows; the different windows are one table, the
+   (window, item) pairs another, which is joined at the end only.
+2. Rarity: one pass over the corpus counts the windows' words; a window's
+   rarest word and its place are its prefix.
+3. The second pass gives a row for every occurrence of a prefix word, with the
+   ``size`` - 1 words before and behind it, where the occurrence stands in a
+   run of window words that is long enough for a window.  The rows are joined
+   with the windows on the prefix word, the length and positional bounds drop
+   those that start before the document or end behind it, and the words decide.
+4. Spans are united per document, and the items of its windows listed.
+
+In both passes a bitmap of word hashes (``hashing.MOST_BITS`` bits at most)
+tells which words matter before a row is made; it only saves rows.  Prefix
+words with many occurrences or many windows are dealt out in tiles, so that no
+join key holds more than ``BLOCK`` occurrences and ``max_windows`` windows.
+Both passes are made once, however large the benchmark; nothing of it passes
+through the driver but the bitmaps.
 
 Defined results: null texts have no words; an empty benchmark hits nothing; a
 null item_id hits words but is not listed; repeated documents get a row each;
-repeated items count once.  Only doc_id and text (item_id and text) are read.
+repeated items count once.  Words of any length and texts of any length are
+whole.  Only doc_id and text (item_id and text) are read.
 """
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.llm.common import map_batches, stored, text_bytes
+from matchlake.llm.common import BLOCK, map_batches, stored, text_bytes
+from matchlake.llm.hashing import bitmap, within, word_hashes
 
 WINDOW = 13
-# Windows (of at most 13 words each) in one broadcast block.
-MAX_WINDOWS = 100_000
+# Windows that one prefix word meets under one join key.
+MAX_WINDOWS = 256
 
 # ASCII: A-Z to lower case, everything but letters and digits to a space;
 # all bytes of non-ASCII characters stay, so they are word characters.
 _FOLD = bytes(b if b > 127 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32
               for b in range(256))
 
-HITS = "doc_id bigint, row bigint, digest bigint, n_words bigint, starts array<int>, ends array<int>, items array<string>"
-
 
 def words_of(text: bytes) -> list[bytes]:
     """Words [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+ after lower-casing A-Z."""
     return text.translate(_FOLD).split()
 
 
-def item_windows(words: list[bytes], size: int = WINDOW) -> set[tuple[bytes, ...]]:
-    if not words:
-        return set()
-    return {tuple(words[i:i + size]) for i in range(max(1, len(words) - size + 1))}
+# ------------------------------------------------------------------- benchmark
+
+def item_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
+    """(item_id, win): the windows of every item, as lists of words."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(batch["item_id"].to_pylist(), batch["text"].to_pylist()):
+                words = words_of(text)
+                last = max(1, len(words) - size + 1) if words else 0
+                for at in range(0, last, 4096):
+                    wins = [words[i:i + size] for i in range(at, min(at + 4096, last))]
+                    yield pa.RecordBatch.from_arrays([pa.array([item] * len(wins), pa.string()), pa.array(wins, pa.list_(pa.binary()))], ["item_id", "win"])
+
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
+    return items.mapInArrow(cut, "item_id string, win array<binary>")
+
+
+def _hashed(words: DataFrame) -> DataFrame:
+    """(word) -> (word, hash), as the passes over the texts hash it."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        hashes = [int(h[0]) for h in word_hashes(batch["word"].to_pylist())]
+        return pa.RecordBatch.from_arrays([batch["word"], pa.array(np.array(hashes, np.uint64).view(np.int64))], ["word", "hash"])
+    return map_batches(words, run, "word binary, hash bigint")
 
 
-def window_blocks(benchmark: DataFrame, size: int = WINDOW, max_windows: int = MAX_WINDOWS):
-    """Yield lists of (window, item ids) with about ``max_windows`` windows; items come in one by one."""
-    block: dict[tuple[bytes, ...], set[str | None]] = defaultdict(set)
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"),
-                             F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    for row in items.toLocalIterator():
-        for w in item_windows(words_of(bytes(row["text"])), size):
-            block[w].add(row["item_id"])
-            if len(block) >= max_windows:
-                yield block
-                block = defaultdict(set)
-    if block:
-        yield block
+def word_counts(texts: DataFrame, vocabulary: DataFrame, bits: np.ndarray) -> DataFrame:
+    """(word, hash, n): how often each word of the vocabulary stands in the corpus."""
+    shared = texts.sparkSession.sparkContext.broadcast(bits)
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
 
-def _word_counts(docs: DataFrame, vocabulary: set[bytes]) -> Counter:
-    """Occurrences in the corpus of the block's words (one partial count per task)."""
-    known = docs.sparkSession.sparkContext.broadcast(vocabulary)
+        def totals():
+            found, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["hash", "n"])
 
-    def count(batches):
-        total, keep = Counter(), known.value
         for batch in batches:
-            for text in batch.column("text"):
-                words = words_of(text.as_py())
-                total.update(filter(keep.__contains__, words))
-        yield pa.RecordBatch.from_pydict({"word": pa.array(list(total), pa.binary()),
-                                          "n": pa.array(list(total.values()), pa.int64())})
-
-    counts = docs.select("text").mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    return Counter({bytes(r["word"]): r["n"] for r in counts.collect()})   # at most the block's vocabulary
-
-
-def prefix_index(block: dict, counts: Counter) -> dict[bytes, list]:
-    """rarest word -> [(its first place in the window, window, item ids)]."""
-    index: dict[bytes, list] = defaultdict(list)
-    for window, items in block.items():
-        place = min(range(len(window)), key=lambda i: (counts[window[i]], window[i], i))
-        index[window[place]].append((place, list(window), [i for i in items if i is not None]))
-    return dict(index)
-
-
-def find_windows(words: list[bytes], index: dict[bytes, list]) -> tuple[list[int], list[int], set[str]]:
-    """Starts and ends of the occurring windows, and their items."""
-    starts, ends, items = [], [], set()
-    n = len(words)
-    keys = index.keys() & set(words)
-    if keys:
-        for at, word in enumerate(words):
-            if word in keys:
-                for place, window, ids in index[word]:
-                    start = at - place
-                    # positional and length bounds, then the exact check
-                    if start >= 0 and start + len(window) <= n and words[start:start + len(window)] == window:
-                        starts.append(start)
-                        ends.append(start + len(window))
-                        items.update(ids)
-    return starts, ends, items
+            for words in word_hashes([t.translate(_FOLD) for t in batch["text"].to_pylist()]):
+                some = words[within(shared.value, words)]
+                held.append(some)
+                size += len(some)
+                if size > 1 << 21:
+                    yield totals()
+                    held, size = [], 0
+        if size:
+            yield totals()
+
+    sums = texts.select("text").mapInArrow(count, "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("n"))
+    return vocabulary.join(sums, "hash", "left").select("word", "hash", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+
+
+# ------------------------------------------------------------------- documents
+
+_FOUND = "row bigint, doc_id bigint, digest bigint, n_words bigint, word binary, at int, low int, around array<binary>"
+
+
+def _found(texts: DataFrame, vocabulary: np.ndarray, prefixes: np.ndarray, shortest: int, size: int) -> DataFrame:
+    """A row for every document (n_words) and one for every occurrence of a
+    prefix word (word, at, and the words around it from ``low`` on), written down."""
+    shared = texts.sparkSession.sparkContext.broadcast((vocabulary, prefixes))
+    types = [*[pa.int64()] * 4, pa.binary(), pa.int32(), pa.int32(), pa.list_(pa.binary())]
+    names = [f.split()[0] for f in _FOUND.split(", ")]
+
+    def rows(columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+    def places(hashes: np.ndarray) -> np.ndarray:
+        """Prefix words inside runs of window words that are long enough for a window."""
+        known, first = shared.value
+        edges = np.flatnonzero(np.diff(within(known, hashes).astype(np.int8), prepend=0, append=0))
+        starts, ends = edges[0::2], edges[1::2]
+        enough = ends - starts >= shortest
+        at = np.concatenate([np.arange(s, e) for s, e in zip(starts[enough], ends[enough])]) if enough.any() else np.zeros(0, np.int64)
+        return at[within(first, hashes[at])]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts_, lengths = batch["text"].to_pylist(), []
+            for text, row, hashes in zip(texts_, batch["row"].to_pylist(), word_hashes([t.translate(_FOLD) for t in texts_])):
+                lengths.append(len(hashes))
+                at = places(hashes).tolist()
+                words = words_of(text) if at else []
+                for k in range(0, len(at), 1024):
+                    part = at[k:k + 1024]
+                    none = [None] * len(part)
+                    yield rows([[row] * len(part), none, none, none, [words[i] for i in part], part, [max(0, i - size + 1) for i in part],
+                                [words[max(0, i - size + 1):i + size] for i in part]])
+            none = [None] * batch.num_rows
+            yield rows([batch["row"], batch["doc_id"], batch["digest"], lengths, none, none, none, none])
+
+    return stored(texts.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "digest", "text").mapInArrow(run, _FOUND), "prefix-occurrences")
+
+
+def occurrences(texts: DataFrame, windows: DataFrame, size: int = WINDOW, max_windows: int = MAX_WINDOWS) -> tuple[DataFrame, DataFrame]:
+    """(documents: row, doc_id, digest, n_words; hits: row, wid, from, to) for
+    windows (wid, win).  Texts have doc_id, digest and text (bytes)."""
+    words = windows.select("wid", F.posexplode("win").alias("place", "word"))
+    vocabulary = stored(_hashed(words.select("word").distinct()), "window-words")
+    known = bitmap(vocabulary, "hash")
+    counts = stored(word_counts(texts, vocabulary, known), "window-word-counts")
+    # the rarest word of each window and its place: the prefix
+    rarest = words.join(counts, "word").groupBy("wid").agg(F.min(F.struct("n", "word", "place", "hash")).alias("x"))
+    prefix = stored(windows.join(rarest.select("wid", F.col("x.word").alias("word"), F.col("x.place").alias("place"), F.col("x.hash").alias("hash"),
+                                               F.col("x.n").alias("n")), "wid"), "window-prefixes")
+    shortest = prefix.agg(F.min(F.size("win"))).first()[0] or 1
+    found = _found(texts, known, bitmap(prefix.select("hash").distinct(), "hash"), shortest, size)
+    here = found.filter("word is not null").select("row", "word", "at", "low", "around")
+
+    # tiles of the words that stand in many windows (``across``) or many texts (``down``)
+    across = F.ceil(F.count(F.lit(1)) / F.lit(max_windows)).cast("int").alias("across")
+    tiles = stored(prefix.groupBy("word").agg(across, F.ceil(F.max("n") / F.lit(BLOCK)).cast("int").alias("down"))
+                   .filter("across > 1 or down > 1"), "hot-prefixes")
+    one = lambda c: F.coalesce(c, F.lit(1))
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.greatest(one(c), F.lit(1)) - 1))
+    wide, tall = one("across"), F.greatest(one("down"), F.lit(1))
+    left = here.join(tiles, "word", "left").select("word", "row", "at", "low", "around", F.pmod(F.xxhash64("row", "at"), tall).cast("int").alias("i"), every("across").alias("j"))
+    right = prefix.join(tiles, "word", "left").select("word", "wid", "win", "place", every("down").alias("i"), F.pmod(F.xxhash64("wid"), wide).cast("int").alias("j"))
+    start = F.col("at") - F.col("place")
+    n = F.size("win")
+    inside = (start >= F.col("low")) & (start + n <= F.col("low") + F.size("around"))
+    same = F.slice("around", F.greatest(start - F.col("low"), F.lit(0)) + 1, n) == F.col("win")
+    hits = left.join(right, ["word", "i", "j"]).filter(inside & same).select("row", "wid", start.alias("from"), (start + n).alias("to"))
+    return found.filter("n_words is not null").select("row", "doc_id", "digest", "n_words"), stored(hits, "window-hits")
 
 
 def _merged(starts: list[int], ends: list[int]) -> tuple[list[int], list[int]]:
@@ -122,68 +192,35 @@ def _merged(starts: list[int], ends: list[int]) -> tuple[list[int], list[int]]:
     return out_s, out_e
 
 
-def _block_hits(docs: DataFrame, index: dict[bytes, list], all_rows: bool) -> DataFrame:
-    """One row per document (``all_rows``) or per document with a hit."""
-    shared = docs.sparkSession.sparkContext.broadcast(index)
-
-    def find(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = {k: [] for k in ("doc_id", "row", "digest", "n_words", "starts", "ends", "items")}
-        ids = zip(batch["doc_id"].to_pylist(), batch["row"].to_pylist(), batch["digest"].to_pylist())
-        for key, text in zip(ids, batch["text"]):
-            words = words_of(text.as_py())
-            starts, ends, items = find_windows(words, shared.value)
-            if starts or all_rows:
-                starts, ends = _merged(starts, ends)
-                for k, v in zip(rows, (*key, len(words), starts, ends, sorted(items))):
-                    rows[k].append(v)
-        types = (*[pa.int64()] * 4, pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.string()))
-        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), types)], list(rows))
+def hit_spans(hits: DataFrame) -> DataFrame:
+    """row, starts, ends, n_hit: a document's hit words as spans that do not touch."""
+    def merge(batch: pa.RecordBatch) -> pa.RecordBatch:
+        spans = [_merged([x["from"] for x in s], [x["to"] for x in s]) for s in batch["spans"].to_pylist()]
+        return pa.RecordBatch.from_arrays(
+            [batch["row"], pa.array([s for s, _ in spans], pa.list_(pa.int32())), pa.array([e for _, e in spans], pa.list_(pa.int32())),
+             pa.array([sum(e) - sum(s) for s, e in spans], pa.int64())], ["row", "starts", "ends", "n_hit"])
 
-    return map_batches(docs, find, HITS)
+    # as many spans as the document has words, at most
+    spans = hits.groupBy("row").agg(F.collect_set(F.struct("from", "to")).alias("spans"))
+    return map_batches(spans, merge, "row bigint, starts array<int>, ends array<int>, n_hit bigint")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW,
-                  max_windows: int = MAX_WINDOWS) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, digest
     (xxhash64 of the text), starts, ends (merged spans of hit words), items."""
-    source = text_bytes(docs, F.xxhash64("text").alias("digest")).withColumn("row", F.lit(0).cast("bigint"))
-    blocks = window_blocks(benchmark, size, max_windows)
-    first = next(blocks, {})
-    second = next(blocks, None)
-    if second is not None:   # several blocks: rows are numbered, and their spans meet per row
-        source = stored(source.withColumn("row", F.monotonically_increasing_id()), "numbered-documents")
-
-    def hits(block: dict, all_rows: bool) -> DataFrame:
-        counts = _word_counts(source, {w for window in block for w in window}) if block else Counter()
-        return _block_hits(source, prefix_index(block, counts), all_rows)
-
-    out = hits(first, True)
-    if second is not None:
-        rest = [stored(hits(second, False), "block-hits"), *(stored(hits(b, False), "block-hits") for b in blocks)]
-        for more in rest:
-            out = out.unionByName(more)
-        out = out.groupBy("row").agg(
-            F.first("doc_id").alias("doc_id"), F.first("digest").alias("digest"), F.max("n_words").alias("n_words"),
-            F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-        out = _remerge(out)
-    n_hit = F.aggregate(F.zip_with("ends", "starts", lambda e, s: (e - s).cast("bigint")), F.lit(0).cast("bigint"),
-                        lambda acc, x: acc + x)
-    return (out.select("doc_id", "digest", "n_words", n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
-                       F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "starts", "ends", "items")
-            .select("doc_id", "n_words", "n_hit", "n_items", "items_sha256",
-                    ((F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words"))).alias("contaminated"),
-                    "digest", "starts", "ends", "items"))
-
-
-def _remerge(df: DataFrame) -> DataFrame:
-    def merge(batch: pa.RecordBatch) -> pa.RecordBatch:
-        spans = [_merged(s, e) for s, e in zip(batch["starts"].to_pylist(), batch["ends"].to_pylist())]
-        return pa.RecordBatch.from_arrays(
-            [batch["doc_id"], batch["row"], batch["digest"], batch["n_words"], pa.array([s for s, _ in spans], pa.list_(pa.int32())),
-             pa.array([e for _, e in spans], pa.list_(pa.int32())), batch["items"]],
-            ["doc_id", "row", "digest", "n_words", "starts", "ends", "items"])
-    return map_batches(df.select("doc_id", "row", "digest", "n_words", "starts", "ends", "items"), merge, HITS)
+    texts = text_bytes(docs, F.xxhash64("text").alias("digest"))
+    pairs = stored(item_windows(benchmark, size), "item-windows")
+    windows = stored(pairs.select("win").distinct().withColumn("wid", F.monotonically_increasing_id()), "windows")
+    rows, hits = occurrences(texts, windows, size, max_windows)
+    owners = stored(windows.join(pairs.filter("item_id is not null"), "win").select("wid", "item_id").distinct(), "window-items")
+    listed = (hits.select("row", "wid").distinct().join(owners, "wid").groupBy("row").agg(F.array_sort(F.collect_set("item_id")).alias("items")))
+    n_hit = F.coalesce("n_hit", F.lit(0).cast("bigint"))
+    spans = lambda c: F.coalesce(c, F.array().cast("array<int>")).alias(c)
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    out = rows.join(hit_spans(hits), "row", "left").join(listed, "row", "left")
+    return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("bigint").alias("n_items"),
+                      F.sha2(F.concat_ws(",", items), 256).alias("items_sha256"),
+                      ((n_hit > 0) & (n_hit * 20 >= F.col("n_words"))).alias("contaminated"), "digest", spans("starts"), spans("ends"), items.alias("items"))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
