@@ -174,5 +174,22 @@ SELECT n.conv_id, n.depth, parent_conv_id, n_convs, coalesce(n_children, 0) AS n
        CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
 FROM nodes n JOIN sums USING (key, depth) LEFT JOIN parents USING (key, depth) LEFT JOIN kids USING (key, depth) LEFT JOIN ends USING (key, depth)"""
 
-ORACLE = {"op4_substring_dedup": OP4, "op5_mixing": OP5, "op7_exact_dedup": OP7, "op9_decontamination": OP9, "op12_merkle": OP12,
-          "op13_prefix_trie": OP13}
+OP11 = rf"""
+WITH RECURSIVE docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM docs WHERE len(w) > 0)),
+sizes AS MATERIALIZED (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+links AS MATERIALIZED (
+  SELECT a, b
+  FROM (SELECT x.r AS a, y.r AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.s = y.s AND x.r <> y.r GROUP BY x.r, y.r)
+  JOIN sizes p ON p.r = a JOIN sizes q ON q.r = b WHERE 100 * c >= 80 * (p.n + q.n - c)),
+reach AS (SELECT r, r AS t FROM docs UNION SELECT reach.r, b FROM reach JOIN links ON a = t)
+SELECT any_value(d.doc_id) AS doc_id, coalesce(any_value(n), 0) AS n_shingles, min(o.doc_id) AS component_id
+FROM reach JOIN docs d ON d.r = reach.r JOIN docs o ON o.r = reach.t LEFT JOIN sizes s ON s.r = d.r GROUP BY d.r"""
+
+ORACLE = {"op4_substring_dedup": OP4, "op5_mixing": OP5, "op7_exact_dedup": OP7, "op9_decontamination": OP9, "op11_jaccard": OP11,
+          "op12_merkle": OP12,           "op13_prefix_trie": OP13}

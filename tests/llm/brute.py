@@ -137,3 +137,99 @@ def base_scores(docs, folds=5, held=1):
         out.append((d, fold(d) == held, len(t), sum(counts[x] > 0 for x in t), n,
                     sum(math.log10((counts[x] + 0.5) / (n + 0.5 * (v + 1))) for x in t)))
     return out
+
+
+def jaccard(docs, size=5, percent=80):
+    """[(doc_id, n_shingles, component_id)] by comparing every two sets that share a shingle."""
+    sets = []
+    for _, text in docs:
+        w = words(lower(text or ""))
+        sets.append(frozenset(" ".join(w[i:i + size]) for i in range(max(1, len(w) - size + 1))) if w else frozenset())
+    classes = defaultdict(list)
+    for row, s in enumerate(sets):
+        classes[s].append(row)
+    keys, holders = list(classes), defaultdict(list)
+    parent = list(range(len(keys)))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for i, s in enumerate(keys):
+        common = Counter(j for x in s for j in holders[x])
+        for x in s:
+            holders[x].append(i)
+        for j, c in common.items():
+            if 100 * c >= percent * (len(s) + len(keys[j]) - c):
+                parent[find(i)] = find(j)
+    groups = defaultdict(list)
+    for i, s in enumerate(keys):
+        if s:
+            groups[find(i)] += classes[s]
+    least = {row: min((docs[r][0] for r in rows if docs[r][0] is not None), default=None) for rows in groups.values() for row in rows}
+    return [(docs[row][0], len(s), least[row] if s else docs[row][0]) for row, s in enumerate(sets)]
+
+
+def merkle(rows):
+    """Rows of documents as dicts -> [(doc_id, leaf, subroot, root, proof_sha256, folded_root, verified)]."""
+    def leaf(r, text):
+        fields = (r["doc_id"], r["source"], r["lang"], r["n_chars"], text)
+        return sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in fields))
+
+    def tree(level):
+        levels = [level]
+        while len(levels[-1]) > 1:
+            levels.append([sha("".join(levels[-1][i:i + 16])) for i in range(0, len(levels[-1]), 16)])
+        return levels
+
+    sources = defaultdict(list)
+    for r in rows:
+        changed = r["doc_id"] is not None and r["text"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0
+        sources[r["source"]].append((r["doc_id"], leaf(r, r["text"]), leaf(r, lower(r["text"]) if changed else r["text"])))
+    order = sorted(sources, key=lambda s: (s is not None, (s or "").encode()))
+    for s in order:
+        sources[s].sort(key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+    trees = {s: tree([x[1] for x in sources[s]]) for s in order}
+    top, out = tree([trees[s][-1][0] for s in order]), []
+    for number, s in enumerate(order):
+        for at, (doc_id, digest, now) in enumerate(sources[s]):
+            proof = ""
+            for levels, place in ((trees[s], at), (top, number)):
+                for level in levels[:-1]:
+                    run = level[place // 16 * 16:][:16]
+                    before, after = run[:place % 16], run[place % 16 + 1:]
+                    proof += "".join(before + after)
+                    now = sha("".join([*before, now, *after]))
+                    place //= 16
+            out.append((doc_id, digest, trees[s][-1][0], top[-1][0], sha(proof), now, now == top[-1][0]))
+    return out
+
+
+def trie(rows):
+    """Rows of conversations as dicts -> the nodes in the order of the operator's columns."""
+    told = defaultdict(list)
+    for r in rows:
+        if r["conv_id"] is not None:
+            role, text = r["role"] or "", r["text"] or ""
+            tie = hashlib.md5(f"{len(role.encode())}:{role}{text}".encode()).hexdigest()
+            told[r["conv_id"]].append((r["turn"] is not None, r["turn"] or 0, role, tie, text))
+    told = {c: [(t[2], t[4]) for t in sorted(v)] for c, v in told.items()}
+    nodes, built = defaultdict(list), {}
+    for c in told:
+        h = zlib.crc32(str(c).encode()) % 6
+        built[c] = told.get(int(c - math.fmod(c, 100)), [])[:h] + told[c][h:]
+        for d in range(len(built[c]) + 1):
+            nodes[tuple(built[c][:d])].append(c)
+    children = defaultdict(list)
+    for k in nodes:
+        if k:
+            children[k[:-1]].append(k)
+    leaves, saved, out = {}, {}, []
+    for k in sorted(nodes, key=len, reverse=True):
+        leaves[k] = sum(leaves[x] for x in children[k]) or 1
+        saved[k] = sum(saved[x] for x in children[k]) + (len(nodes[k]) - 1) * (len(k[-1][1]) if k else 0)
+        ends = ",".join(str(c) for c in sorted(nodes[k]) if len(built[c]) == len(k))
+        out.append((min(nodes[k]), len(k), min(nodes[k[:-1]]) if k else None, len(nodes[k]), len(children[k]), leaves[k], saved[k], sha(ends)))
+    return out
