@@ -149,14 +149,16 @@ def recode_match_type(df: DataFrame, recode: tuple[str, str, str] = DEFAULT_RECO
     return df.withColumn(column, mf.recode_when_contains(column, old, new, league, token))
 
 
-def flagged_deliveries(d: DataFrame, names: DataFrame,
-                       rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> tuple[DataFrame, DataFrame, DataFrame]:
+def flagged_deliveries(d: DataFrame, names: DataFrame, rows_per_task: int = DEFAULT_ROWS_PER_TASK,
+                       sizes: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Indexed deliveries -> the 29 published columns plus ``_salt`` (P2,
     P12-P21), co-partitioned on (match_id, _salt).  Also returns the hot-match
     table and the salted names, so that the match join uses the same salts and
-    the same exchange of the names."""
+    the same exchange of the names.  Hot matches come from ``sizes`` (match_id,
+    n_balls: one narrow row a match) where ingest has kept it, else from a
+    partial aggregate of the balls."""
     d = add_innings_id(d)
-    hot = hot_keys(d, ["match_id"], rows_per_task)
+    hot = hot_keys(d if sizes is None else sizes, ["match_id"], rows_per_task, None if sizes is None else "n_balls")
     ds = salt_big_side(d, hot, ["match_id"], ["delivery_id"]).repartition("match_id", SALT)
     ns = salt_small_side(names, hot, ["match_id"]).repartition("match_id", SALT)
     d2 = add_ball_features(resolve_roles(ds, ns, salted=True))
@@ -169,7 +171,7 @@ def build_fact_table(deliveries: DataFrame, match_info: DataFrame, names: DataFr
                      resolve_player_of_match: bool = False,
                      order_cols: list[str] | None = None,
                      rows_per_task: int = DEFAULT_ROWS_PER_TASK,
-                     keep_missing_flags: bool = False) -> DataFrame:
+                     keep_missing_flags: bool = False, sizes: DataFrame | None = None) -> DataFrame:
     """Deliveries + names + match info + leagues -> one wide fact table.
 
     ``names`` is the per-match name table of ``operators.people.resolve_people``.
@@ -177,7 +179,7 @@ def build_fact_table(deliveries: DataFrame, match_info: DataFrame, names: DataFr
     replacements = DEFAULT_REPLACEMENTS if replacements is None else replacements
 
     d = deliveries if "delivery_id" in deliveries.columns else add_delivery_id(deliveries, order_cols)
-    flagged, hot, salted_names = flagged_deliveries(d, names, rows_per_task)
+    flagged, hot, salted_names = flagged_deliveries(d, names, rows_per_task, sizes)
     if not keep_missing_flags:
         flagged = drop_prefixed(flagged)
 

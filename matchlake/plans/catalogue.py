@@ -553,6 +553,56 @@ def q_incremental_fact(spark, sf):
     return published_fact(spark, store).drop("batch_id")
 
 
+def file_store(spark, sf):
+    """The match documents written as files into a raw folder and ingested from
+    it in two runs: the files of matches before 1998, then the folder with all
+    files, of which only the new ones are opened."""
+    from matchlake.operators.ingest import Paths, run_new_files
+    from matchlake.session import apply_settings, scratch_dir
+    from matchlake.sources.sinks import write_documents
+    key = ("file store", spark.sparkContext.applicationId, sf)
+    if key not in _STORED:
+        apply_settings(spark)
+        docs = stored_documents(spark, sf)
+        raw, store = scratch_dir(spark, "raw"), Paths(scratch_dir(spark, "file-store"))
+        first_day = F.get_json_object("value", "$.info.dates[0]")
+        for part in (docs.filter(first_day < _SPLIT), docs.filter(~(first_day < _SPLIT) | first_day.isNull())):
+            write_documents(part, raw)
+            run_new_files(spark, raw, store)
+        _STORED[key] = store
+    return _STORED[key]
+
+
+@register("new_files_ledger", f"""SELECT CAST(o_orderkey AS VARCHAR) AS match_id,
+       CAST(o_orderdate >= TIMESTAMP '{_SPLIT}' AS BIGINT) AS batch_id, 'extracted' AS status FROM orders""")
+def q_new_files_ledger(spark, sf):
+    """Folder listing, ids without a committed batch, files read by tasks, and
+    the ledger after two runs over one growing folder (S1, S2, I1-I3, I10)."""
+    from matchlake.operators.ingest import ledger
+    return ledger(spark, file_store(spark, sf)).select("match_id", "batch_id", "status")
+
+
+@register("new_files_deliveries", O.with_standins(O.BATCH_INDEXED_CTE.format(cut=_SPLIT), body="SELECT " + ", ".join(
+    ["delivery_id"] + [f'"{c}"' for c in O.DELIVERY_COLS]) + " FROM sd_indexed"))
+def q_new_files_deliveries(spark, sf):
+    """Balls of the documents read from files, with the ids of their batches
+    (S1, E1-E6, P1): documents lie in ranges of match ids, nothing is shuffled
+    for the ids."""
+    from matchlake.operators.ingest import stored_tables
+    return stored_tables(spark, file_store(spark, sf))["deliveries"].select("delivery_id", *O.DELIVERY_COLS)
+
+
+@register("form_from_batches", ORACLE["player_form_report"])
+def q_form_from_batches(spark, sf):
+    """The form report of every batter from the parts kept with each published
+    batch, without reading facts (N9-N13)."""
+    from matchlake.operators.ingest import commits, publish_fact_batch, published_form
+    store, st = file_store(spark, sf), Standins(spark, sf)
+    for row in commits(spark, store).select("batch_id").collect():
+        publish_fact_batch(spark, store, st.people_raw(), st.profiles_raw(), st.leagues(), row["batch_id"], replacements=STANDIN_REPLACEMENTS)
+    return published_form(spark, store, per_batter=True)
+
+
 @register("parquet_scan", """SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
 WHERE l_returnflag = 'R' AND l_linestatus = 'F'""")
 def q_parquet_scan(spark, sf):

@@ -6,6 +6,8 @@ the same semantics over the raw driver tables.
 
 from __future__ import annotations
 
+import re
+
 from matchlake.plans.standins import standin_ctes
 from matchlake.schemas import FACT_DELIVERY_COLUMNS, MATCH_INFO, ROLES
 
@@ -20,7 +22,9 @@ def q(name: str) -> str:
 
 def with_standins(*ctes: str, body: str) -> str:
     parts = [standin_ctes(), *ctes]
-    return "WITH " + ",\n".join(parts) + "\n" + body
+    # each step is computed once and joined as a table of known size
+    steps = re.sub(r"\b((?:sd|dim)_\w+) AS \(", r"\1 AS MATERIALIZED (", ",\n".join(parts))
+    return "WITH " + steps + "\n" + body
 
 
 PEOPLE_CTE = """sd_people AS (

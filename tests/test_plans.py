@@ -85,13 +85,41 @@ def test_match_join_shuffles_matches_once(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_numbering_documents_moves_no_ball(spark):
-    """Ids of extracted balls: no range exchange, no sort of balls."""
-    from matchlake.operators.extract import extract_deliveries, parse_documents, typed_documents
-    from matchlake.operators.ingest import with_first_ids
-    docs = spark.createDataFrame([("1", "{}")], "match_id string, value string")
-    bronze = typed_documents(parse_documents(docs)).withColumn("doc_no", F.monotonically_increasing_id())
-    p = plan_text(extract_deliveries(with_first_ids(bronze, 1)))
-    assert "rangepartitioning" not in p
-    generate = p.index("Generate posexplode")
-    assert "Exchange" not in p[:generate] and "Sort " not in p[:generate]
+def test_numbering_documents_moves_nothing(spark, tmpdir_fresh, monkeypatch):
+    """With broadcast joins off, none of a batch's tables shuffles or sorts
+    documents or balls on the way from bronze: every job that a batch run writes
+    from bronze is planned without an exchange, but the broadcast of one row a range."""
+    from matchlake.operators import ingest
+    from matchlake.plans.catalogue import stored_documents
+    plans = {}
+    real = ingest.write_batch
+
+    def write(df, store, name, batch_id):
+        plans[name] = plan_text(df)
+        real(df, store, name, batch_id)
+    monkeypatch.setattr(ingest, "write_batch", write)
+    docs = stored_documents(spark, SF_SMALL)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ingest.run_batch(spark, docs, ingest.Paths(tmpdir_fresh))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for name in ("match_info", "registry", "quarantine"):
+        assert "Exchange" not in plans[name] and "Join" not in plans[name] and "Scan parquet" in plans[name], name
+    p = plans["deliveries"]
+    assert "SortMergeJoin" not in p and "rangepartitioning" not in p and "BroadcastHashJoin" in p
+    # what is exchanged are the sums of ranges, below the broadcast
+    balls = p[:p.index("BroadcastExchange")]
+    assert "Generate posexplode" in balls and "Exchange" not in balls and "Sort " not in balls
+    # bronze itself moves documents once, by range
+    assert sum("Exchange hashpartitioning(doc_range" in ln for ln in _exchanges(plans["bronze"])) == 1
+
+
+def test_batch_publishing_finds_hot_matches_without_the_balls(spark):
+    from matchlake.operators.skew import hot_keys
+    balls = spark.range(30).select((F.col("id") % 4).cast("string").alias("match_id"))
+    sizes = balls.groupBy("match_id").agg(F.count(F.lit(1)).alias("n_balls"))
+    one, two = (sorted(map(tuple, df.collect())) for df in (hot_keys(balls, ["match_id"], 7), hot_keys(sizes, ["match_id"], 7, "n_balls")))
+    assert one == two == [("0", 2), ("1", 2)]
