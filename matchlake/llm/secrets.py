@@ -7,13 +7,15 @@ and matches before it.  Texts are read once; what follows works on a narrow
 table of lengths (doc, kind, place, piece length, match length).
 
 The method adds ``entropy`` spans.  Candidates are maximal runs of 24 or more
-characters [A-Za-z0-9+/_-] (with up to two ``=``) that hold letters and
-digits.  For each character class (hex digits; base64 letters and digits) a
-window slides over the candidate; the counts of its characters are kept
-incrementally, and with them the sum of c*log2(c), so that each step costs the
-change of two counts:  H = log2(W) - sum / W.  A candidate whose highest
-window entropy reaches its class's threshold is a span, unless an allow-list
-rule suppresses it or it overlaps a base span (which always stays).
+characters [A-Za-z0-9+/_-] (with up to two ``=``).  For each character class
+(hex digits of one case; base64 letters and digits) a window slides over the
+candidate; the counts of its characters are kept incrementally, and with them
+the sum of c*log2(c), so that each step costs the change of two counts:
+H = log2(W) - sum / W.  A window counts while it lies in one run of its class
+and touches no match of an allow-list rule; two more counts, kept in the same
+way, say so.  A candidate with a window of its class's entropy is a span, unless
+it overlaps a base span (which always stays).  Identifiers reach the lower
+base64 entropy too, so below ``LETTERS`` a window needs two groups of digits.
 
 Defined results: a null or empty text has no spans; repeated rows get a row
 each; an empty table gives no rows; only doc_id and text are read.
@@ -34,12 +36,15 @@ KINDS = ("assign", "access", "hex", "entropy")
 MIN_ASSIGNED = 8
 
 CANDIDATE = r"[A-Za-z0-9+/_-]{24,}={0,2}"
-# class -> (its alphabet, window, least entropy in bits)
-CLASSES = {"hex": ("0-9a-fA-F", 24, 3.0), "base64": ("A-Za-z0-9+/_=-", 24, 3.9)}
+WINDOW = 24
+# class -> (its alphabet, least entropy in bits of a window with two groups of digits, and of any window)
+LETTERS = 4.15
+CLASSES = {"hex": ("0-9a-f", 3.0, 9.9), "HEX": ("0-9A-F", 3.0, 9.9), "base64": ("A-Za-z0-9+/", 3.9, LETTERS)}
 
-# Values that look random and are not secret: sample keys, placeholders, UUIDs, alphabets, paths and file names.
+# What looks random and is not secret: sample keys and placeholders (with what is written on to them), UUIDs,
+# alphabets, paths, numbers.
 ALLOW = (
-    r"(?i)example|sample|dummy|placeholder|changeme|your[_-]",
+    r"(?i)(example|sample|dummy|placeholder|changeme|your[_-])[a-z0-9+/]*",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"(?i)0123456789|abcdefgh|(.)\1{7}",
     r"(/[a-z]{3,}){2}",
@@ -62,19 +67,25 @@ def _lengths(text: Column, pattern: str, kind: int) -> Column:
     return F.when(text.rlike(pattern), F.transform(hits, one))
 
 
-def window_entropy(value: Column, window: int) -> Column:
-    """Highest Shannon entropy (bits per character) of any ``window`` consecutive characters."""
-    chars = F.transform(F.sequence(F.lit(1), F.length(value)), lambda i: F.substr(value, i, F.lit(1)))
+def _characters(value: Column) -> Column:
+    return F.transform(F.sequence(F.lit(1), F.length(value)), lambda i: F.substr(value, i, F.lit(1)))
+
+
+def _slide(value: Column, window: int, zero: Column, keep, blocked: Column | None = None, marks: Column | None = None) -> Column:
+    """Slides a window over the value; ``keep(best, entropy, marks in the
+    window)`` is folded over the windows without a blocked character."""
+    chars = _characters(value)
 
     def xlogx(c: Column) -> Column:
         return F.when(c > 1, c * F.log2(c)).otherwise(F.lit(0.0))
 
-    letters = F.array_distinct(chars)
-    base = F.struct(chars.alias("chars"), letters.alias("letters"))
+    nothing = F.transform(chars, lambda _: F.lit(0))
+    base = F.struct(chars.alias("chars"), F.array_distinct(chars).alias("letters"),
+                    (nothing if blocked is None else blocked).alias("blocked"), (nothing if marks is None else marks).alias("marks"))
     # bind the arrays once: transform over a one-element array
     placed = F.transform(F.array(base), lambda x: F.struct(
         F.transform(x["chars"], lambda c: F.array_position(x["letters"], c).cast("int") - 1).alias("place"),
-        F.size(x["letters"]).alias("size")))
+        F.size(x["letters"]).alias("size"), x["blocked"].alias("blocked"), x["marks"].alias("marks")))
 
     def run(x: Column) -> Column:
         def slide(acc: Column, i: Column) -> Column:
@@ -87,30 +98,52 @@ def window_entropy(value: Column, window: int) -> Column:
             n = F.transform(acc["n"], lambda c, k: (c + F.when(k == come, 1).otherwise(0)
                                                     - F.when(k == gone, 1).otherwise(0)).cast("int"))
             s = acc["s"] + change
-            h = F.when(i >= window - 1, F.log2(F.lit(float(window))) - s / window).otherwise(F.lit(0.0))
-            return F.struct(n.alias("n"), s.alias("s"), F.greatest(acc["best"], h).alias("best"))
 
-        start = F.struct(F.transform(F.sequence(F.lit(1), x["size"]), lambda _: F.lit(0)).alias("n"),
-                         F.lit(0.0).alias("s"), F.lit(0.0).alias("best"))
+            def counted(name: str, back: int) -> Column:
+                left = F.when(i >= back, F.get(x[name], i - back)).otherwise(F.lit(0))
+                return (acc[name] + F.get(x[name], i) - left).cast("int")
+            # a mark belongs to a character and the one before it, so the first of a window has none
+            off, on = counted("blocked", window), counted("marks", window - 1)
+            h = F.log2(F.lit(float(window))) - s / window
+            full = (i >= window - 1) & (off == 0)
+            return F.struct(n.alias("n"), s.alias("s"), off.alias("blocked"), on.alias("marks"),
+                            F.when(full, keep(acc["best"], h, on)).otherwise(acc["best"]).alias("best"))
+
+        start = F.struct(F.transform(F.sequence(F.lit(1), x["size"]), lambda _: F.lit(0)).alias("n"), F.lit(0.0).alias("s"),
+                         F.lit(0).alias("blocked"), F.lit(0).alias("marks"), zero.alias("best"))
         return F.aggregate(F.sequence(F.lit(0), F.size(x["place"]) - 1), start, slide, lambda acc: acc["best"])
 
     return F.get(F.transform(placed, run), F.lit(0))
 
 
-def is_random(value: Column) -> Column:
-    """Whether some class's window reaches its threshold."""
-    found = F.lit(False)
-    for alphabet, window, least in CLASSES.values():
-        run = value.rlike(f"^[{alphabet}]+$") & (F.length(value) >= window)
-        found = found | F.when(run, window_entropy(value, window) >= least).otherwise(False)
-    return found
+def window_entropy(value: Column, window: int) -> Column:
+    """Highest Shannon entropy (bits per character) of any ``window`` consecutive characters."""
+    return _slide(value, window, F.lit(0.0), lambda best, h, _: F.greatest(best, h))
+
 
+def _covered(value: Column, pattern: str) -> Column:
+    """Which characters lie in a match of the pattern: array of 0 and 1."""
+    hits = F.regexp_extract_all(value, F.lit(pattern), F.lit(0))
+    lengths = F.transform(hits, lambda h: F.length(h))
+    return F.flatten(F.transform(F.split(value, pattern, -1), lambda gap, i: F.concat(
+        F.array_repeat(F.lit(0), F.length(gap)), F.array_repeat(F.lit(1), F.coalesce(F.get(lengths, i), F.lit(0))))))
 
-def allowed(value: Column, allow: tuple[str, ...] = ALLOW) -> Column:
-    out = F.lit(False)
+
+def is_random(value: Column, allow: tuple[str, ...] = ALLOW, window: int = WINDOW) -> Column:
+    """Whether some window of a class reaches its entropy outside what the allow-list covers."""
+    found = F.lit(False)
+    rules = F.transform(_characters(value), lambda _: F.lit(0))
     for pattern in allow:
-        out = out | value.rlike(pattern)
-    return out
+        rules = F.when(value.rlike(pattern), F.zip_with(rules, _covered(value, pattern), lambda a, b: F.greatest(a, b))).otherwise(rules)
+    digit = F.transform(_characters(value), lambda c: c.rlike("[0-9]"))
+    groups = F.transform(digit, lambda d, i: F.when((i > 0) & d & ~F.get(digit, i - 1), 1).otherwise(0))
+    for alphabet, least, alone in CLASSES.values():
+        outside = F.transform(_characters(value), lambda c: F.when(c.rlike(f"[{alphabet}]"), 0).otherwise(1))
+        blocked = F.zip_with(rules, outside, lambda a, b: F.greatest(a, b))
+        enough = lambda best, h, marks: best | (h >= alone) | ((h >= least) & (marks >= 2))  # noqa: B023, E731
+        run = value.rlike(f"[{alphabet}]{{{window},}}")
+        found = found | F.when(run, _slide(value, window, F.lit(False), enough, blocked, groups)).otherwise(False)
+    return found
 
 
 def secret_spans(docs: DataFrame, allow: tuple[str, ...] = ALLOW) -> DataFrame:
@@ -126,9 +159,9 @@ def secret_spans(docs: DataFrame, allow: tuple[str, ...] = ALLOW) -> DataFrame:
     spans = each.withColumn("end", F.sum(F.col("gap") + F.col("len")).over(upto)).filter("ok").select(
         "row", "kind", (F.col("end") - F.col("len")).alias("start"), "end", "value")
     kind3 = F.col("kind") == 3
-    spans = spans.filter(~kind3 | (F.col("value").rlike("[0-9]") & F.col("value").rlike("[A-Za-z]")))
-    spans = spans.filter(F.when(kind3, ~allowed(F.col("value"), allow)).otherwise(True))
-    spans = spans.filter(F.when(kind3, is_random(F.col("value"))).otherwise(True)).drop("value")
+    # a word of one case without digits is no key
+    spans = spans.filter(~kind3 | (F.col("value").rlike("[A-Za-z]") & F.col("value").rlike("[0-9]|[a-z].*[A-Z]|[A-Z].*[a-z]")))
+    spans = spans.filter(F.when(kind3, is_random(F.col("value"), allow)).otherwise(True)).drop("value")
     # entropy spans that overlap a base span add nothing: running ends of the base spans on either side
     base_end = F.when(~kind3, F.col("end"))
     base_start = F.when(~kind3, F.col("start"))

@@ -233,3 +233,39 @@ def trie(rows):
         ends = ",".join(str(c) for c in sorted(nodes[k]) if len(built[c]) == len(k))
         out.append((min(nodes[k]), len(k), min(nodes[k[:-1]]) if k else None, len(nodes[k]), len(children[k]), leaves[k], saved[k], sha(ends)))
     return out
+
+
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{24,}={0,2}")
+
+
+def random_looking(value, allow, classes, window=24):
+    """Whether a window of one class reaches its entropy outside the allow-list's matches."""
+    covered = set()
+    for rule in allow:
+        for m in re.finditer(rule, value):
+            covered.update(range(*m.span()))
+    for alphabet, least, alone in classes.values():
+        for at in range(len(value) - window + 1):
+            part = value[at:at + window]
+            if not re.fullmatch(f"[{alphabet}]+", part) or covered & set(range(at, at + window)):
+                continue
+            h = -sum(c / window * math.log2(c / window) for c in Counter(part).values())
+            groups = len(re.findall("[^0-9][0-9]", part))
+            if h >= alone - 1e-9 or (h >= least - 1e-9 and groups >= 2):
+                return True
+    return False
+
+
+def secret_spans(text, allow, classes):
+    """Base spans and entropy spans, in their order."""
+    text = text or ""
+    base = [(int(a), ("assign", "access", "hex").index(k), int(b)) for k, a, b in (s.split(":") for s in secrets(text)[3])]
+    found = []
+    for m in _CANDIDATE.finditer(text):
+        value, (start, end) = m[0], m.span()
+        if not re.search("[A-Za-z]", value) or not re.search("[0-9]|[a-z].*[A-Z]|[A-Z].*[a-z]", value):
+            continue
+        if any(a < end and b > start for a, _, b in base) or not random_looking(value, allow, classes):
+            continue
+        found.append((start, 3, end))
+    return [f"{('assign', 'access', 'hex', 'entropy')[k]}:{a}:{b}" for a, k, b in sorted(base + found)]

@@ -97,6 +97,29 @@ def test_entropy_window_and_allow_list(spark):
     assert [s.split(":")[0] for s in got[4]] == ["assign"]
 
 
+@BOTH
+def test_entropy_spans_equal_brute_force(spark, make):
+    docs = make(spark)
+    got = secrets.secret_spans(docs).collect()
+    want = [(i, brute.secret_spans(t, secrets.ALLOW, secrets.CLASSES)) for i, t in collected(docs)]
+    assert order((r["doc_id"], r["all"]) for r in got) == order(want)
+
+
+def test_entropy_runs_inside_candidates(spark):
+    """Keys behind prefixes, paths and examples are found; identifiers and covered keys are not."""
+    rng = random.Random(7)
+    key = "".join(rng.choice("0123456789ABCDEF") for _ in range(32))
+    b64 = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(40))
+    letters = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz") for _ in range(40))
+    yes = [key, b64, f"k_{key}", f"/data/keys/{b64}", f"my_example_key_{b64}", letters, f"{b64}=="]
+    no = ["thisIsAVeryLongCamelCaseIdentifierNumber1234", f"example{b64}", f"your_{key}", "abcdefghijklmnopqrstuvwxyz0123456789", "1234567890" * 3,
+          "/usr/share/javascript/fontawesome/latest", "Donaudampfschifffahrtsgesellschaft", "a-very-long-slug-of-many-plain-words-2024", key.lower()[:23], "Ab12" * 9]
+    rows = [(n, f"see {v} there", "en", "a") for n, v in enumerate(yes + no)]
+    got = {r["doc_id"]: r["all"] for r in secrets.secret_spans(frame(spark, rows)).collect()}
+    assert got == {n: [f"entropy:4:{4 + len(v)}"] if n < len(yes) else [] for n, v in enumerate(yes + no)}
+    assert got == {n: brute.secret_spans(t, secrets.ALLOW, secrets.CLASSES) for n, t, *_ in rows}
+
+
 # ----------------------------------------------------------------- 2 licences
 
 def test_license_forms_and_units(spark, empty):
