@@ -1,21 +1,24 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 Words become symbols (insult, threat verb, modal, target, negation, report,
-other).  Five small weighted transducers read them one after the other -
-negation weakens what it governs, reported speech weakens what it quotes, a
-modal before a threat verb makes a threat, a target nearby aims an insult, and
-the last one scores - and are composed into one machine, whose transitions are
-tabulated once.  The machine runs over clauses; a clause scores the weights of
-its matches, so an isolated word and an aimed insult differ.
-
-The word lists below are the grammar's fixed part.  Insult stems of any
-language are learned: of a bounded sample of labelled rows, one part gives the
-weights of word prefixes (shrunk log odds, counted by Spark), the other part a
-logistic calibration of the document's clause scores.
+other).  Five small transducers read them one after the other - negation marks
+what it governs, reported speech marks what it quotes, a modal before a threat
+verb makes a threat, a target nearby marks an insult as aimed, and the last one
+adds the aim that follows an insult - and are composed into one machine, whose
+transitions are tabulated once: state, symbol -> state, marks of the match.
+The machine runs over clauses.  A match weighs its word's weight times the
+weights of its marks; a clause scores the sum of its matches.  All that is
+known of a document are scores of its clauses: no word counts by itself.
+
+The word lists below are the grammar's fixed part.  The arc weights are
+learned from a bounded sample of labelled rows: insult stems of any language
+(shrunk log odds of word prefixes, counted by Spark) from one part, the scope
+weights of negation, report and aim (starting from fixed ones) and a logistic
+calibration of the clause scores from the other.
 
 Defined results: null and empty texts match nothing; without labelled rows the
-fixed lists and weights are used alone; repeated rows are scored alike; other
-columns are ignored.
+fixed lists and weights are used alone; repeated rows are scored alike; words
+and texts of any length are read whole; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from __future__ import annotations
 import functools
 import re
 from collections import Counter
-
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -58,75 +61,90 @@ SEED_WEIGHT = 3.0
 
 # ----------------------------------------------------------------- transducers
 
+# Marks of a match.
+NEGATED, REPORTED, AIMED = 1, 2, 4
+AIM = 8          # a target behind an insult: adds the aim to an insult that is scored already
+MARKS = 9
+# Scope weights of negation, report and aim before anything is learned.
+SCOPES = (0.5, 0.7, 1.3)
+
+
 class Transducer:
-    """Letter transducer: ``step(state, symbol) -> (state, symbol, weight)`` from state ``start``."""
+    """Letter transducer: ``step(state, symbol) -> (state, symbol, marks)`` from state ``start``."""
 
     def __init__(self, start, step):
         self.start, self.step = start, step
 
     def compose(self, other: "Transducer") -> "Transducer":
-        """Reads with self, feeds its output to ``other``; weights multiply."""
+        """Reads with self, feeds its output to ``other``; marks add up."""
         def step(state, symbol):
-            a, mid, w = self.step(state[0], symbol)
-            b, out, v = other.step(state[1], mid)
-            return (a, b), out, w * v
+            a, mid, m = self.step(state[0], symbol)
+            b, out, k = other.step(state[1], mid)
+            return (a, b), out, m | k
         return Transducer((self.start, other.start), step)
 
 
-def _scope(opener: int, length: int, governed: tuple[int, ...], weight: float) -> Transducer:
-    """After ``opener``, governed symbols within ``length`` words get ``weight``."""
+def _scope(opener: int, length: int, governed: tuple[int, ...], mark: int) -> Transducer:
+    """After ``opener``, governed symbols within ``length`` words get the mark."""
     def step(left, symbol):
-        w = weight if left and symbol in governed else 1.0
-        return (length if symbol == opener else max(0, left - 1)), symbol, w
+        m = mark if left and symbol in governed else 0
+        return (length if symbol == opener else max(0, left - 1)), symbol, m
     return Transducer(0, step)
 
 
 def grammar() -> Transducer:
-    negation = _scope(NEGATION, 3, (INSULT, THREAT), 0.5)
-    reported = _scope(REPORT, 12, (INSULT, THREAT), 0.7)
-    target = _scope(TARGET, 4, (INSULT,), 1.3)
+    negation = _scope(NEGATION, 3, (INSULT, THREAT), NEGATED)
+    reported = _scope(REPORT, 12, (INSULT, THREAT), REPORTED)
+    target = _scope(TARGET, 4, (INSULT,), AIMED)
 
     def threat(left, symbol):
-        if symbol == THREAT:   # a threat verb alone is weak
-            return 0, (THREAT if left else OTHER), 1.0
-        return (3 if symbol == MODAL else max(0, left - 1)), symbol, 1.0
+        if symbol == THREAT:   # a threat verb alone is none
+            return 0, (THREAT if left else OTHER), 0
+        return (3 if symbol == MODAL else max(0, left - 1)), symbol, 0
 
     def aimed(state, symbol):   # insult ... target: the insult has been scored, its aim adds
         near, last = state
         if symbol == TARGET and near and last == INSULT:
-            return (0, OTHER), INSULT, 0.3
-        return ((3, symbol) if symbol in (INSULT, THREAT) else (max(0, near - 1), last)), symbol, 1.0
+            return (0, OTHER), INSULT, AIM
+        return ((3, symbol) if symbol in (INSULT, THREAT) else (max(0, near - 1), last)), symbol, 0
 
     return negation.compose(reported).compose(Transducer(0, threat)).compose(target).compose(Transducer((0, OTHER), aimed))
 
 
 @functools.cache
-def machine() -> list[list[tuple[int, float]]]:
-    """Transitions of the composed grammar: [state][symbol] -> (state, weight of a match or 0)."""
+def machine() -> list[list[tuple[int, int]]]:
+    """Transitions of the composed grammar: [state][symbol] -> (state, marks of a match, or -1 for none)."""
     g = grammar()
     number, rows, todo = {g.start: 0}, [], [g.start]
     while todo:
         state = todo.pop(0)
         row = []
         for symbol in range(7):
-            nxt, out, weight = g.step(state, symbol)
+            nxt, out, marks = g.step(state, symbol)
             if nxt not in number:
                 number[nxt] = len(number)
                 todo.append(nxt)
-            row.append((number[nxt], weight if out in (INSULT, THREAT) else 0.0))
+            row.append((number[nxt], marks if out in (INSULT, THREAT) else -1))
         rows.append(row)
     return rows
 
 
-def clause_score(clause: list[tuple[int, float]]) -> float:
-    state, total, rows = 0, 0.0, machine()
-    aim = 0.0
-    for symbol, weight in clause:
-        state, w = rows[state][symbol]
+def arc_weights(scopes=SCOPES) -> list[float]:
+    """The weight of every set of marks: the product of its scopes'; a following aim adds what aiming adds."""
+    out = [float(np.prod([w for bit, w in zip((NEGATED, REPORTED, AIMED), scopes) if marks & bit])) for marks in range(AIM)]
+    return [*out, scopes[2] - 1.0]
+
+
+def clause_matches(clause: list[tuple[int, float, bytes]]) -> list[tuple[int, float, bytes]]:
+    """(marks, word weight, word) of the matches in a clause of (symbol, weight, word)."""
+    state, aim, out, rows = 0, (0.0, b""), [], machine()
+    for symbol, weight, word in clause:
+        state, marks = rows[state][symbol]
         if symbol in (INSULT, THREAT):
-            aim = weight
-        total += w * (aim if symbol == TARGET else weight)
-    return total
+            aim = weight, word
+        if marks >= 0:
+            out.append((marks, *(aim if symbol == TARGET else (weight, word))))
+    return out
 
 
 # --------------------------------------------------------------------- lexicon
@@ -166,33 +184,64 @@ def word_features(word: str) -> list[str]:
     return [word[:k] for k in PREFIXES if len(word) > k] + [word + "|"] if word else []
 
 
-def features(text: bytes, lexicon: Lexicon) -> tuple[float, ...]:
-    """Strongest clause, all clauses (log), matched clauses (log), share of words in matches, different matches (log)."""
-    n, best, total, matched, hits, kinds = 0, 0.0, 0.0, 0, 0, set()
+def clauses(text: bytes, lexicon: Lexicon) -> Iterator:
+    """The clauses of a text that hold an insult or a threat verb, and at last its number of words."""
+    n = 0
     for line in text.split(b"\n"):
         words = line.split()
         n += len(words)
         found = [lexicon.get(w) for w in words]
-        at = [i for i, f in enumerate(found) if f[0] == INSULT or f[0] == THREAT]
-        if not at:
+        if not any(f[0] == INSULT or f[0] == THREAT for f in found):
             continue
-        hits += sum(1 for i in at if i == 0 or words[i] != words[i - 1])
-        kinds.update(words[i].lower() for i in at)
-        clause: list[tuple[int, float]] = []
+        clause: list[tuple[int, float, bytes]] = []
         last = None
         for word, (symbol, weight, ends) in zip(words, found):
             if word != last:   # a word said again and again is one match
-                clause.append((symbol, weight))
+                clause.append((symbol, weight, word.lower()))
             last = word
             if ends and clause:
-                s = clause_score(clause)
-                best, total, matched = max(best, s), total + s, matched + (s > 0)
+                yield clause
                 clause = []
         if clause:
-            s = clause_score(clause)
-            best, total, matched = max(best, s), total + s, matched + (s > 0)
-    return (np.log1p(best), np.log1p(total), np.log1p(matched), np.log1p(100.0 * hits / n) if n else 0.0,
-            np.log1p(len(kinds)), np.log1p(100.0 * total / n) if n else 0.0)
+            yield clause
+    yield n
+
+
+FEATURES = 7
+
+
+def scores(matched: list[list[tuple[int, float, bytes]]], n: int, arcs: list[float]) -> tuple[float, ...]:
+    """Strongest clause, all clauses, matched clauses, all clauses in a hundred
+    words, the matches of different words, each at its strongest, the machine's
+    matches in a hundred words, and its matches of different words (logarithms)."""
+    each, strongest, hits = [], {}, 0
+    for clause in matched:
+        total = 0.0
+        for marks, weight, word in clause:
+            s = arcs[marks] * weight
+            total += s
+            hits += marks != AIM
+            if marks != AIM and s > strongest.get(word, 0.0):
+                strongest[word] = s
+        each.append(total)
+    total = sum(each)
+    return (np.log1p(max(each, default=0.0)), np.log1p(total), np.log1p(sum(s > 0 for s in each)), np.log1p(100.0 * total / n) if n else 0.0,
+            np.log1p(sum(strongest.values())), np.log1p(100.0 * hits / n) if n else 0.0, np.log1p(len(strongest)))
+
+
+def features(text: bytes, lexicon: Lexicon, arcs: list[float] | None = None) -> tuple[float, ...]:
+    *found, n = clauses(text, lexicon)
+    return scores([clause_matches(c) for c in found], n, arcs or arc_weights())
+
+
+def mark_sums(text: bytes, lexicon: Lexicon) -> list[float]:
+    """Word weights of a text's matches by their marks, and its number of words: what the scopes are learned from."""
+    *found, n = clauses(text, lexicon)
+    out = [0.0] * MARKS + [float(n)]
+    for clause in found:
+        for marks, weight, _ in clause_matches(clause):
+            out[marks] += weight
+    return out
 
 
 # -------------------------------------------------------------------- learning
@@ -244,30 +293,58 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int
     return w
 
 
+def learn_scopes(sums: np.ndarray, y: np.ndarray, rounds: int = 400, rate: float = 0.03, prior: float = 4.0) -> tuple[float, ...]:
+    """Scope weights that fit the labels best, as ``prior`` rows' worth of evidence says they are ``SCOPES``.
+
+    A document is toxic with the logit of b + a log(1 + t) + c log(1 + 100 t / words), t its matches' weight; gradient steps
+    (Adam) on a, b, c and the scopes' logarithms, which stay within a factor of eight of where they start."""
+    s, n = sums[:, :MARKS], np.maximum(sums[:, MARKS], 1.0)
+    start = np.log(SCOPES)
+    p = np.r_[-3.0, 1.0, 0.3, start]
+    m, v = np.zeros(6), np.zeros(6)
+
+    def loss(q):
+        t = s @ np.array(arc_weights(np.exp(q[3:])))
+        z = q[0] + q[1] * np.log1p(np.maximum(t, 0)) + q[2] * np.log1p(np.maximum(100 * t / n, 0))
+        return np.mean(np.logaddexp(0, z) - y * z) + prior / len(y) * np.sum((q[3:] - start) ** 2)
+
+    for step in range(1, rounds + 1):
+        grad = np.array([(loss(p + d) - loss(p - d)) / 2e-4 for d in np.eye(6) * 1e-4])
+        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
+        p = p - rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
+        p[3:] = np.clip(p[3:], start - np.log(8), start + np.log(8))
+    # an aim never takes weight away
+    return float(np.exp(p[3])), float(np.exp(p[4])), float(max(1.0, np.exp(p[5])))
+
+
 # Used while nothing is labelled: one aimed insult is about even.
-_FALLBACK = np.array([-4.0, 2.0, 1.0, 0.0, 0.0, 0.0, 0.0])
+_FALLBACK = np.array([-4.0, 2.0, 1.0, 0.0, 0.0, 0.0, 0.0, 0.0])
 
 
-def fit(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> tuple[dict[str, float], np.ndarray]:
-    """Learned stems and the calibration's weights, from rows outside the held-out fold."""
+def fit(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> tuple[dict[str, float], list[float], np.ndarray]:
+    """Learned stems, the arcs' weights and the calibration's, from rows outside the held-out fold."""
     sample = stored(labelled_sample(docs, labels, "toxic", fold_of("doc_id", FOLDS) != HELD_OUT, bound), "toxic-sample")
     part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(10))
     stems = learned_stems(sample.filter(part < 6))
-
-    def run(batches):
-        lexicon = Lexicon(stems)
-        for batch in batches:
-            x = [list(map(float, features(t.as_py(), lexicon))) for t in batch["text"]]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["label"], pa.array(x, pa.list_(pa.float64()))],
-                                             ["doc_id", "label", "x"])
-
-    # bounded: less than ``bound`` rows of six numbers
-    rows = (sample.filter(part >= 6).select("doc_id", "label", "text")
-            .mapInArrow(run, "doc_id bigint, label int, x array<double>").toPandas().sort_values("doc_id", kind="stable"))
-    y = (rows["label"].to_numpy(dtype=np.int64) > 0).astype(float)
+    rest = sample.filter(part >= 6).select("doc_id", "label", "text")
+
+    def numbers(of) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of every text of the second part, and the labels; bounded: less than ``bound`` short rows."""
+        def run(batches):
+            lexicon = Lexicon(stems)
+            for batch in batches:
+                x = [list(map(float, of(t, lexicon))) for t in batch["text"].to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["label"], pa.array(x, pa.list_(pa.float64()))], ["doc_id", "label", "x"])
+        rows = rest.mapInArrow(run, "doc_id bigint, label int, x array<double>").toArrow().sort_by("doc_id")
+        y = (rows["label"].to_numpy() > 0).astype(float)
+        return rows["x"].combine_chunks().flatten().to_numpy().reshape(len(y), -1) if len(y) else np.zeros((0, 1)), y
+
+    sums, y = numbers(mark_sums)
     if not len(y) or y.min() == y.max():
-        return stems, _FALLBACK
-    return stems, fit_logistic(np.stack(rows["x"].to_list()), y)
+        return stems, arc_weights(), _FALLBACK
+    arcs = arc_weights(learn_scopes(sums, y))
+    x, y = numbers(functools.partial(features, arcs=arcs))
+    return stems, arcs, fit_logistic(x, y)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
@@ -275,10 +352,10 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE, thr
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, bound))
 
     def run(batches):
-        stems, w = shared.value
+        stems, arcs, w = shared.value
         lexicon = Lexicon(stems)
         for batch in batches:
-            x = np.array([features(t.as_py(), lexicon) for t in batch["text"]], dtype=np.float64).reshape(-1, len(w) - 1)
+            x = np.array([features(t, lexicon, arcs) for t in batch["text"].to_pylist()], dtype=np.float64).reshape(-1, FEATURES)
             score = 1 / (1 + np.exp(-np.clip(w[0] + x @ w[1:], -30, 30)))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(score), pa.array(np.expm1(x[:, 0]))],
                                              ["doc_id", "score", "clause_score"])

@@ -5,6 +5,7 @@ import random
 import re
 
 import brute
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -228,6 +229,53 @@ def test_grammar_weighs_clauses():
     assert all(len(row) == 7 and all(0 <= nxt < len(toxicity.machine()) for nxt, _ in row) for row in toxicity.machine())
 
 
+def scoped_documents():
+    """Texts of the same words, toxic only where the insult is neither negated nor quoted, or the threat is one."""
+    rng, rows, labels = random.Random(9), [], []
+    insults, verbs = ["idiot", "moron", "loser", "clown"], ["kill", "hurt", "burn"]
+    for i in range(900):
+        x, y, verb = rng.choice(insults), rng.choice(insults), rng.choice(verbs)
+        toxic = rng.random() < 0.5
+        said = rng.choice(["the man is a {x} . not now , we said", "you {x} and {y} . never mind what he said", "we will {v} you . never , he said"]) if toxic else \
+            rng.choice(["the man is not a {x} . now we said", "he said you {x} and {y} . never mind what", "we {v} you will . never , he said"])
+        filler = " ".join(rng.choice(["wood", "lamp", "river", "stone"]) for _ in range(rng.randrange(8, 20)))
+        rows.append((i, f"{filler} . {said.format(x=x, y=y, v=verb)} . {filler}", "en", "a"))
+        labels.append((i, int(toxic), int(toxic)))
+    return rows, labels
+
+
+def test_grammar_decides_documents(spark, monkeypatch):
+    """With every transducer replaced by a plain sum of word weights, held-out documents are judged much worse."""
+    rows, labels = scoped_documents()
+    docs = frame(spark, rows)
+    labelled = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    truth = {i: t for i, _, t in labels}
+
+    def accuracy():
+        out = [r for r in toxicity.toxicity_scores(docs, labelled).collect() if r["held_out"]]
+        return sum(r["predicted"] == truth[r["doc_id"]] for r in out) / len(out)
+    assert accuracy() > 0.9
+
+    def plain(scopes=toxicity.SCOPES):
+        return [1.0] * toxicity.AIM + [0.0]
+    monkeypatch.setattr(toxicity, "learn_scopes", lambda sums, y: (1.0, 1.0, 1.0))
+    monkeypatch.setattr(toxicity, "arc_weights", plain)
+    assert accuracy() < 0.85
+
+
+def test_scope_weights_are_learned():
+    rng = random.Random(2)
+    sums, y = [], []
+    for _ in range(600):
+        marks, toxic = rng.choice([(0, 1), (toxicity.NEGATED, 0), (toxicity.REPORTED, 0), (toxicity.AIMED, 1)])
+        row = [0.0] * toxicity.MARKS + [30.0]
+        row[marks] = 3.0 + rng.random()
+        sums.append(row)
+        y.append(float(toxic))
+    negation, report, aim = toxicity.learn_scopes(np.array(sums), np.array(y))
+    assert negation < 0.4 and report < 0.5 and aim >= 1.0
+
+
 # --------------------------------------------------------- 4 substring dedup
 
 @BOTH
