@@ -12,15 +12,18 @@ one order gives the same result, only the number of candidates depends on it.
 Filters.  Two linked sets share a shingle within the rarest ``n - ceil(t n) +
 1`` of each; for the smaller set ``n - ceil(2 t n / (1 + t)) + 1`` do.  Only
 those prefixes are rows: sets are joined on prefix shingles, subject to the
-length bound and, at each common shingle, the bound by positions.  A pair's
-rows are put together once: its first common shingle must lie in the smaller
-set's shorter prefix and satisfy the positional bound, and the suffix filter
-bounds what the sets share behind their prefixes: with ``CELLS`` counts of
-hashes, never more than the sum of the smaller counts.  What is left is
-verified once, on whole sets.
+length bound and, at each common shingle, the bound by positions: what is
+shared is at most the earlier shingles in common (bounded by bitmaps of them),
+this one, and the shorter rest.  The shingle must lie in the smaller set's
+shorter prefix.  A pair's rows are put together once, at its first common
+shingle, and the suffix filter bounds what the sets share behind their
+prefixes: with ``CELLS`` counts of hashes, never more than the sum of the
+smaller counts.  What is left is verified once, on whole sets.
 
 Linking without all pairs.  Every class is first verified with one other: of
-the smallest members of its buckets, the one met in most of them (a star).
+the heads of its buckets, the one met in most of them (a star).  The head of a
+bucket is the member in whose order the shingle comes first, so of the edited
+copies of a page it is the least edited one.
 Components of those links are found; buckets that still hold members of
 different components are open.  Open buckets of ``SMALL`` members make all
 pairs between their components; members of larger ones are verified with one
@@ -50,7 +53,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchlake.llm.common import BLOCK, join_counted, map_batches, stored, text_bytes
@@ -162,13 +165,35 @@ def _short_prefix(n: Column, percent: int) -> Column:
     return n - _ceil(n * (2 * percent), 100 + percent) + 1
 
 
+# Longs of a bitmap of the shingles that come before a shingle in a set's order.
+_BEFORE = [f"before{i}" for i in range(4)]
+
+
+def _earlier(rows: DataFrame) -> DataFrame:
+    """Rows (cid, at, token) of whole prefixes with a bitmap of each row's earlier shingles."""
+    bit = F.pmod(F.xxhash64("token"), F.lit(64 * len(_BEFORE)))
+    upto = Window.partitionBy("cid").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)      # one prefix
+    own = {c: F.when(F.floor(bit / 64) == i, F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(bit, F.lit(64)).cast("int"))).otherwise(0).cast("bigint")
+           for i, c in enumerate(_BEFORE)}
+    return rows.withColumns(own).withColumns({c: F.coalesce(F.bit_or(c).over(upto), F.lit(0).cast("bigint")) for c in _BEFORE})
+
+
 def _may_link(percent: int) -> Column:
     """Length and positional bounds of rows (n1, at1), (n2, at2) that share a
-    shingle at places at1 and at2 (from 0), whether or not it is their first."""
+    shingle at places at1 and at2 (from 0), whether or not it is their first;
+    and the shingle must stand in the smaller set's short prefix.
+
+    Earlier shingles in common set one bit in both bitmaps; where a set's
+    shingles share bits, as many more may be hidden."""
     n1, n2, at1, at2 = (F.col(c) for c in ("n1", "n2", "at1", "at2"))
     lengths = F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent
-    most = F.least(at1, at2) + 1 + F.least(n1 - at1 - 1, n2 - at2 - 1)
-    return lengths & (most >= overlap(n1, n2, percent))
+    bits = lambda of: sum((F.bit_count(of(c)) for c in _BEFORE), F.lit(0))
+    one, two = lambda c: F.col(f"l_{c}"), lambda c: F.col(f"r_{c}")
+    earlier = bits(lambda c: one(c).bitwiseAND(two(c))) + F.least(at1 - bits(one), at2 - bits(two))
+    most = F.least(at1, at2, earlier) + 1 + F.least(n1 - at1 - 1, n2 - at2 - 1)
+    short = F.when(n1 < n2, at1 < _short_prefix(n1, percent)).when(n2 < n1, at2 < _short_prefix(n2, percent)).otherwise(
+        F.least(at1, at2) < _short_prefix(n1, percent))
+    return lengths & short & (most >= overlap(n1, n2, percent))
 
 
 # --------------------------------------------------------------------- classes
@@ -296,21 +321,20 @@ def _suffix_filter(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFr
 def _candidates(rows: DataFrame, percent: int) -> DataFrame:
     """(a, b, n1, n2) from rows (a, b, n1, n2, at1, at2), one for each common
     prefix shingle: a pair is put together once, at its first common shingle."""
-    n1, n2, at1, at2 = (F.col(c) for c in ("n1", "n2", "at1", "at2"))
-    short = F.when(n1 < n2, at1 < _short_prefix(n1, percent)).when(n2 < n1, at2 < _short_prefix(n2, percent)).otherwise(
-        F.least(at1, at2) < _short_prefix(n1, percent))
-    once = rows.filter(short).groupBy("a", "b", "n1", "n2").agg(F.min("at1").alias("first1"), F.min("at2").alias("first2"))
+    n1, n2 = F.col("n1"), F.col("n2")
+    once = rows.groupBy("a", "b", "n1", "n2").agg(F.min("at1").alias("first1"), F.min("at2").alias("first2"))
     most = F.lit(1) + F.least(n1 - F.col("first1") - 1, n2 - F.col("first2") - 1)
     return once.filter(most >= overlap(n1, n2, percent)).select("a", "b", "n1", "n2")
 
 
 def shared_prefixes(classes: DataFrame) -> DataFrame:
-    """token, cid, n, at, head (the smallest member), members: prefix shingles
-    that several classes hold.  Shingles that cannot be hot (the rarity table
+    """token, cid, n, at, head (the member in whose order the shingle comes
+    first: it has fewest rarer ones), members: prefix shingles that several
+    classes hold.  Shingles that cannot be hot (the rarity table
     bounds their documents) are shuffled once, for the grouping and the join;
     the others are combined before the shuffle, and joined in two parts."""
     rows = classes.select("cid", "n", "n_rare", F.posexplode("prefix").alias("at", "token"))
-    heads = [F.min("cid").alias("head"), F.count(F.lit(1)).alias("members")]
+    heads = [F.min(F.struct("at", "cid"))["cid"].alias("head"), F.count(F.lit(1)).alias("members")]
     rare = rows.filter("at < n_rare").drop("n_rare").repartition("token")
     together = rare.join(rare.groupBy("token").agg(*heads).filter("members > 1"), "token")
     hot = rows.filter("at >= n_rare").drop("n_rare")
@@ -334,12 +358,14 @@ def _stars(met: DataFrame, classes: DataFrame, before: DataFrame | None, percent
 
 def _open(rows: DataFrame, links: DataFrame) -> DataFrame:
     """``rows`` of the buckets that hold members of different components of
-    ``links``, with ``part`` (the component) and lo, hi (part, cid): the first
-    member of the first part and the last of the last."""
+    ``links``, with ``part`` (the component), ``lo`` (at, part, cid: the member
+    in whose order the shingle comes first) and ``hi`` (part, cid: the last
+    part's last member)."""
     part = stored(components(links), "star-components")
     named = rows.join(part, rows["cid"] == part["node"], "left").select(*[rows[c] for c in _SHARED], F.coalesce("component", "cid").alias("part"))
-    ends = named.groupBy("token").agg(F.min(F.struct("part", "cid")).alias("lo"), F.max(F.struct("part", "cid")).alias("hi"), F.count(F.lit(1)).alias("size"))
-    apart = stored(ends.filter("lo.part < hi.part"), "open-tokens")
+    ends = named.groupBy("token").agg(F.min(F.struct("at", "part", "cid")).alias("lo"), F.max(F.struct("part", "cid")).alias("hi"),
+                                      F.min("part").alias("least"), F.count(F.lit(1)).alias("size"))
+    apart = stored(ends.filter("least < hi.part").drop("least"), "open-tokens")
     return stored(join_counted(named, apart, ["token"], "size"), "open-prefixes")
 
 
@@ -348,12 +374,15 @@ _SHARED = ["token", "cid", "n", "at", "members"]
 
 def _pairs_between(rows: DataFrame, classes: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
     """Every pair between parts of a bucket that passes the filters and was not tried."""
+    # the whole prefixes of the classes in the rows, for the bitmaps
+    prefixes = classes.join(rows.select("cid").distinct(), "cid").select("cid", F.posexplode("prefix").alias("at", "token"))
+    rows = rows.join(_earlier(prefixes), ["cid", "at", "token"])
     tiles = _ceil(F.col("members"), TILE)
     mine, all_ = F.pmod(F.xxhash64("cid"), tiles), F.sequence(F.lit(0).cast("bigint"), tiles - 1)
     left = rows.select("token", F.col("cid").alias("a"), F.col("n").alias("n1"), F.col("at").alias("at1"), F.col("part").alias("pa"),
-                       mine.alias("i"), F.explode(all_).alias("j"))
+                       *[F.col(c).alias(f"l_{c}") for c in _BEFORE], mine.alias("i"), F.explode(all_).alias("j"))
     right = rows.select("token", F.col("cid").alias("b"), F.col("n").alias("n2"), F.col("at").alias("at2"), F.col("part").alias("pb"),
-                        F.explode(all_).alias("i"), mine.alias("j"))
+                        *[F.col(c).alias(f"r_{c}") for c in _BEFORE], F.explode(all_).alias("i"), mine.alias("j"))
     # the class of the smaller part is b, as a star's centre is
     cross = left.join(right, ["token", "i", "j"]).filter("pa > pb").filter(_may_link(percent))
     both_ways = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -374,9 +403,9 @@ def class_links(docs: DataFrame, classes: DataFrame, size: int = SHINGLE, percen
     open_ = _open(shared, links)
     small, large = open_.filter(F.col("members") <= SMALL), open_.filter(F.col("members") > SMALL)
     pairs = _pairs_between(small, classes, first, percent)
-    # a member of a large bucket meets a member of another part: the first of the first part, or the last of the last
-    other = F.when(F.col("part") > F.col("lo.part"), F.col("lo.cid")).otherwise(F.col("hi.cid"))
-    again = _stars(large.select(F.col("cid").alias("a"), other.alias("b")), classes, first, percent)
+    # a member of a large bucket meets a member of another part, if the bucket's first or last one is of another
+    other = F.when(F.col("part") != F.col("lo.part"), F.col("lo.cid")).when(F.col("part") != F.col("hi.part"), F.col("hi.cid"))
+    again = _stars(large.select(F.col("cid").alias("a"), other.alias("b")).filter("b is not null"), classes, first, percent)
     sets = whole_sets(docs, classes, _members(pairs).unionByName(large.select("cid")).distinct(), size)
     second = stored(pairs.unionByName(again).distinct(), "second-pairs")
     links = links.unionByName(verified(sets, second, percent))
