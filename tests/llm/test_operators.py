@@ -520,7 +520,11 @@ def test_lm_prefix_counts_of_all_tokens(spark, monkeypatch):
             for names, c, _ in lm._runs(batch, 2):
                 got, at = lm.prefix_counts(names, c, *edges[names[0]]), 0
                 seen.update(names)
-                for t in names:
+                spelled = [t + b" " for t in names]
+                shared = np.array([lm.shared_bits(a, b) for a, b in zip(spelled, spelled[1:])], np.int64)
+                for i, t in enumerate(names):
+                    alone = lm.prefix_counts_of(i, shared, c, *edges[names[0]], len(t) + 1)
+                    assert np.array_equal(alone, got[..., at:at + len(t) + 1])
                     bits = "".join(f"{b:08b}" for b in t + b" ")
                     for d in range(len(bits)):
                         same = want[bits[:d + 1]]
@@ -535,6 +539,17 @@ def test_lm_prefix_counts_of_all_tokens(spark, monkeypatch):
     assert np.allclose(sorted(few), sorted(r["score"] for r in lm.lm_scores(docs).collect()))
 
 
+def test_lm_long_tokens(spark):
+    """Tokens of megabytes, two of which share a megabyte, are coded whole, in time linear in their length."""
+    rng = random.Random(5)
+    blob = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=1 << 20))
+    rows = [(0, blob + "x"), (1, blob + "yy tail"), (2, blob * 5), (3, "short words here"), (4, blob[:300]), (5, blob[:200]), (6, blob[:200] + "z")]
+    docs = spark.createDataFrame([(i, t) for i, t in rows] + [(100 + i, "short words here and there") for i in range(30)], "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in lm.lm_scores(docs).collect()}
+    assert got[1]["n_tokens"] == 3 and got[2]["n_tokens"] == 2 and all(math.isfinite(r["score"]) and r["score"] < 0 for r in got.values())
+    assert 3 < got[2]["score"] / got[0]["score"] < 6
+
+
 def test_lm_empty(empty):
     assert lm.lm_scores(empty).count() == 0
 
