@@ -178,19 +178,21 @@ def _earlier(rows: DataFrame) -> DataFrame:
     return rows.withColumns(own).withColumns({c: F.coalesce(F.bit_or(c).over(upto), F.lit(0).cast("bigint")) for c in _BEFORE})
 
 
-def _may_link(percent: int) -> Column:
+def _may_link(percent: int, bitmaps: bool) -> Column:
     """Length and positional bounds of rows (n1, at1), (n2, at2) that share a
     shingle at places at1 and at2 (from 0), whether or not it is their first;
     and the shingle must stand in the smaller set's short prefix.
 
-    Earlier shingles in common set one bit in both bitmaps; where a set's
-    shingles share bits, as many more may be hidden."""
+    With ``bitmaps``: earlier shingles in common set one bit in both; where a
+    set's shingles share bits, as many more may be hidden."""
     n1, n2, at1, at2 = (F.col(c) for c in ("n1", "n2", "at1", "at2"))
     lengths = F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent
-    bits = lambda of: sum((F.bit_count(of(c)) for c in _BEFORE), F.lit(0))
-    one, two = lambda c: F.col(f"l_{c}"), lambda c: F.col(f"r_{c}")
-    earlier = bits(lambda c: one(c).bitwiseAND(two(c))) + F.least(at1 - bits(one), at2 - bits(two))
-    most = F.least(at1, at2, earlier) + 1 + F.least(n1 - at1 - 1, n2 - at2 - 1)
+    earlier = F.least(at1, at2)
+    if bitmaps:
+        bits = lambda of: sum((F.bit_count(of(c)) for c in _BEFORE), F.lit(0))
+        one, two = lambda c: F.col(f"l_{c}"), lambda c: F.col(f"r_{c}")
+        earlier = F.least(earlier, bits(lambda c: one(c).bitwiseAND(two(c))) + F.least(at1 - bits(one), at2 - bits(two)))
+    most = earlier + 1 + F.least(n1 - at1 - 1, n2 - at2 - 1)
     short = F.when(n1 < n2, at1 < _short_prefix(n1, percent)).when(n2 < n1, at2 < _short_prefix(n2, percent)).otherwise(
         F.least(at1, at2) < _short_prefix(n1, percent))
     return lengths & short & (most >= overlap(n1, n2, percent))
@@ -372,19 +374,23 @@ def _open(rows: DataFrame, links: DataFrame) -> DataFrame:
 _SHARED = ["token", "cid", "n", "at", "members"]
 
 
-def _pairs_between(rows: DataFrame, classes: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
-    """Every pair between parts of a bucket that passes the filters and was not tried."""
-    # the whole prefixes of the classes in the rows, for the bitmaps
-    prefixes = classes.join(rows.select("cid").distinct(), "cid").select("cid", F.posexplode("prefix").alias("at", "token"))
-    rows = rows.join(_earlier(prefixes), ["cid", "at", "token"])
+def _pairs_between(rows: DataFrame, classes: DataFrame, tried: DataFrame, percent: int, bitmaps: bool) -> DataFrame:
+    """Every pair between parts of a bucket that passes the filters and was not
+    tried.  ``bitmaps`` are worth their making in large buckets only; they save
+    rows, not pairs."""
+    if bitmaps:
+        # the whole prefixes of the classes in the rows
+        prefixes = classes.join(rows.select("cid").distinct(), "cid").select("cid", F.posexplode("prefix").alias("at", "token"))
+        rows = rows.join(_earlier(prefixes), ["cid", "at", "token"])
+    before = _BEFORE if bitmaps else []
     tiles = _ceil(F.col("members"), TILE)
     mine, all_ = F.pmod(F.xxhash64("cid"), tiles), F.sequence(F.lit(0).cast("bigint"), tiles - 1)
     left = rows.select("token", F.col("cid").alias("a"), F.col("n").alias("n1"), F.col("at").alias("at1"), F.col("part").alias("pa"),
-                       *[F.col(c).alias(f"l_{c}") for c in _BEFORE], mine.alias("i"), F.explode(all_).alias("j"))
+                       *[F.col(c).alias(f"l_{c}") for c in before], mine.alias("i"), F.explode(all_).alias("j"))
     right = rows.select("token", F.col("cid").alias("b"), F.col("n").alias("n2"), F.col("at").alias("at2"), F.col("part").alias("pb"),
-                        *[F.col(c).alias(f"r_{c}") for c in _BEFORE], F.explode(all_).alias("i"), mine.alias("j"))
+                        *[F.col(c).alias(f"r_{c}") for c in before], F.explode(all_).alias("i"), mine.alias("j"))
     # the class of the smaller part is b, as a star's centre is
-    cross = left.join(right, ["token", "i", "j"]).filter("pa > pb").filter(_may_link(percent))
+    cross = left.join(right, ["token", "i", "j"]).filter("pa > pb").filter(_may_link(percent, bitmaps))
     both_ways = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
     fresh = _candidates(cross, percent).join(both_ways, ["a", "b"], "left_anti")
     return stored(_suffix_filter(fresh, classes, percent), "open-pairs")
@@ -402,7 +408,7 @@ def class_links(docs: DataFrame, classes: DataFrame, size: int = SHINGLE, percen
 
     open_ = _open(shared, links)
     small, large = open_.filter(F.col("members") <= SMALL), open_.filter(F.col("members") > SMALL)
-    pairs = _pairs_between(small, classes, first, percent)
+    pairs = _pairs_between(small, classes, first, percent, bitmaps=False)
     # a member of a large bucket meets a member of another part, if the bucket's first or last one is of another
     other = F.when(F.col("part") != F.col("lo.part"), F.col("lo.cid")).when(F.col("part") != F.col("hi.part"), F.col("hi.cid"))
     again = _stars(large.select(F.col("cid").alias("a"), other.alias("b")).filter("b is not null"), classes, first, percent)
@@ -411,7 +417,7 @@ def class_links(docs: DataFrame, classes: DataFrame, size: int = SHINGLE, percen
     links = links.unionByName(verified(sets, second, percent))
 
     still = _open(large.select(*_SHARED), links)
-    rest = _pairs_between(still, classes, first.unionByName(second), percent)
+    rest = _pairs_between(still, classes, first.unionByName(second), percent, bitmaps=True)
     return links.unionByName(verified(sets, rest, percent))
 
 
