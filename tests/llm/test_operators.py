@@ -495,9 +495,32 @@ def test_lm_is_a_distribution_and_learns():
     model.freeze()
     bits = dict(zip(tokens, model.token_bits(tokens)[0]))
     assert bits[b"the"] < 8 and bits[b"the"] < model.token_bits([b"qzx"])[0, 0] / 3
-    # every one-byte token, and the end, share less than all probability
+    # behind every token, the first bytes share all probability; with what is behind them, one-byte tokens and the end share less
+    pairs = np.zeros((2, lm.EDGE_SLOTS + 1, 256), np.int64)
+    rng = np.random.default_rng(1)
+    np.add.at(pairs, (rng.integers(0, 2, 3000), rng.integers(0, 50, 3000), rng.integers(97, 105, 3000)), 1)
+    first = lm.edge_bits(pairs)
+    assert np.allclose((2.0 ** -first.astype(float)).sum(axis=2), 1, atol=1e-4)
+    assert first[0, 10, 97:105].mean() < 6 < first[0, 10, 200]
     singles = [bytes([b]) for b in range(256) if b not in (9, 10, 11, 12, 13, 32)] + [b""]
-    assert (2.0 ** -model.token_bits(singles)[0]).sum() <= 1 + 1e-9
+    start = np.array([first[0, lm.START, t[0] if t else 32] for t in singles])
+    assert (2.0 ** -(start + model.token_bits(singles)[0])).sum() <= 1 + 1e-4
+
+
+def test_lm_reads_words_in_their_order(spark):
+    """The same words in another order have another probability; a text in an order learned is likelier."""
+    rng = random.Random(6)
+    nouns, verbs = [f"n{chr(97 + i)}{i}" for i in range(12)], [f"v{chr(110 + i)}{i}" for i in range(12)]
+
+    def told():
+        return " ".join(f"{rng.choice(nouns)} {rng.choice(verbs)}" for _ in range(30))
+    rows = [(i, told()) for i in range(300)]
+    words = told().split()
+    mixed = rng.sample(words, len(words))
+    rows += [(1000, " ".join(words)), (1001, " ".join(mixed))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["score"] for r in lm.lm_scores(docs).collect()}
+    assert got[1000] > got[1001] + 1
 
 
 def test_lm_prefix_counts_of_all_tokens(spark, monkeypatch):
@@ -554,7 +577,7 @@ def test_lm_empty(empty):
     assert lm.lm_scores(empty).count() == 0
 
 
-def test_model_beats_unigrams_on_held_out(spark):
-    """At sf0.1: on a few hundred texts the unigrams' one class for all unseen tokens weighs more than the model gains."""
-    rows = QUERIES["op10_lm"](spark, "/root/testdata/sf0.1").filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_model_beats_unigrams_on_held_out(spark, sf):
+    rows = QUERIES["op10_lm"](spark, f"/root/testdata/{sf}").filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert rows[0] > rows[1]
