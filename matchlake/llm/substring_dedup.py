@@ -29,7 +29,8 @@ words [0, 16), [16, 32) and [32, 50).
 6. Removed stretches are gathered per document and the kept words are hashed.
 
 Fingerprints are 64-bit polynomials of 64-bit word hashes; a suffix is equal
-when its three symbols are, a stretch when its anchor, length and fingerprint are.
+when its three symbols are, a stretch when its anchor, length, fingerprint and
+a second hash, of its bytes, are.  A row is named by its id and a hash of its text.
 
 Defined results: a null text has no words; a null doc_id is larger than any
 other (and equal to itself); rows that repeat an id do not remove one
@@ -56,6 +57,8 @@ PORTION = 1 << 20        # suffixes that a task settles at a time
 FILTER_BITS = 27         # Bloom filter of 2^27 bits = 16 MB, whatever the input
 PROBES = 3
 NO_ID = (1 << 63) - 1
+# What two equal stretches have in common.
+STRETCH = ["form", "proof", "anchor", "n"]
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 
@@ -127,12 +130,12 @@ def stretches(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _texts(batches, memo: Words):
-    """(key, row, prefix sums) of every text that has a window."""
+    """(key, row, prefix sums, words) of every text that has a window."""
     for batch in batches:
         for key, row, text in zip(batch["key"].to_pylist(), batch["row"].to_pylist(), batch["text"]):
             words = text.as_py().split()
             if len(words) >= WINDOW:
-                yield key, row, prefix_sums(words, memo)
+                yield key, row, prefix_sums(words, memo), words
 
 
 # --------------------------------------------------------------------- filters
@@ -170,7 +173,7 @@ def repeated_anchors(rows: DataFrame) -> DataFrame:
     """h: the anchors that occur in two documents."""
     def run(batches):
         memo, parts, held = Words(), [], 0
-        for key, _, sums in _texts(batches, memo):
+        for key, _, sums, _ in _texts(batches, memo):
             a = np.unique(stretches(sums)[0])
             parts.append((a, np.full(len(a), key, np.int64)))
             held += len(a)
@@ -198,24 +201,26 @@ def _fold(row: int | np.ndarray, start: np.ndarray) -> np.ndarray:
 
 
 def open_stretches(rows: DataFrame, filter_words: np.ndarray) -> DataFrame:
-    """anchor, form (of the whole stretch), key, row, start, n, place, settled:
-    the stretches whose anchor passes; ``settled`` ones have an equal stretch
+    """anchor, form and proof (two hashes of the whole stretch: of its words'
+    hashes, and of its bytes), key, row, start, n, place, settled: the
+    stretches whose anchor passes; ``settled`` ones have an equal stretch
     in a smaller document of the same portion."""
     shared = rows.sparkSession.sparkContext.broadcast(filter_words)
-    names = ["anchor", "form", "key", "row", "start", "n", "place"]
+    names = ["anchor", "form", "key", "row", "start", "n", "place", "proof"]
 
     def settle(parts: list) -> pa.RecordBatch:
         cols = [np.concatenate(c) for c in zip(*parts)]
-        order = np.lexsort((cols[2], cols[1]))
-        cols = [c[order] for c in cols]
-        form, key = cols[1], cols[2]
-        head = np.maximum.accumulate(np.where(np.concatenate([[True], form[1:] != form[:-1]]), np.arange(len(form)), 0))
+        same = [cols[names.index(c)] for c in STRETCH]
+        order = np.lexsort((cols[2], *same))
+        cols, same, key = [c[order] for c in cols], [c[order] for c in same], cols[2][order]
+        fresh = np.concatenate([[True], np.any([c[1:] != c[:-1] for c in same], axis=0)])
+        head = np.maximum.accumulate(np.where(fresh, np.arange(len(key)), 0))
         batch = _columns([cols], names)
         return batch.append_column("settled", pa.array(key > key[head]))
 
     def run(batches):
         memo, parts, held = Words(), [], 0
-        for key, row, sums in _texts(batches, memo):
+        for key, row, sums, said in _texts(batches, memo):
             anchor, start, n = stretches(sums)
             here = passes(anchor, shared.value)
             if not here.any():
@@ -225,7 +230,8 @@ def open_stretches(rows: DataFrame, filter_words: np.ndarray) -> DataFrame:
                 words = (sums[start + n + WINDOW - 1] - sums[start]) * _powers(len(sums), True)[start]
                 form = _stir(_stir(words) + anchor * np.uint64(_BASE) + n.astype(np.uint64))
             parts.append((anchor, form, np.full(len(n), key, np.int64), np.full(len(n), row, np.int64),
-                          start.astype(np.int32), n.astype(np.int32), _fold(row, start)))
+                          start.astype(np.int32), n.astype(np.int32), _fold(row, start),
+                          np.array([xxhash.xxh3_64_intdigest(b" ".join(said[a:a + m + WINDOW - 1]), 3) for a, m in zip(start.tolist(), n.tolist())], np.uint64)))
             held += len(n)
             if held >= PORTION:
                 yield settle(parts)
@@ -234,17 +240,18 @@ def open_stretches(rows: DataFrame, filter_words: np.ndarray) -> DataFrame:
             yield settle(parts)
 
     return rows.mapInArrow(run, "anchor bigint, form bigint, key bigint, row bigint, start int, n int, place bigint, "
-                                "settled boolean")
+                                "proof bigint, settled boolean")
 
 
 def compare_stretches(found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(removed: row, start, n; places of those that go on to their suffixes)."""
+    """(removed: key, row, start, n; places of those that go on to their suffixes)."""
     open_ = found.filter(~F.col("settled"))
-    forms = open_.groupBy("form").agg(F.min("key").alias("least"))
-    compared = open_.join(forms, "form")
-    removed = found.filter("settled").select("row", "start", "n").unionByName(
-        compared.filter("key > least").select("row", "start", "n"))
-    mixed = open_.groupBy("anchor").agg(F.min("form").alias("lo"), F.max("form").alias("hi")).filter("lo < hi").select("anchor")
+    forms = open_.groupBy(*STRETCH).agg(F.min("key").alias("least"))
+    compared = open_.join(forms, STRETCH)
+    removed = found.filter("settled").select("key", "row", "start", "n").unionByName(
+        compared.filter("key > least").select("key", "row", "start", "n"))
+    whole = F.struct("form", "proof", "n")
+    mixed = open_.groupBy("anchor").agg(F.min(whole).alias("lo"), F.max(whole).alias("hi")).filter("lo < hi").select("anchor")
     go_on = compared.filter("key = least").join(mixed, "anchor", "left_semi").select(F.col("place").alias("h"))
     return removed, go_on
 
@@ -275,7 +282,7 @@ def suffixes(rows: DataFrame, filter_words: np.ndarray) -> DataFrame:
 
     def run(batches):
         memo, parts, held = Words(), [], 0
-        for key, row, sums in _texts(batches, memo):
+        for key, row, sums, _ in _texts(batches, memo):
             _, start, n = stretches(sums)
             here = passes(_fold(row, start), shared.value)
             if not here.any():
@@ -311,7 +318,7 @@ def prefix_groups(open_: DataFrame, group: int = GROUP) -> DataFrame:
 
 
 def deep_nodes(grouped: DataFrame) -> DataFrame:
-    """Walk each group's leaves in order; (row, start) of those that are removed."""
+    """Walk each group's leaves in order; (key, row, start) of those that are removed."""
     def run(batches):
         last = None      # symbols of the leaf before, and the smallest document of its full-depth node
         for batch in batches:
@@ -329,11 +336,10 @@ def deep_nodes(grouped: DataFrame) -> DataFrame:
             gone = key > least
             last = ((s1[-1], s2[-1], s3[-1]), least[-1])
             if gone.any():
-                yield pa.RecordBatch.from_arrays([batch["row"].filter(pa.array(gone)), batch["start"].filter(pa.array(gone))],
-                                                 ["row", "start"])
+                yield batch.select(["key", "row", "start"]).filter(pa.array(gone))
 
     return (grouped.repartition("prefix").sortWithinPartitions("prefix", "s1", "s2", "s3", "key")
-            .select("s1", "s2", "s3", "key", "row", "start").mapInArrow(run, "row bigint, start int"))
+            .select("s1", "s2", "s3", "key", "row", "start").mapInArrow(run, "key bigint, row bigint, start int"))
 
 
 # -------------------------------------------------------------------- operator
@@ -361,9 +367,9 @@ def substring_dedup(docs: DataFrame, group: int = GROUP) -> DataFrame:
     removed, go_on = compare_stretches(found)
     deep = stored(suffixes(keyed, bloom_filter(go_on)), "suffixes")
     one = F.lit(1).alias("n")
-    gone = removed.unionByName(deep.filter("settled").select("row", "start", one)).unionByName(
-        deep_nodes(prefix_groups(deep.filter(~F.col("settled")).drop("settled"), group)).select("row", "start", one))
-    spans = gone.groupBy("row").agg(F.collect_set(F.struct("start", "n")).alias("removed"))      # within one document
+    gone = removed.unionByName(deep.filter("settled").select("key", "row", "start", one)).unionByName(
+        deep_nodes(prefix_groups(deep.filter(~F.col("settled")).drop("settled"), group)).select("key", "row", "start", one))
+    spans = gone.groupBy("key", "row").agg(F.collect_set(F.struct("start", "n")).alias("removed"))      # within one document
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         n_words, n_removed, kept = [], [], []
@@ -377,7 +383,7 @@ def substring_dedup(docs: DataFrame, group: int = GROUP) -> DataFrame:
             [batch["doc_id"], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()),
              batch["removed"]], ["doc_id", "n_words", "n_removed", "kept", "removed"])
 
-    return map_batches(rows.select("doc_id", "row", "text").join(spans, "row", "left").select("doc_id", "text", "removed"), run,
+    return map_batches(rows.select("doc_id", "key", "row", "text").join(spans, ["key", "row"], "left").select("doc_id", "text", "removed"), run,
                        "doc_id bigint, n_words bigint, n_removed bigint, kept binary, removed array<struct<start:int,n:int>>")
 
 

@@ -287,6 +287,16 @@ def test_substring_dedup(spark, make, group):
     assert order(map(tuple, got)) == order(brute.substring_dedup(collected(docs)))
 
 
+def test_equal_fingerprints_of_different_stretches(spark):
+    """Stretches whose first fingerprints all collide are told apart by the second hash."""
+    rows = spark.createDataFrame([(1, 7, 100, 0, 3, 11, False), (2, 8, 200, 0, 3, 12, False), (3, 9, 100, 5, 3, 13, False)],
+                                 "key bigint, row bigint, proof bigint, start int, n int, place bigint, settled boolean")
+    rows = rows.withColumn("anchor", F.lit(5).cast("bigint")).withColumn("form", F.lit(6).cast("bigint"))
+    removed, go_on = substring_dedup.compare_stretches(rows)
+    assert [tuple(r) for r in removed.select("key", "row").collect()] == [(3, 9)]
+    assert sorted(r[0] for r in go_on.collect()) == [11, 12]
+
+
 def test_substring_empty(empty):
     assert substring_dedup.kept_digests(empty).count() == 0
 
