@@ -25,7 +25,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     lineage, fixes every value, and survives a lost executor."""
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables of ``stored`` that nothing reads any more: all that was
+    derived from them has been written down itself."""
+    for table_ in tables:
+        context = table_.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table_._scratch_path)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_bytes(df: DataFrame, *cols: str) -> DataFrame:

@@ -4,7 +4,7 @@ Each round replaces links by links to the smallest neighbour (large star, then
 small star), so that long chains shrink by a constant factor and every
 component ends as one star around its smallest node.  Every round is two
 grouped minima and joins on a narrow table that is written to the shared
-folder; only two numbers (link count and checksum) reach the driver.
+folder (and the one before it deleted); only two numbers (link count and checksum) reach the driver.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.llm.common import stored
+from matchlake.llm.common import release, stored
 
 
 def _checksum(links: DataFrame) -> tuple:
@@ -32,12 +32,14 @@ def components(links: DataFrame) -> DataFrame:
         large = (both.join(smallest, F.col("a") == F.col("n")).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .filter("a > b").distinct())
         large = stored(large, "large-star")
+        release(edges)
         # small star: n and its smaller neighbours point to the smallest of them
         low = large.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m"))
         small = (large.join(low, F.col("a") == F.col("n")).select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(low.select(F.col("n").alias("a"), F.col("m").alias("b")))
                  .filter("a > b").distinct())
         edges = stored(small, "small-star")
+        release(large)
         now = _checksum(edges)
         if now == state:
             break

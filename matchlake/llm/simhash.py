@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.llm.common import map_batches, stored, text_bytes
+from matchlake.llm.common import map_batches, release, stored, text_bytes
 from matchlake.llm.components import components
 
 SHINGLE = 3
@@ -166,6 +166,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         "key", "fp", F.coalesce("component", "fp").alias("part"))
     apart = named.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo < hi").select("key")
     open_ = stored(named.join(apart, "key"), "open-buckets")
+    release(shared, part)
     left = open_.select("key", F.col("fp").alias("a"), F.col("part").alias("pa"))
     right = open_.select("key", F.col("fp").alias("b"), F.col("part").alias("pb"))
     cross = left.join(right, (left["key"] == right["key"]) & (F.col("pa") < F.col("pb")) & _near("a", "b", max_bits)) \
