@@ -42,9 +42,9 @@ def near_rows():
             (12, " ".join(map(str, range(60_000)))), (13, " ".join(map(str, range(58_000))))]
     for i in range(150):
         w = NEAR[i % 5].split()
-        for _ in range(rng.randrange(10)):
+        for _ in range(rng.randrange(6)):
             w[rng.randrange(80)] = f"q{rng.randrange(1000)}"
-        rows.append((100 + i, " ".join(w[rng.randrange(8):])))
+        rows.append((100 + i, " ".join(w[rng.randrange(4):])))
     return rows
 
 
