@@ -15,7 +15,7 @@ from matchlake.llm.oracle import ORACLE
 from matchlake.llm.quality import quality_scores
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("documents", "benchmark", "labels")
+TABLES = ("documents", "benchmark", "labels", "conversations")
 
 
 def rows(df):
