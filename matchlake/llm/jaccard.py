@@ -24,8 +24,8 @@ Linking without all pairs.  Every class is first verified with one other: of
 the heads of its buckets, the one met in most of them (a star).  The head of a
 bucket is the member in whose order the shingle comes first, so of the edited
 copies of a page it is the least edited one.
-Components of those links are found; buckets that still hold members of
-different components are open.  Open buckets of ``SMALL`` members make all
+Where those links lead is followed for two steps; buckets that still hold
+members of different parts are open.  Open buckets of ``SMALL`` members make all
 pairs between their components; members of larger ones are verified with one
 member of another component each, and what is open then makes all pairs, too.
 Pairs verified before are left out.
@@ -358,12 +358,25 @@ def _stars(met: DataFrame, classes: DataFrame, before: DataFrame | None, percent
     return stored(_suffix_filter(pairs, classes, percent), "star-pairs")
 
 
-def _open(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """``rows`` of the buckets that hold members of different components of
-    ``links``, with ``part`` (the component), ``lo`` (at, part, cid: the member
+def _star_parts(links: DataFrame) -> DataFrame:
+    """(node, component) from star links, in which every a has one b: two steps
+    along the links.  Equal names are connected; long chains may have several."""
+    up = links.select(F.col("a").alias("node"), F.col("b").alias("up"))
+    back = up.select(F.col("node").alias("up"), F.col("up").alias("again"))
+    # of two that name each other, the smaller is a centre
+    first = stored(up.join(back, "up", "left").filter(F.coalesce(~((F.col("again") == F.col("node")) & (F.col("node") < F.col("up"))), F.lit(True)))
+                   .select("node", "up"), "star-steps")
+    second = first.select(F.col("node").alias("up"), F.col("up").alias("top"))
+    named = first.join(second, "up", "left").select("node", F.coalesce("top", "up").alias("component"))
+    roots = first.select(F.col("up").alias("node")).distinct().join(first, "node", "left_anti")
+    return stored(named.unionByName(roots.select("node", F.col("node").alias("component"))), "star-parts")
+
+
+def _open(rows: DataFrame, part: DataFrame) -> DataFrame:
+    """``rows`` of the buckets that hold members of different parts (node,
+    component), with ``part`` (the component), ``lo`` (at, part, cid: the member
     in whose order the shingle comes first) and ``hi`` (part, cid: the last
     part's last member)."""
-    part = stored(components(links), "star-components")
     named = rows.join(part, rows["cid"] == part["node"], "left").select(*[rows[c] for c in _SHARED], F.coalesce("component", "cid").alias("part"))
     ends = named.groupBy("token").agg(F.min(F.struct("at", "part", "cid")).alias("lo"), F.max(F.struct("part", "cid")).alias("hi"),
                                       F.min("part").alias("least"), F.count(F.lit(1)).alias("size"))
@@ -406,7 +419,7 @@ def class_links(docs: DataFrame, classes: DataFrame, size: int = SHINGLE, percen
     first = _stars(shared.filter("cid != head").select(F.col("cid").alias("a"), F.col("head").alias("b")), classes, None, percent)
     links = verified(whole_sets(docs, classes, _members(first).distinct(), size), first, percent)
 
-    open_ = _open(shared, links)
+    open_ = _open(shared, _star_parts(links))
     small, large = open_.filter(F.col("members") <= SMALL), open_.filter(F.col("members") > SMALL)
     pairs = _pairs_between(small, classes, first, percent, bitmaps=False)
     # a member of a large bucket meets a member of another part, if the bucket's first or last one is of another
@@ -416,7 +429,7 @@ def class_links(docs: DataFrame, classes: DataFrame, size: int = SHINGLE, percen
     second = stored(pairs.unionByName(again).distinct(), "second-pairs")
     links = links.unionByName(verified(sets, second, percent))
 
-    still = _open(large.select(*_SHARED), links)
+    still = _open(large.select(*_SHARED), stored(components(links), "link-components"))
     rest = _pairs_between(still, classes, first.unionByName(second), percent, bitmaps=True)
     return links.unionByName(verified(sets, rest, percent))
 
