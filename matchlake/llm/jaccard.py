@@ -64,7 +64,7 @@ SHINGLE = 5
 PERCENT = 80
 RARITY_BITS = 23
 CELLS = 64
-TILE = 256
+TILE = 1024
 # Members of a bucket that is small enough to make its pairs at once.
 SMALL = 16
 # Documents that a shingle may be in (by the rarity table) to be grouped without combining before the shuffle.
