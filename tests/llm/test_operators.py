@@ -517,6 +517,28 @@ def test_lm_is_a_distribution_and_learns():
     assert (2.0 ** -(start + model.token_bits(singles)[0])).sum() <= 1 + 1e-4
 
 
+def test_lm_words_of_many_texts_at_once():
+    """Words, pairs across their edges and kinds of several texts equal those of each text on its own."""
+    import numpy as np
+    texts = [b"", b" \t\n", b"The cat\x0bthe CAT a", b"\xff\xc3 x\x00y \x1f", b"a", b"  lead trail\r "]
+    different, at, bounds = lm.occurrences(texts)
+    words = different.to_pylist()
+    assert len(words) == len(set(words))
+    numbers = lm.word_numbers(words)
+    pairs = lm.pairs_of(words, numbers, at, bounds)
+    rng = np.random.default_rng(2)
+    found = np.log([0.5, 0.3, 0.2]), np.log(rng.random((3, lm.TOPIC_BUCKETS)))
+    kinds = lm.likeliest_kinds(found, numbers, at, bounds)
+    for i, text in enumerate(texts):
+        want = text.lower().split()
+        assert [words[j] for j in at[bounds[i]:bounds[i + 1]]] == want
+        before = [lm.START, *(lm.zlib.crc32(w) % lm.EDGE_SLOTS for w in want)]
+        assert pairs[bounds[i] + i:bounds[i + 1] + i + 1].tolist() == [256 * s + w[0] for s, w in zip(before, [*want, b" "])]
+        like = found[0] + sum(math.log1p(want.count(w)) * found[1][:, lm.zlib.crc32(w) % lm.TOPIC_BUCKETS] for w in set(want))
+        assert kinds[i] == like.argmax()
+    assert list(lm.pieces(texts, 20)) == [(0, 3), (3, 6)]
+
+
 def test_lm_reads_words_in_their_order(spark):
     """The same words in another order have another probability; a text in an order learned is likelier."""
     rng = random.Random(6)
