@@ -594,6 +594,53 @@ def test_lm_prefix_counts_of_all_tokens(spark, monkeypatch):
     assert np.allclose(sorted(few), sorted(r["score"] for r in lm.lm_scores(docs).collect()))
 
 
+def test_lm_learns_from_all_training_texts(spark, monkeypatch):
+    """Kinds, weights and refinement are sums over every training text and every occurrence in it, of each run once."""
+    import numpy as np
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdef", k=rng.randrange(1, 7))) for _ in range(3000)]
+    texts = [" ".join(rng.choices(words, k=25)) for _ in range(2600)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    train = [t.encode() for i, t in enumerate(texts) if lm.zlib.crc32(str(i).encode()) % lm.FOLDS != lm.HELD_OUT]
+    x = np.zeros((len(train), lm.TOPIC_BUCKETS))
+    for row, t in zip(x, train):
+        for w in set(t.split()):
+            row[lm.zlib.crc32(w) % lm.TOPIC_BUCKETS] += math.log1p(t.split().count(w))
+    logs = np.log(np.random.default_rng(4).dirichlet(np.ones(lm.TOPIC_BUCKETS), 3)).reshape(1, 3, -1)
+    shares = np.log([[0.2, 0.3, 0.5]])
+    like, mass, sums = lm.em_round(lm.stored(lm.bags(docs), "bags"), shares, logs)
+    each = shares + x @ logs[0].T
+    weight = np.exp(each - each.max(axis=1, keepdims=True))
+    weight /= weight.sum(axis=1, keepdims=True)
+    assert np.allclose(mass.sum(), len(train)) and np.allclose(mass[0], weight.sum(axis=0), rtol=0.01)
+    assert np.allclose(sums.sum(), x.sum(), rtol=1e-3) and np.allclose(like, np.log(np.exp(each - each.max(axis=1, keepdims=True)).sum(axis=1)).sum() + each.max(axis=1).sum(), rtol=1e-3)
+    fit, got = lm.fit, []
+
+    def kept(*args):
+        got.append(fit(*args))
+        return got[-1]
+    monkeypatch.setattr(lm, "fit", kept)
+    monkeypatch.setattr(lm, "RUN", 1 << 10)
+    monkeypatch.setattr(lm.token_runs, "__defaults__", (1 << 10,))
+    assert lm.lm_scores(docs).count() == len(texts)
+    prior = lm.Model(np.zeros((2, int(lm._OFFSETS[3]))), np.zeros(1)).refined.sum()
+    # behind a token's first byte: its other bytes and the space
+    assert np.allclose(got[0].refined.sum() - prior, 8 * sum(len(w) for t in train for w in t.split()))
+
+
+def test_lm_prefixes_are_met_once():
+    """Sums along tokens read each different prefix once."""
+    import numpy as np
+    rng = random.Random(9)
+    tokens = sorted({bytes(rng.choice(b"ab\x01\xff") for _ in range(rng.randrange(7))) for _ in range(300)}, key=lambda t: t + b" ")
+    found = lm.Prefixes(tokens, np.ones((len(tokens), 1)), np.zeros((0, 1)), np.zeros((0, 1)))
+    bits = ["".join(f"{b:08b}" for b in t + b" ") for t in tokens]
+    different = sorted({b[:d] for b in bits for d in range(len(b) + 1)})
+    assert sorted(bits[o][:d] for o, d in zip(found.owner, found.depth)) == different
+    assert found.along(np.where(found.depth > 0, 1.0, 0.0)[None])[0].tolist() == [len(b) for b in bits]
+    assert all(n == sum(b.startswith(bits[o][:d]) for b in bits) for o, d, n in zip(found.owner, found.depth, found.own[:, 0]))
+
+
 def test_lm_long_tokens(spark):
     """Tokens of megabytes, two of which share a megabyte, are coded whole, in time linear in their length."""
     rng = random.Random(5)
