@@ -641,6 +641,81 @@ def test_lm_prefixes_are_met_once():
     assert all(n == sum(b.startswith(bits[o][:d]) for b in bits) for o, d, n in zip(found.owner, found.depth, found.own[:, 0]))
 
 
+def test_lm_counts_are_kept_once():
+    """The counts of a token's own bits are one row, also beyond the run's ends; cases leave out the occurrence itself."""
+    import numpy as np
+    rng = np.random.default_rng(11)
+    tokens = sorted({bytes(rng.choice(list(b"ab\x01\xff"), rng.integers(7)).tolist()) for _ in range(300)} | {b"a" * 40, b"\xff" * 30}, key=lambda t: t + b" ")
+    counts = rng.integers(0, 4, (len(tokens), 3)).astype(float)
+    spelled = ["".join(f"{b:08b}" for b in t + b" ") for t in tokens]
+    for a, b in ((0, len(tokens)), (40, 90), (40, 41), (len(tokens) - 5, len(tokens))):
+        def beyond(rows, end):
+            """Counts by depth of the tokens of ``rows`` that share the bits of ``end``, up to those shared with the nearest."""
+            shared = {r: next((d for d, (x, y) in enumerate(zip(spelled[r], spelled[end])) if x != y), 0) for r in rows}
+            return np.array([sum((counts[r] for r in rows if shared[r] >= d), np.zeros(3)) for d in range(max(shared.values(), default=-1) + 1)]).reshape(-1, 3)
+        run, c = tokens[a:b], counts[a:b]
+        found = lm.Prefixes(run, c, beyond(range(a), a), beyond(range(b, len(tokens)), b - 1))
+        bits = [spelled[a + o][:d] for o, d in zip(found.owner, found.depth)]
+        starts = lambda rows, x: sum((counts[r] for r in rows if spelled[r].startswith(x)), np.zeros(3))
+        assert all(np.array_equal(got, starts(range(a, b), x)) for got, x in zip(found.own, bits))
+        assert all(np.array_equal(got, starts(range(len(tokens)), x)) for got, x in zip(found.same, bits))
+        ends = sum(8 * len(t) + 8 for t in (run[0], run[-1]))
+        assert found.own_rows.shape[1] <= found.levels[-1] + len(run) + ends < len(bits) + len(run) + ends
+        # every training occurrence behind a first byte, one case for each kind
+        table = np.zeros((2, int(lm._OFFSETS[3])), np.float32)
+        lm._add(table, tokens, counts.sum(axis=1), range(3))
+        model = lm.Model(table, np.zeros(3))
+        model.leave_out()
+        cases = [np.concatenate(x, axis=-1) for x in zip(*model.run_cases(run, found))]
+        assert cases[0].sum() == (c * np.array([[8 * len(t)] for t in run])).sum()
+        got = sorted(zip(cases[0], cases[3], cases[4], np.round(cases[1][3], 3), np.round(cases[1][4], 3)))
+        want = []
+        for own, same, up, x in zip(found.own, found.same, found.same[found.up], bits):
+            node = int("1" + x[(len(x) - 1) // 8 * 8:-1], 2) if x else 0
+            for k in np.flatnonzero(own) if len(x) > 8 else ():
+                st = [np.clip(math.log((n - 1 + 0.02) / (above - n + 0.02)), -12, 12) * (1 if x[-1] == "1" else -1)
+                      for n, above in ((same.sum(), up.sum()), (same[k], up[k]))]
+                want.append((own[k], int(x[-1]), node, *np.round(st, 3)))
+        assert np.allclose(got, sorted(want), atol=2e-3)
+
+
+def test_lm_bits_are_not_rounded():
+    """The cost of an unlikely bit is made from its own probability, not from one less a rounded one."""
+    import numpy as np
+    rng = np.random.default_rng(12)
+    tokens = sorted({bytes(rng.choice(list(b"abcdefgh"), rng.integers(1, 9)).tolist()) for _ in range(400)} | {b"zz\xff"}, key=lambda t: t + b" ")
+    counts = np.floor(rng.pareto(0.4, (len(tokens), 2)) * 50).clip(0, 1e7)
+    table = np.zeros((2, int(lm._OFFSETS[3])), np.float32)
+    lm._add(table, tokens, counts.sum(axis=1), range(3))
+    model = lm.Model(table, np.log([0.5, 0.5]))
+    model.weights[:, :-1] = 0.6
+    model.freeze()
+    none = np.zeros((0, 2))
+    got = model.run_bits(tokens, lm.Prefixes(tokens, counts, none, none))
+    model.by_input, model.stretch = np.ascontiguousarray(model.weights.T), model.stretch.astype(float)
+    model.turned = model.turned.astype(float)
+    assert np.abs(got - model.run_bits(tokens, lm.Prefixes(tokens, counts, none, none))).max() < 1e-3
+
+
+def test_lm_lists_of_words(spark):
+    """Values of binary arrays, slices and parts of lists; a token is one row of its piece, whatever its texts' kinds."""
+    import numpy as np
+    import pyarrow as pa
+    values = [b"a", b"", b"\xff\x00", b"word", b""]
+    words = pa.array(values, pa.binary())
+    lists = pa.ListArray.from_arrays(pa.array([0, 2, 2, 5], pa.int32()), words)
+    assert lm.listed(words) == values and lm.listed(words[1:4]) == values[1:4] and lm.listed(words[:0]) == []
+    assert lm.listed(pa.array([b"", b""], pa.binary())) == [b"", b""] and lm.listed(pa.array(values, pa.large_binary())) == values
+    assert [lm.listed(x.values) for x in lists] == [values[:2], [], values[2:]]
+    rows = lm._token_rows(words, np.arange(15).reshape(3, 5))
+    assert rows.num_rows == 5 and rows.schema.names == ["token", "c0", "c1", "other"]
+    docs = spark.createDataFrame([(i, "a b a") for i in range(10)] + [(None, "b c")], "doc_id bigint, text string")
+    found = np.log([0.5, 0.5]), np.log(np.full((2, lm.TOPIC_BUCKETS), 1 / lm.TOPIC_BUCKETS))
+    got = {bytes(r["token"]): (r["c0"], r["c1"], r["c"], r["c_all"]) for r in lm.token_counts(docs, found).collect() if bytes(r["token"])[:1] != b" "}
+    n = sum(lm.zlib.crc32(str(i).encode()) % lm.FOLDS != lm.HELD_OUT for i in range(10))
+    assert got == {b"": (n, 0, n, 11), b"a": (2 * n, 0, 2 * n, 20), b"b": (n, 0, n, 11), b"c": (0, 0, 0, 1)}
+
+
 def test_lm_long_tokens(spark):
     """Tokens of megabytes, two of which share a megabyte, are coded whole, in time linear in their length."""
     rng = random.Random(5)
