@@ -157,7 +157,9 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         raise ValueError(f"the bucket keys cover at most {MAX_BITS} bits")
     rows = buckets(distinct)
     heads = rows.groupBy("key").agg(F.min("fp").alias("head"), F.max("fp").alias("last")).filter("head < last")
-    shared = stored(rows.join(heads, "key").select("key", "fp", "head"), "shared-buckets")
+    # merge joins: Spark sizes the rows of keys by the fingerprints that they are made of, some 60 times too low, and
+    # would broadcast them (and their groups) from a driver that cannot hold them
+    shared = stored(rows.hint("merge").join(heads, "key").select("key", "fp", "head"), "shared-buckets")
     star = stored(shared.filter((F.col("fp") != F.col("head")) & _near("fp", "head", max_bits))
                   .select(F.col("fp").alias("a"), F.col("head").alias("b")).distinct(), "star-links")
     part = stored(components(star), "star-components")
@@ -169,7 +171,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     release(shared, part)
     left = open_.select("key", F.col("fp").alias("a"), F.col("part").alias("pa"))
     right = open_.select("key", F.col("fp").alias("b"), F.col("part").alias("pb"))
-    cross = left.join(right, (left["key"] == right["key"]) & (F.col("pa") < F.col("pb")) & _near("a", "b", max_bits)) \
+    cross = left.hint("merge").join(right, (left["key"] == right["key"]) & (F.col("pa") < F.col("pb")) & _near("a", "b", max_bits)) \
         .select("a", "b")
     return star.select("a", "b").unionByName(cross)
 
